@@ -1,2 +1,2 @@
 """Importing this module registers every query."""
-from workload import prices  # noqa: F401
+from workload import backtest, prices  # noqa: F401
