@@ -1,9 +1,18 @@
 """Text rules on names, tickers, numbers and markup, as column expressions."""
+import html
+import sys
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 
 from barloom import contracts as K
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _words(words) -> str:
     return "(?i)" + "|".join(r"\b" + w + r"\b" for w in words)
@@ -53,13 +62,16 @@ def parse_number(text: Column) -> Column:
     return F.when(~bare.isin("", "N/A", "--", "-"), signed.try_cast("double"))
 
 
+@arrow_udf(T.StringType())
+def unescape(text: pa.Array) -> pa.Array:
+    """HTML entities to characters; the full named list lives in the standard library."""
+    return pa.array([None if t is None else html.unescape(t) for t in text.to_pylist()], pa.string())
+
+
 def strip_markup(markup: Column) -> Column:
-    """Cell text: tags removed, common entities decoded, white space at the ends cut."""
-    text = F.regexp_replace(markup, "<[^>]+>", "")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                         ("&nbsp;", " "), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(F.translate(text, " ", " "))
+    """Cell text: entities decoded, tags removed, runs of white space made one blank."""
+    text = F.regexp_replace(unescape(markup), "<[^>]+>", "")
+    return F.trim(F.regexp_replace(F.translate(text, "\u00a0", " "), r"\s+", " "))
 
 
 def parse_day(text: Column) -> Column:

@@ -1,2 +1,2 @@
 """Importing this module registers every query."""
-from workload import backtest, prices, records, reports  # noqa: F401
+from workload import backtest, prices, records, reports, stores  # noqa: F401
