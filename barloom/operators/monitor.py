@@ -87,7 +87,7 @@ def rank_violations(ranked: DataFrame, receipts: DataFrame, detail_parts: DataFr
 
 def contiguous_closeout(sessions: DataFrame, checkpoints: DataFrame, receipts: DataFrame) -> DataFrame:
     """Sessions after the checkpoint that can be closed: valid receipts up to the first gap."""
-    pending = (sessions.join(F.broadcast(checkpoints.select("market", "last_completed_date")), "market")
+    pending = (sessions.join(checkpoints.select("market", "last_completed_date"), "market")
                .filter(F.col("date") > F.col("last_completed_date")))
     done = receipts.select("market", F.col("trade_date").alias("date"), receipt_valid().alias("ok"))
     rows = pending.join(done, ["market", "date"], "left").withColumn("ok", F.coalesce("ok", F.lit(False)))

@@ -236,40 +236,57 @@ def batch_receipts(receipts: DataFrame, batches: DataFrame) -> DataFrame:
     return joined.select("batch", F.coalesce(ok, F.lit(False)).alias("intact"))
 
 
-def option_label(chains: DataFrame) -> DataFrame:
-    """Option availability of each security from its chain document (column `chain`).
-
-    A vertical needs two quoted legs with different strikes on one listed expiry and side.
-    Contracts are exploded and counted; pairs are never formed.
-    """
-    base = chains.select("security_id", "chain", F.array_min("chain.expirationDates").alias("nearest"),
-                         F.size("chain.expirationDates").alias("expiry_count"))
-    legs = base.select("security_id", F.col("chain.expirationDates").alias("listed"), F.explode("chain.options").alias("o"))
+def explode_chains(chains: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Contracts and listed expiries out of chain documents (security_id, chain)."""
+    legs = chains.select("security_id", F.explode("chain.options").alias("o"))
     kinds = F.array(F.struct(F.lit("calls").alias("side"), F.col("o.calls").alias("legs")),
                     F.struct(F.lit("puts").alias("side"), F.col("o.puts").alias("legs")))
-    flat = (legs.select("security_id", "listed", F.col("o.expirationDate").alias("expiry"), F.inline(kinds))
-            .select("security_id", "expiry", "side", F.array_contains("listed", F.col("expiry")).alias("is_listed"), F.inline("legs")))
+    contracts = (legs.select("security_id", F.col("o.expirationDate").alias("expiry"), F.inline(kinds))
+                 .select("security_id", "expiry", "side", F.inline("legs")))
+    expiries = chains.select("security_id", F.explode("chain.expirationDates").alias("expiry"))
+    return contracts, expiries
+
+
+def option_labels(securities: DataFrame, contracts: DataFrame, expiries: DataFrame) -> DataFrame:
+    """Option availability of each security.
+
+    `contracts`: security_id, expiry (epoch seconds), side, strike, bid, ask. `expiries`:
+    security_id, expiry, those the provider lists. `securities` has `answered` (the provider
+    gave a chain document). A vertical needs two quoted legs with different strikes on one
+    listed expiry and side: lowest and highest quoted strike differ, so pairs are never
+    formed and everything combines on the map side.
+    """
     quoted = F.coalesce((F.col("ask") >= F.col("bid")) & (F.col("bid") >= 0), F.lit(False))
-    per_side = flat.groupBy("security_id", "expiry", "side").agg(
-        F.count_distinct("strike").alias("strikes"), F.min("strike").alias("low_strike"), F.max("strike").alias("high_strike"),
-        F.bool_or(quoted).alias("any_quote"),
-        (F.bool_or("is_listed") & (F.count_distinct(F.when(quoted, F.col("strike"))) >= 2)).alias("vertical"))
-    found = per_side.groupBy("security_id").agg(
-        (F.min("low_strike") < F.max("high_strike")).alias("two_strikes"), F.bool_or("any_quote").alias("any_quote"),
-        F.bool_or("vertical").alias("vertical"))
+    strike = F.when(quoted, F.col("strike"))
+    per_side = contracts.groupBy("security_id", "expiry", "side").agg(
+        F.min("strike").alias("low"), F.max("strike").alias("high"), F.bool_or(quoted).alias("any_quote"),
+        F.coalesce(F.min(strike) < F.max(strike), F.lit(False)).alias("spread"))
+    listed = expiries.select("security_id", "expiry").distinct()
+    on_listed = per_side.join(listed.withColumn("listed", F.lit(True)), ["security_id", "expiry"], "left")
+    found = on_listed.groupBy("security_id").agg(
+        (F.min("low") < F.max("high")).alias("two_strikes"), F.bool_or("any_quote").alias("any_quote"),
+        F.bool_or(F.col("spread") & F.coalesce("listed", F.lit(False))).alias("vertical"))
+    dates = listed.groupBy("security_id").agg(F.min("expiry").alias("nearest"), F.count(F.lit(1)).alias("expiry_count"))
+    rows = (securities.select("security_id", "answered").join(dates, "security_id", "left")
+            .join(found, "security_id", "left").fillna(0, ["expiry_count"]))
+    some = F.col("expiry_count") > 0
+    has = F.when(~F.col("answered"), "UNKNOWN").when(some, "TRUE").otherwise("FALSE")
 
     def known(name):
-        return F.when(F.col(name), "TRUE").otherwise("UNKNOWN")
+        return F.when(some & F.col("answered") & F.col(name), "TRUE").otherwise("UNKNOWN")
 
-    rows = base.drop("chain").join(found, "security_id", "left")
-    listed = F.col("expiry_count") > 0
-    has = F.when(F.col("expiry_count").isNull() | (F.col("expiry_count") < 0), "UNKNOWN").when(listed, "TRUE").otherwise("FALSE")
     return rows.select(
         "security_id", has.alias("has_options"), F.to_date(F.timestamp_seconds("nearest")).alias("nearest_expiry"),
-        F.greatest(F.coalesce("expiry_count", F.lit(0)), F.lit(0)).alias("expiry_count"),
-        *[F.when(listed, known(a)).otherwise("UNKNOWN").alias(b) for a, b in (
-            ("two_strikes", "strike_data_available"), ("any_quote", "bid_ask_available"), ("vertical", "vertical_usable"))],
-        F.when(has == "UNKNOWN", "SOURCE_UNAVAILABLE").when(listed, "CHECKED").otherwise("NO_EXPIRIES").alias("status"))
+        "expiry_count", known("two_strikes").alias("strike_data_available"), known("any_quote").alias("bid_ask_available"),
+        known("vertical").alias("vertical_usable"),
+        F.when(~F.col("answered"), "SOURCE_UNAVAILABLE").when(some, "CHECKED").otherwise("NO_EXPIRIES").alias("status"))
+
+
+def option_label(chains: DataFrame) -> DataFrame:
+    """Labels straight from chain documents; a null document or expiry list is no answer."""
+    contracts, expiries = explode_chains(chains)
+    asked = chains.select("security_id", F.col("chain.expirationDates").isNotNull().alias("answered"))
+    return option_labels(asked, contracts, expiries)
 
 
 def stale_option_status(status: Column, checked: Column, month_start: Column) -> Column:

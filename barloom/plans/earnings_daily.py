@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.operators import earnings as E
+from barloom.session import stage
 
 
 def earnings_daily(old_calendar: DataFrame, new_calendar: DataFrame, history: DataFrame, provider: DataFrame,
@@ -21,6 +22,6 @@ def earnings_daily(old_calendar: DataFrame, new_calendar: DataFrame, history: Da
     merged = moved.join(carried, "event_id", "left").join(tickers, "security_id", "left").withColumn(
         "eps_refresh_pending", F.coalesce("was_pending", "eps_refresh_pending")).withColumn(
         "eps_status", F.coalesce("eps_status", F.lit("EPS_ACTUAL_UNAVAILABLE"))).drop("was_pending")
-    filled = E.eps_refresh(merged, provider, today)
+    filled = stage(E.eps_refresh(merged, provider, today))  # read for open, pending and settled events
     priced = E.reactions(filled, bars, sessions, market)
     return priced, E.history_violations(history.select("event_id"), priced, active, market)

@@ -28,9 +28,8 @@ def build_session(app: str = "barloom", master: str | None = None, **conf) -> Sp
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir); made up only where unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        # The context object does not expose the directory before 4.x, so keep our own note.
         folder = getattr(spark.sparkContext, "_barloom_folder", None)
         if folder is None:
             if not spark.sparkContext.master.startswith("local"):

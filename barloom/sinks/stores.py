@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom import contracts as K
+from barloom.session import stage
 
 BAR_KEY = ["security_id", "trade_date"]
 ACTION_KEY = ["security_id", "effective_date", "factor"]
@@ -67,7 +68,7 @@ def append_patches(patches: DataFrame, path: str) -> DataFrame | None:
 
     Nothing is written when there is a conflict.
     """
-    accepted = patch_identity(patches.filter("accepted")).dropDuplicates(["identity"])
+    accepted = stage(patch_identity(patches.filter("accepted")).dropDuplicates(["identity"]))
     stored = _stored(patches.sparkSession, path)
     if stored is not None:
         conflicts = patch_conflicts(accepted.drop("identity"), stored)

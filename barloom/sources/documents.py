@@ -3,12 +3,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom import contracts as K
 from barloom.operators.compose import effective_bars
 from barloom.schemas import CORPORATE_ACTION, PATCH, PATCH_DOCUMENT, STORED_BAR
 
-DAY_FOLDER = r"/(\d{4}-\d{2}-\d{2})/(?:[^/]+/)?[^/]+$"
+DAY_FOLDER = r"/(?:[a-z_]+=)?(\d{4}-\d{2}-\d{2})/(?:[^/]+/)?[^/]+$"
 
 
 def read_bars(spark: SparkSession, path: str, suffix: str = "*.gz") -> DataFrame:
@@ -25,7 +26,7 @@ def read_csv_bars(spark: SparkSession, path: str) -> DataFrame:
 def read_day_folders(spark: SparkSession, root: str, suffix: str = "*.gz") -> DataFrame:
     """Bars below `root/<date>/`, directly or one shard level down, with the folder's date.
 
-    Folders that are not dates are left out.
+    The folder may be bare or `name=<date>`; folders that are not dates are left out.
     """
     stored = (spark.read.schema(STORED_BAR).option("recursiveFileLookup", True)
               .option("pathGlobFilter", suffix).json(root))
@@ -51,16 +52,21 @@ def explode_patches(documents: DataFrame) -> DataFrame:
         "result", "path", "item", "position")
 
 
-def read_patches(spark: SparkSession, path: str) -> DataFrame:
-    documents = (spark.read.schema(PATCH_DOCUMENT).option("multiLine", True).option("recursiveFileLookup", True)
+def read_patches(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
+    """Correction documents: one JSON document a file, or one a line."""
+    documents = (spark.read.schema(PATCH_DOCUMENT).option("multiLine", one_per_file).option("recursiveFileLookup", True)
                  .option("pathGlobFilter", "*.json").json(path))
     return explode_patches(documents.select("*", F.col("_metadata.file_path").alias("path")))
 
 
-def read_corporate_actions(spark: SparkSession, path: str) -> DataFrame:
-    """Split events: every file is a list of events; repeated events count once."""
-    events = (spark.read.schema(CORPORATE_ACTION).option("multiLine", True).option("recursiveFileLookup", True)
-              .option("pathGlobFilter", "*.json").json(path))
+def read_corporate_actions(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
+    """Split events from lists of events: one list a file, or one list a line."""
+    if one_per_file:
+        events = (spark.read.schema(CORPORATE_ACTION).option("multiLine", True).option("recursiveFileLookup", True)
+                  .option("pathGlobFilter", "*.json").json(path))
+    else:
+        lists = F.from_json("value", T.ArrayType(CORPORATE_ACTION))
+        events = spark.read.text(path).select(F.inline(lists))
     return events.dropDuplicates(["security_id", "effective_date", "factor"])
 
 

@@ -26,56 +26,65 @@ def page_cells(pages: DataFrame, row: str = "tr", cell: str = "td|th", table_id:
     return cells.select(*kept, "row_no", "cell_no", strip_markup(F.col("cell")).alias("text"))
 
 
-def designated_securities(pages: DataFrame, as_of, minimum: int = K.MIN_DESIGNATED_ROWS) -> DataFrame:
-    """Short-selling list of the newest usable page in the 21 days up to `as_of`.
+def designated_securities(pages: DataFrame, as_of, minimum: int = K.MIN_DESIGNATED_ROWS,
+                          lookback: int = K.DESIGNATED_LOOKBACK_DAYS) -> DataFrame:
+    """Short-selling list of the newest usable page in the days up to `as_of`.
 
-    `pages`: page_date, html. A page needs the heading and at least `minimum` codes; a
+    `pages`: list_id (which list the page is an issue of), page_date, page_no (order of the
+    pages of one issue), html. An issue needs the heading and at least `minimum` codes; a
     repeated code keeps its last row.
     """
-    day = F.lit(as_of).cast("date")
-    recent = pages.filter(F.col("page_date").between(F.date_sub(day, K.DESIGNATED_LOOKBACK_DAYS - 1), day)
+    day, issue = F.lit(as_of).cast("date"), ["list_id", "page_date"]
+    recent = pages.filter(F.col("page_date").between(F.date_sub(day, lookback - 1), day)
                           & F.contains("html", F.lit("Designated Securities")))
-    cells = page_cells(recent.select("page_date", "html"), cell="td")
-    wide = cells.groupBy("page_date", "row_no").agg(
+    cells = page_cells(recent.select(*issue, "page_no", "html"), cell="td")
+    wide = cells.groupBy(*issue, "page_no", "row_no").agg(
         F.max(F.when(F.col("cell_no") == 1, F.col("text"))).alias("code"), F.max(F.when(F.col("cell_no") == 2, F.col("text"))).alias("name"))
     coded = wide.filter(F.col("code").rlike(r"^\d{1,5}$")).withColumn("stock_code", F.col("code").cast("int"))
-    last = (coded.groupBy("page_date", "stock_code").agg(F.max_by(F.coalesce("name", F.lit("")), "row_no").alias("name")))
-    usable = last.groupBy("page_date").agg(F.count(F.lit(1)).alias("codes")).filter(F.col("codes") >= minimum)
-    newest = usable.agg(F.max("page_date").alias("page_date"))
-    return (last.join(F.broadcast(newest), "page_date")
-            .select(F.col("page_date").alias("effective_date"), "stock_code", hk_ticker(F.col("stock_code")).alias("ticker"), "name"))
+    last = (coded.groupBy(*issue, "stock_code").agg(F.max_by(
+        F.coalesce("name", F.lit("")), F.struct("page_no", "row_no")).alias("name")))
+    usable = last.groupBy(*issue).agg(F.count(F.lit(1)).alias("codes")).filter(F.col("codes") >= minimum)
+    newest = usable.groupBy("list_id").agg(F.max("page_date").alias("page_date"))
+    return (last.join(newest, issue, "left_semi")
+            .select("list_id", F.col("page_date").alias("effective_date"), "stock_code", hk_ticker(F.col("stock_code")).alias("ticker"), "name"))
 
 
 FOOTER = "File Creation Time:"
 
 
-def listing_rows(files: DataFrame) -> DataFrame:
-    """Rows of pipe-delimited symbol files (file, value = whole text), named by their header.
+def listing_rows(lines: DataFrame) -> DataFrame:
+    """Rows of pipe-delimited symbol files, named by their header.
 
-    One row per file holds the whole symbol directory (about a megabyte). A file without
-    the creation-time footer in its last three lines yields one row with an error.
+    `lines`: file, place (order within the file), value. Only the header and the footer, one
+    line per file each, are brought together; the lines themselves stay spread. A file
+    without the creation-time footer in its last three lines marks its rows with an error.
     """
-    lines = F.split(F.regexp_replace("value", "^﻿", ""), r"\r?\n")
-    lines = F.filter(lines, lambda x: x != "")
-    split_files = files.select("file", lines.alias("lines"))
-    stamped = F.exists(F.slice("lines", F.greatest(F.size("lines") - 2, F.lit(1)), 3), lambda x: x.startswith(FOOTER))
-    body = split_files.select("file", stamped.alias("stamped"), F.split(F.element_at("lines", 1), r"\|").alias("header"),
-                              F.posexplode("lines").alias("sequence", "line"))
-    body = body.filter((F.col("sequence") > 0) & F.contains("line", F.lit("|")) & ~F.col("line").startswith(FOOTER))
-    cells = body.withColumn("cells", F.split("line", r"\|"))
+    lines = lines.withColumn("value", F.regexp_replace("value", "^\ufeff", "")).filter("value <> ''")
+    header = lines.groupBy("file").agg(F.min("place").alias("first"),
+                                       F.split(F.min_by("value", "place"), r"\|").alias("header"),
+                                       F.max(F.when(F.col("value").startswith(FOOTER), F.col("place"))).alias("footer"))
+    placed = lines.join(F.broadcast(header), "file")  # one row per file
+    tail = placed.groupBy("file").agg(F.count(F.when(F.col("place") > F.col("footer"), 1)).alias("after"),
+                                      F.max("footer").isNotNull().alias("stamped"))
+    sound = tail.select("file", (F.col("stamped") & (F.col("after") <= 2)).alias("sound"))
+    body = placed.filter((F.col("place") > F.col("first")) & F.contains("value", F.lit("|")) & ~F.col("value").startswith(FOOTER))
+    cells = body.withColumn("cells", F.split("value", r"\|")).join(F.broadcast(sound), "file")
 
     def named(*names):
         found = [F.try_element_at("cells", F.nullif(F.array_position("header", n), F.lit(0).cast("bigint")).cast("int")) for n in names]
         return F.coalesce(*found)
 
-    return cells.select("file", "sequence", named("Symbol", "ACT Symbol").alias("symbol"), named("Security Name").alias("name"),
-                        named("ETF").alias("etf"), named("Test Issue").alias("test_issue"), named("Exchange").alias("exchange"),
-                        F.when(~F.col("stamped"), "OFFICIAL_US_TIMESTAMP_MISSING").alias("error"))
+    return cells.select("file", F.col("place").alias("sequence"), named("Symbol", "ACT Symbol").alias("symbol"),
+                        named("Security Name").alias("name"), named("ETF").alias("etf"), named("Test Issue").alias("test_issue"),
+                        named("Exchange").alias("exchange"), F.when(~F.col("sound"), "OFFICIAL_US_TIMESTAMP_MISSING").alias("error"))
 
 
 def read_listing_files(spark: SparkSession, paths) -> DataFrame:
-    texts = spark.read.option("wholetext", True).text(paths)
-    return listing_rows(texts.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), "value"))
+    """Symbol files as lines; their place follows the block they were read from."""
+    texts = spark.read.text(paths).select(
+        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("place"), "value")
+    return listing_rows(texts)
 
 
 def listing_size_violation(listed: DataFrame, minimum: int = K.MIN_LISTING_ROWS) -> DataFrame:

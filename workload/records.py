@@ -460,17 +460,13 @@ FROM s JOIN v USING (security_id) GROUP BY security_id, expiries, nearest, two,
 def option_chain_label(spark, d):
     o = W.table(spark, d, "orders")
     p, total = F.col("o_orderpriority"), F.col("o_totalprice")
-    contract = F.struct(F.floor(total / 50000).cast("double").alias("strike"), F.when(p != "5-LOW", total).alias("bid"),
-                        F.when(p != "4-NOT SPECIFIED", total + F.when(p == "3-MEDIUM", -1).otherwise(1)).alias("ask"))
-    flat = o.select(W.security_id(F.col("o_custkey")).alias("security_id"),
-                    F.unix_seconds(F.trunc("o_orderdate", "month").cast("timestamp")).alias("expirationDate"),
-                    (F.col("o_orderstatus") == "F").alias("call"), contract.alias("c"))
-    per = flat.groupBy("security_id", "expirationDate").agg(
-        F.collect_list(F.when(F.col("call"), F.col("c"))).alias("calls"), F.collect_list(F.when(~F.col("call"), F.col("c"))).alias("puts"))
-    chains = per.groupBy("security_id").agg(
-        F.collect_set(F.when(F.col("expirationDate") >= 820454400, F.col("expirationDate"))).alias("expirationDates"),
-        F.collect_list(F.struct("expirationDate", "calls", "puts")).alias("options"))
-    return Q.option_label(chains.select("security_id", F.struct("expirationDates", "options").alias("chain")))
+    contracts = o.select(
+        W.security_id(F.col("o_custkey")).alias("security_id"), F.unix_seconds(F.trunc("o_orderdate", "month").cast("timestamp")).alias("expiry"),
+        F.when(F.col("o_orderstatus") == "F", "calls").otherwise("puts").alias("side"), F.floor(total / 50000).cast("double").alias("strike"),
+        F.when(p != "5-LOW", total).alias("bid"), F.when(p != "4-NOT SPECIFIED", total + F.when(p == "3-MEDIUM", -1).otherwise(1)).alias("ask"))
+    asked = contracts.select("security_id", F.lit(True).alias("answered")).distinct()
+    # Expiries before 1996 are not listed any more.
+    return Q.option_labels(asked, contracts, contracts.filter("expiry >= 820454400"))
 
 
 @query("option_status_stale", """SELECT o_orderkey, CASE WHEN (1998 - year(o_orderdate)) * 12 + 8 - month(o_orderdate) >= 1 THEN 'STALE' ELSE o_orderstatus END AS status FROM orders""")

@@ -6,14 +6,13 @@ import os
 
 from pyspark.sql import functions as F
 
-from barloom.operators import sessions as S
 from barloom.plans.combined_monthly import combined_pointer
 from barloom.plans.daily_append import daily_append
 from barloom.plans.earnings_daily import earnings_daily as earnings_plan
 from barloom.plans.hk_monthly import hk_monthly as hk_plan
 from barloom.plans.us_monthly import us_monthly as us_plan
 from barloom.plans.us_monthly import us_pointer
-from barloom.session import scratch_path
+from barloom.session import scratch_path, stage
 from barloom.sinks import stores as ST
 from barloom.sources import charts as CH
 from barloom.sources import documents as DOC
@@ -50,10 +49,7 @@ def day_folder_scan(spark, d):
     path = scratch_path(spark, "folders")
     bars = W.supplier_bars(spark, d).filter(F.col("date") > F.lit(dt.date(2001, 1, 1)))
     bars.withColumn("folder", F.col("date")).write.partitionBy("folder").option("compression", "gzip").json(path)
-    # Date folders carry the bare date, as in the daily layout.
-    rows = (spark.read.schema(DOC.STORED_BAR).option("recursiveFileLookup", True).option("pathGlobFilter", "*.gz").json(path)
-            .select("*", F.to_date(F.regexp_extract("_metadata.file_path", r"(\d{4}-\d{2}-\d{2})/[^/]+$", 1)).alias("folder_date")))
-    return rows.select("security_id", "date", "folder_date", "close")
+    return DOC.read_day_folders(spark, path).select("security_id", "date", "folder_date", "close")
 
 
 @query("patch_documents", with_ctes("patch_rows") + f"""
@@ -69,22 +65,20 @@ def patch_documents(spark, d):
     item = F.struct("accepted", "result", F.lit("US").alias("market"), "security_id", F.col("rows.bar").alias("rows"))
     documents = items.groupBy("security_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
     path = scratch_path(spark, "patches")
-    documents.select("items").repartition("items").write.option("maxRecordsPerFile", 1).json(path)
-    return DOC.read_patches(spark, path).select("security_id", "date", "close", "accepted", "result", "item", "position")
+    documents.select("items").write.json(path)
+    return DOC.read_patches(spark, path, one_per_file=False).select("security_id", "date", "close", "accepted", "result", "item", "position")
 
 
 @query("corporate_action_documents", with_ctes("splits") + f"""
 SELECT DISTINCT security_id, {day('effective_date', 'effective_date')}, {r('factor', 'factor')} FROM splits""")
 def corporate_action_documents(spark, d):
     path = scratch_path(spark, "actions")
-    lists = W.splits(spark, d).groupBy("effective_date").agg(F.collect_list(F.struct(
-        "security_id", F.col("effective_date").alias("day"), "factor", "ticker")).alias("events"))
-    text = lists.select(F.to_json(F.transform("events", lambda e: F.struct(
-        e["security_id"].alias("security_id"), e["day"].alias("effective_date"), e["factor"].alias("factor"), e["ticker"].alias("ticker")))).alias("value"))
-    text.repartition("value").write.option("maxRecordsPerFile", 1).text(path)
-    # The text sink names its files .txt; the reader is told so.
-    events = spark.read.schema(DOC.CORPORATE_ACTION).option("multiLine", True).json(path)
-    return events.dropDuplicates(["security_id", "effective_date", "factor"]).select("security_id", "effective_date", "factor")
+    lists = W.splits(spark, d).distinct().groupBy("security_id").agg(F.collect_list(F.struct(
+        F.col("security_id").alias("id"), "effective_date", "factor", "ticker")).alias("events"))
+    lists.select(F.to_json(F.transform("events", lambda e: F.struct(
+        e["id"].alias("security_id"), e["effective_date"].alias("effective_date"), e["factor"].alias("factor"),
+        e["ticker"].alias("ticker")))).alias("value")).write.text(path)
+    return DOC.read_corporate_actions(spark, path, one_per_file=False).select("security_id", "effective_date", "factor")
 
 
 # Symbol files made of parts (first file) and customers (second file).
@@ -94,18 +88,22 @@ UNION ALL SELECT 'otherlisted.txt', 'C' || c_custkey, c_name || CASE WHEN c_nati
   CASE WHEN c_mktsegment = 'BUILDING' THEN 'A' WHEN c_mktsegment = 'MACHINERY' THEN 'P' ELSE 'N' END, c_custkey FROM customer""")
 
 
-def symbol_files(spark, d):
+def symbol_lines(spark, d):
     part, customer = W.table(spark, d, "part"), W.table(spark, d, "customer")
-    first = part.select(F.lit("nasdaqlisted.txt").alias("file"), F.col("p_partkey").alias("k"), F.concat_ws(
+    first = part.select(F.lit("nasdaqlisted.txt").alias("file"), F.col("p_partkey").alias("place"), F.concat_ws(
         "|", F.concat(F.lit("P."), "p_partkey"), F.concat("p_name", F.lit(" Common Stock"), F.when(F.col("p_size") < 5, " Warrants").otherwise("")),
-        F.lit("N"), F.when(F.col("p_type") == "PROMO", "Y").otherwise("N")).alias("line"))
-    second = customer.select(F.lit("otherlisted.txt").alias("file"), F.col("c_custkey").alias("k"), F.concat_ws(
+        F.lit("N"), F.when(F.col("p_type") == "PROMO", "Y").otherwise("N")).alias("value"))
+    second = customer.select(F.lit("otherlisted.txt").alias("file"), F.col("c_custkey").alias("place"), F.concat_ws(
         "|", F.concat(F.lit("C"), "c_custkey"), F.concat("c_name", F.when(F.col("c_nationkey") < 5, " Acquisition Corp Class A").otherwise("")),
         F.when(F.col("c_mktsegment") == "BUILDING", "A").when(F.col("c_mktsegment") == "MACHINERY", "P").otherwise("N"),
-        F.lit("N"), F.when(F.col("c_acctbal") < 0, "Y").otherwise("N")).alias("line"))
+        F.lit("N"), F.when(F.col("c_acctbal") < 0, "Y").otherwise("N")).alias("value"))
+    body = first.unionByName(second)
+    ends = body.groupBy("file").agg(F.max("place").alias("last"))
     heads = F.when(F.col("file") == "nasdaqlisted.txt", "Symbol|Security Name|Test Issue|ETF").otherwise("ACT Symbol|Security Name|Exchange|ETF|Test Issue")
-    files = first.unionByName(second).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("k", "line"))).alias("rows"))
-    return files.select("file", F.concat_ws("\n", heads, F.concat_ws("\n", "rows.line"), F.lit("File Creation Time: 0101202400:00|||")).alias("value"))
+    frame = ends.select("file", F.inline(F.array(
+        F.struct(F.lit(-1).cast("bigint").alias("place"), heads.alias("value")),
+        F.struct((F.col("last") + 1).alias("place"), F.lit("File Creation Time: 0101202400:00|||").alias("value")))))
+    return body.unionByName(frame)
 
 
 @query("listing_file_scan", with_ctes("symbols") + f"""
@@ -113,7 +111,7 @@ SELECT symbol AS source_symbol, replace(symbol, '.', '-') AS ticker, CASE WHEN f
 FROM symbols WHERE etf = 'N' AND test = 'N' AND coalesce(letter, '') <> 'P' AND NOT ({RC._noncommon('name')} OR {RC._spac('name')})""")
 def listing_file_scan(spark, d):
     from barloom.operators.listing import us_listing
-    return us_listing(PG.listing_rows(symbol_files(spark, d)))
+    return us_listing(PG.listing_rows(symbol_lines(spark, d)))
 
 
 # Chart payloads: the parallel arrays of a security, market by nation.
@@ -186,26 +184,19 @@ def html_table_rows(spark, d):
 
 
 @query("designated_list", f"""
-WITH p AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS page_date FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '2001-05-01' AND DATE '2001-05-21'),
-l AS (SELECT p.page_date, c_custkey AS code, c_name AS name FROM p, customer WHERE CAST(substr(CAST(page_date AS VARCHAR), 9) AS INTEGER) <= 17 OR c_custkey < 50),
-ok AS (SELECT max(page_date) AS d FROM (SELECT page_date FROM l WHERE code < 100000 GROUP BY 1 HAVING count(*) >= 100) t)
-SELECT {day('page_date', 'effective_date')}, code AS stock_code, printf('%04d', code) || '.HK' AS ticker, name || '!' AS name FROM l, ok WHERE page_date = d AND code < 100000""")
+WITH r AS (SELECT o_custkey AS list_id, CAST(o_orderdate AS DATE) AS page_date, o_orderkey, CAST(floor(o_totalprice / 2) AS BIGINT) AS code, o_orderstatus AS st FROM orders
+  WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '2001-05-21' - 1999 AND DATE '2001-05-21'),
+l AS (SELECT list_id, page_date, code, arg_max(st, o_orderkey) AS st FROM r WHERE code < 100000 GROUP BY 1, 2, 3),
+n AS (SELECT list_id, max(page_date) AS page_date FROM l GROUP BY 1)
+SELECT list_id, {day('page_date', 'effective_date')}, code AS stock_code, printf('%04d', code) || '.HK' AS ticker, st || '!' AS name FROM l SEMI JOIN n USING (list_id, page_date)""")
 def designated_list(spark, d):
-    """Pages made of the customer list, one per order date; late ones are too short to count."""
-    customers = W.table(spark, d, "customer")
-    on = F.col("o_orderdate").cast("date")
-    days = W.table(spark, d, "orders").select(on.alias("page_date")).filter(
-        F.col("page_date").between(F.lit(dt.date(2001, 5, 1)), F.lit(dt.date(2001, 5, 21)))).distinct()
-
-    def markup(rows):
-        code = F.col("c_custkey").cast("string")
-        tr = F.concat(F.lit("<tr><td>1</td><td class='c'>"), code, F.lit("</td><td><b>"), F.col("c_name"), F.lit("</b>"), F.lit("&#33;</td></tr>"))
-        return rows.agg(F.concat_ws("", F.sort_array(F.collect_list(tr))).alias("body"), F.lit(1).alias("one"))
-    full, short = markup(customers), markup(customers.filter("c_custkey < 50"))
-    wide = days.withColumn("one", F.lit(1)).withColumn("long", F.dayofmonth("page_date") <= 17)
-    pages = (wide.filter("long").join(full, "one").unionByName(wide.filter("NOT long").join(short, "one"))
-             .select("page_date", F.concat(F.lit("<h1>Designated Securities</h1><table>"), "body", F.lit("</table>")).alias("html")))
-    return PG.designated_securities(pages, dt.date(2001, 5, 21))
+    """An order is a page of its customer's list; the pages of one day are one issue."""
+    code = F.floor(F.col("o_totalprice") / 2).cast("string")
+    html = F.concat(F.lit("<h1>Designated Securities</h1><table><tr><td>1</td><td class='c'>"), code, F.lit("</td><td><b>"),
+                    F.col("o_orderstatus"), F.lit("</b>&#33;</td></tr></table>"))
+    pages = W.table(spark, d, "orders").select(F.col("o_custkey").alias("list_id"), F.col("o_orderdate").cast("date").alias("page_date"),
+                                               F.col("o_orderkey").alias("page_no"), html.alias("html"))
+    return PG.designated_securities(pages, dt.date(2001, 5, 21), minimum=1, lookback=2000)
 
 
 @query("snapshot_identity", with_ctes("type_bars") + f"""
@@ -280,7 +271,7 @@ def corporate_action_store(spark, d):
 SELECT count(*) AS patches FROM (SELECT DISTINCT market, security_id, category, batch, trade_date FROM decisions WHERE split_part(verdict, '|', 1) IN ('RESOLVED', 'IDENTITY_FIXED')) t""")
 def patch_store(spark, d):
     path = scratch_path(spark, "patches")
-    decided = RC.decided(spark, d)
+    decided = stage(RC.decided(spark, d))
     ST.append_patches(decided.filter("market = 'HK'"), path)
     ST.append_patches(decided, path)
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("patches"))
