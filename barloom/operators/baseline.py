@@ -9,6 +9,7 @@ from barloom.functions.checks import is_finite, is_row_valid
 from barloom.functions.recursion import trend_features
 from barloom.operators.bootstrap import paired_intervals
 from barloom.operators.indicators import bar_arrays
+from barloom.session import stage
 
 FORWARD = 20
 SIDES = ("LONG", "SHORT")
@@ -75,7 +76,7 @@ def leave_one_out(rows: DataFrame) -> DataFrame:
 def vertical_baseline(rows: DataFrame) -> DataFrame:
     """Per side and segment: means, difference, intervals; and the verdict of the side."""
     keys = ["side", "segment"]
-    paired = leave_one_out(rows)
+    paired = stage(leave_one_out(rows))  # signals only; read for the means and for the draws
     means = paired.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.avg("own").alias("own"), F.avg("bench").alias("bench"),
         F.count_distinct("date").alias("unique_dates"))

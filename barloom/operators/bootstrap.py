@@ -25,8 +25,10 @@ def _by_block(dated: DataFrame, keys: list[str], sums: list[str], cut: bool) ->
                      for c in sums]
     blocks = numbered.withColumn("block", F.expr(f"pos div {size}")).groupBy(*keys, "dates", "block").agg(*measures)
     names = [c for c in blocks.columns if c not in keys + ["dates"]]
-    return (blocks.groupBy(*keys, "dates")
-            .agg(F.array_sort(F.collect_list(F.struct(*names))).alias("blocks")))
+    series = blocks.groupBy(*keys, "dates").agg(F.array_sort(F.collect_list(F.struct(*names))).alias("blocks"))
+    # Few small rows, but a thousand draws each: spread them instead of letting them be
+    # coalesced into one task.
+    return series.repartition(dated.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def delta_intervals(dated: DataFrame, keys: list[str], seed_key: Column) -> DataFrame:

@@ -139,68 +139,75 @@ def session_after(dates: DataFrame, sessions: DataFrame) -> DataFrame:
     return found.groupBy("date").agg(F.min("on_or_after").alias("on_or_after"), F.min("after").alias("after"))
 
 
+def day_lookup(sessions: DataFrame) -> DataFrame:
+    """For every calendar day inside the session range: first session on or after it, and after it."""
+    span = sessions.agg(F.min("date").alias("low"), F.max("date").alias("high"))
+    return session_after(span.select(F.explode(F.sequence("low", "high")).alias("date")), sessions)
+
+
+ASIDE = -1_000_000_000  # session position of events that are not measured
+
+
 def reactions(events: DataFrame, bars: DataFrame, sessions: DataFrame, market: str = "US") -> DataFrame:
     """Price reaction of every open event; settled and revised events keep what they have.
 
     Events are laid among the bars of their security on the session axis and read the bars
     around them through range frames: one shuffle by security, no join on sessions, and
-    missing sessions stay missing.
+    missing sessions stay missing. Events and bars are read once.
     """
-    open_event = (~F.coalesce(F.col("event_status") == "REVISED", F.lit(False))
-                  & (F.col("reaction_status").isNull() | F.col("reaction_status").isin(*OPEN_REACTIONS)))
-    targets = events.filter(open_event).drop("reaction_status")
-    lookup = F.broadcast(session_after(targets.select(F.col("report_date").alias("date")), sessions)
-                         .withColumnRenamed("date", "report_date"))
-    first = F.col("after")
+    due = (~F.coalesce(F.col("event_status") == "REVISED", F.lit(False))
+           & (F.col("reaction_status").isNull() | F.col("reaction_status").isin(*OPEN_REACTIONS)))
+    lookup = F.broadcast(day_lookup(sessions).withColumnRenamed("date", "report_date"))
+    first, last = sessions.agg(F.min("date")).scalar(), sessions.agg(F.max("idx")).scalar()
+    start = F.col("after")
     if market == "US":
-        first = F.when(F.col("session") == "BMO", F.col("on_or_after")).otherwise(first)
-    placed = targets.join(lookup, "report_date", "left").withColumn("idx", first)
-    indexed = bars.join(F.broadcast(sessions), "date")
-    carried = [c for c in placed.columns if c not in ("security_id", "idx", "after", "on_or_after")]
-    lane = indexed.select("security_id", "idx", "date", "open", "close", "volume",
-                          F.lit(None).cast(placed.select(F.struct(*carried)).schema[0].dataType).alias("event"))
-    seats = placed.filter(F.col("idx").isNotNull()).select(
-        "security_id", "idx", F.lit(None).cast("date").alias("date"),
-        *[F.lit(None).cast("double").alias(c) for c in ("open", "close", "volume")], F.struct(*carried).alias("event"))
+        start = F.when(F.col("session") == "BMO", F.col("on_or_after")).otherwise(start)
+    start = F.when(F.col("report_date") < first, F.lit(0).cast("bigint")).otherwise(start)
+    placed = events.join(lookup, "report_date", "left").select(
+        *events.columns, due.alias("due"), F.when(due, start).alias("at"))
+    carried = [c for c in placed.columns if c != "security_id"]
+    payload = F.struct(*carried)
+    lane = bars.join(F.broadcast(sessions), "date").select(
+        "security_id", "idx", "open", "close", "volume",
+        F.lit(None).cast(placed.select(payload).schema[0].dataType).alias("event"))
+    seats = placed.select(
+        "security_id", F.coalesce("at", F.lit(ASIDE)).cast("bigint").alias("idx"),
+        *[F.lit(None).cast("double").alias(c) for c in ("open", "close", "volume")], payload.alias("event"))
     axis = Window.partitionBy("security_id").orderBy("idx")
 
-    def at(name, start, end=None, how=F.max):
-        return how(name).over(axis.rangeBetween(start, start if end is None else end))
+    def at(name, begin, end=None, how=F.max):
+        return how(name).over(axis.rangeBetween(begin, begin if end is None else end))
 
     seen = lane.unionByName(seats).select(
-        "security_id", "idx", "event", at("close", -1).alias("prev_close"), at("open", 0).alias("bar_open"),
+        "security_id", "idx", "event", at("close", -1).alias("before"), at("open", 0).alias("bar_open"),
         at("close", 0).alias("bar_close"), at("volume", 0).alias("bar_volume"),
         at("volume", -20, -1, F.count).alias("volumes"), at("volume", -20, -1, F.sum).alias("volume_sum"),
         at("close", 5).alias("close_5")).filter(F.col("event").isNotNull())
-    last = sessions.select(F.col("date").alias("reaction_date"), "idx",
-                           F.max("idx").over(Window.partitionBy(F.lit(1))).alias("last_idx"))
-    rows = seen.join(F.broadcast(last), "idx").select("security_id", "event.*", *[
-        c for c in seen.columns if c not in ("security_id", "event")], "reaction_date", "last_idx")
-    close = F.col("prev_close")
-    priced = F.coalesce((close > 0) & F.col("bar_close").isNotNull(), F.lit(False))
+    rows = (seen.join(F.broadcast(sessions.select(F.col("date").alias("reaction_date"), "idx")), "idx", "left")
+            .select("*", "event.*").drop("event"))
+    close, measured = F.col("before"), F.col("at").isNotNull()
+    priced = F.coalesce(measured & (close > 0) & F.col("bar_close").isNotNull(), F.lit(False))
     base = F.when(F.col("volumes") == 20, F.col("volume_sum") / 20)
     ratio = F.when(base > 0, F.col("bar_volume") / F.nullif(base, F.lit(0.0)))
-    later = F.col("idx") + 5 <= F.col("last_idx")
+    later = F.col("at") + 5 <= last
     day5 = F.when(later, ratio_change(F.col("close_5"), close))
 
     def only(value):
         return F.when(priced, value)
 
-    done = rows.select(
-        "security_id", *carried, "reaction_date", "prev_close",
+    status = (F.when(~F.col("due"), F.col("reaction_status")).when(~measured, "PENDING_PRICE").when(~priced, "PRICE_MISSING")
+              .when(day5.isNotNull() & ratio.isNotNull(), "COMPLETE").otherwise("PARTIAL"))
+    kept = [c for c in events.columns if c not in ("security_id", "reaction_status")]
+    return rows.select(
+        "security_id", *kept, F.when(measured, F.col("reaction_date")).alias("reaction_date"),
+        F.when(measured, close).alias("prev_close"),
         only(ratio_change(F.col("bar_open"), close)).alias("gap_pct"),
         only(ratio_change(F.col("bar_close"), close)).alias("day1_pct"),
         only(day5).alias("day5_pct"), only(ratio).alias("day1_volume_ratio"),
         only(F.when(ratio.isNull(), F.when(F.col("volumes") < 20, "INSUFFICIENT_20_SESSION_VOLUME")
                     .otherwise("ZERO_BASELINE_VOLUME"))).alias("day1_volume_ratio_reason"),
         only(F.when(~later, "PENDING_FIVE_SESSIONS").when(day5.isNull(), "PRICE_MISSING")).alias("day5_reason"),
-        F.when(~priced, "PRICE_MISSING").when(day5.isNotNull() & ratio.isNotNull(), "COMPLETE")
-        .otherwise("PARTIAL").alias("reaction_status"))
-    pending = placed.filter(F.col("idx").isNull()).select(
-        "security_id", *carried).withColumn("reaction_status", F.lit("PENDING_PRICE"))
-    settled = events.filter(~open_event)
-    return (done.unionByName(pending, allowMissingColumns=True)
-            .unionByName(settled.select("security_id", *carried, "reaction_status"), allowMissingColumns=True))
+        status.alias("reaction_status"))
 
 
 def history_violations(previous_ids: DataFrame, history: DataFrame, active: DataFrame, market: str) -> DataFrame:

@@ -41,8 +41,10 @@ def share_at_or_below(df: DataFrame, value: str, name: str) -> DataFrame:
     """Share of rows with a value that have one at or below their own; null stays null.
 
     Null with fewer than two values. Equal values are counted before anything is ordered,
-    so a value shared by many rows is one row in the ordering.
+    so a value shared by many rows is one row in the ordering. The input is read twice and
+    therefore staged.
     """
+    df = stage(df)
     counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     ranked = with_running_total(counts, [F.col(value).asc()], F.col("_n"), "_upto", "_total")
     shares = ranked.select(value, F.when(F.col("_total") > 1,

@@ -121,7 +121,7 @@ def without_overlap(outcomes: DataFrame) -> DataFrame:
     """Trades taken one at a time: a signal counts only after the previous exit.
 
     A greedy choice along one security's signals (bounded by the 501-bar window), per
-    grid point. Rows are still placed by security, so this adds no shuffle.
+    grid point; only signals are shuffled here, not bars.
     """
     keys = ["security_id", "side"] + POINT
     fields = [c for c in outcomes.columns if c not in keys]

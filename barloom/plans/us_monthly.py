@@ -32,6 +32,7 @@ def us_monthly(index_bars: DataFrame, stock_bars: DataFrame, lead_ticker: str) -
     The index tables are a few tickers by 501 sessions and are staged between steps; the
     stock bars are shuffled once, by security, for all signals and baselines.
     """
+    index_bars = stage(index_bars)
     calendar = index_bars.filter(F.col("ticker") == lead_ticker).select("date")
     window, split = S.last_window(calendar), S.split_us(calendar)
     segments = stage(S.day_segments(split))
@@ -44,9 +45,10 @@ def us_monthly(index_bars: DataFrame, stock_bars: DataFrame, lead_ticker: str) -
     metrics, emitted = D.replay(online, states, results, segments, lead_ticker)
     emitted = stage(emitted)
     rows = B.stock_rows(stock_bars, segments)
+    samples = B.signal_samples(rows)
     return UsMonth(split, candidates, selected, rounds, online, metrics,
                    D.replay_counts(emitted, states, segments, lead_ticker),
-                   B.vertical_baseline(rows), B.same_direction(B.signal_samples(rows), emitted))
+                   B.vertical_baseline(rows), B.same_direction(samples, emitted))
 
 
 def us_pointer(month: UsMonth) -> DataFrame:

@@ -8,6 +8,7 @@ queue entries come from attributes of the same rows. Every rule runs on whole ta
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,12 +24,15 @@ AS_OF = EPOCH + dt.timedelta(days=4 * 600)
 INDEX_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO")
 
 
+@functools.lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Remembered (the plan, not the rows), so its footer is read once."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def security_id(key: Column, market: str = "US") -> Column:
-    return F.concat(F.lit(market + "-"), F.format_string("%06d", key.cast("bigint") + 1))
+    number = (key.cast("bigint") + 1).cast("string")
+    return F.concat(F.lit(market + "-"), F.lpad(number, F.greatest(F.length(number), F.lit(6)), F.lit("0")))
 
 
 def session_of(day: Column) -> Column:
@@ -36,8 +40,19 @@ def session_of(day: Column) -> Column:
     return F.date_add(F.lit(EPOCH), (F.floor(days / SESSION_DAYS) * SESSION_DAYS).cast("int"))
 
 
-def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
+def _midnight(day: dt.date) -> Column:
+    return F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
+
+
+def trades(spark: SparkSession, sf_dir: str, after: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
+    """Line items as trades. `after` and `until` are sessions; they become bounds on the
+    ship date, which the Parquet scan can use."""
+    lines = table(spark, sf_dir, "lineitem")
+    if after:
+        lines = lines.filter(F.col("l_shipdate") >= _midnight(after + dt.timedelta(days=SESSION_DAYS)))
+    if until:
+        lines = lines.filter(F.col("l_shipdate") < _midnight(until + dt.timedelta(days=SESSION_DAYS)))
+    return lines.select(
         security_id(F.col("l_suppkey")).alias("security_id"), "l_partkey", "l_orderkey",
         F.col("l_shipdate").cast("date").alias("day"),
         session_of(F.col("l_shipdate")).alias("date"),
@@ -60,9 +75,14 @@ BAR_SQL = """(min(sequence * 17592186044416 + tick) % 17592186044416) / 1e4 AS o
   (max(sequence * 17592186044416 + tick) % 17592186044416) / 1e4 AS close, sum(quantity) AS volume"""
 
 
-def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Security by session, the whole history."""
-    return bars_from_trades(trades(spark, sf_dir), ["security_id", "date"])
+def supplier_bars(spark: SparkSession, sf_dir: str, after=None, until=None) -> DataFrame:
+    """Security by session, the whole history or the sessions in (after, until]."""
+    return bars_from_trades(trades(spark, sf_dir, after, until), ["security_id", "date"])
+
+
+def known_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars up to the date of the ranking."""
+    return supplier_bars(spark, sf_dir, until=AS_OF)
 
 
 cte("bars", f"SELECT security_id, date, {BAR_SQL} FROM trades GROUP BY 1, 2", "trades")
@@ -89,14 +109,11 @@ FROM trades JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""", "trades")
 
 
 def base_bars(spark, sf_dir) -> DataFrame:
-    return (supplier_bars(spark, sf_dir).filter(F.col("date") <= F.lit(BASE_AS_OF))
-            .withColumn("adjustment_as_of", F.lit(BASE_AS_OF)))
+    return supplier_bars(spark, sf_dir, until=BASE_AS_OF).withColumn("adjustment_as_of", F.lit(BASE_AS_OF))
 
 
 def appended_bars(spark, sf_dir) -> DataFrame:
-    return (supplier_bars(spark, sf_dir)
-            .filter((F.col("date") > F.lit(BASE_AS_OF)) & (F.col("date") <= F.lit(AS_OF)))
-            .withColumn("adjustment_as_of", F.col("date")))
+    return supplier_bars(spark, sf_dir, BASE_AS_OF, AS_OF).withColumn("adjustment_as_of", F.col("date"))
 
 
 cte("base", f"SELECT *, DATE '{BASE_AS_OF}' AS adjustment_as_of FROM bars WHERE date <= DATE '{BASE_AS_OF}'", "bars")
@@ -106,8 +123,7 @@ WHERE date > DATE '{BASE_AS_OF}' AND date <= DATE '{AS_OF}'""", "bars")
 
 def patch_rows(spark, sf_dir) -> DataFrame:
     """Corrections: returned goods, one correction per line status and line number."""
-    returned = trades(spark, sf_dir).filter((F.col("l_returnflag") == "R")
-                                            & (F.col("date") <= F.lit(AS_OF)))
+    returned = trades(spark, sf_dir, until=AS_OF).filter(F.col("l_returnflag") == "R")
     keys = ["security_id", "date", "l_linestatus", "sequence"]
     marks = returned.groupBy(*keys).agg(
         (F.max("l_discount") >= 0.03).alias("accepted"),

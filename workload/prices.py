@@ -83,7 +83,7 @@ def wanted_prices(spark, d):
 
 # --- indicators at the last bar ----------------------------------------------
 def snapshot(spark, d):
-    return I.latest_indicators(W.supplier_bars(spark, d).filter(F.col("date") <= F.lit(AS_OF)))
+    return I.latest_indicators(W.known_bars(spark, d))
 
 
 cte("known_bars", f"SELECT * FROM bars WHERE date <= DATE '{AS_OF}'", "bars")
@@ -201,7 +201,7 @@ SELECT security_id, {day('date', 'date')}, {r(out, 'ema')} FROM walk""")
 
 
 def _series(spark, d, fold, *args):
-    bars = W.supplier_bars(spark, d).filter(F.col("date") <= F.lit(AS_OF))
+    bars = W.known_bars(spark, d)
     arrays = I.bar_arrays(bars).withColumn("ema", fold(F.col("bars.close"), *args))
     zipped = arrays.select("security_id", F.inline(F.arrays_zip(F.col("bars.date").alias("date"), "ema")))
     return zipped.toDF("security_id", "date", "ema")
@@ -229,7 +229,7 @@ SELECT security_id, {r('''max(close) FILTER (back = 1) / nullif(max(close) FILTE
   - (max(bench) FILTER (back = 1) / nullif(max(bench) FILTER (back = 21), 0) - 1)''', 'relative_20d')}
 FROM aligned GROUP BY 1""")
 def benchmark_relative(spark, d):
-    bars = W.supplier_bars(spark, d).filter(F.col("date") <= F.lit(AS_OF))
+    bars = W.known_bars(spark, d)
     index = W.type_bars(spark, d).filter(F.col("ticker") == "ECONOMY")
     return I.benchmark_relative(bars, index)
 
