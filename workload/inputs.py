@@ -53,7 +53,7 @@ def trades(spark: SparkSession, sf_dir: str, after: dt.date | None = None, until
     if until:
         lines = lines.filter(F.col("l_shipdate") < _midnight(until + dt.timedelta(days=SESSION_DAYS)))
     return lines.select(
-        security_id(F.col("l_suppkey")).alias("security_id"), "l_partkey", "l_orderkey",
+        security_id(F.col("l_suppkey")).alias("security_id"), F.col("l_suppkey").alias("supplier"), "l_partkey", "l_orderkey",
         F.col("l_shipdate").cast("date").alias("day"),
         session_of(F.col("l_shipdate")).alias("date"),
         F.col("l_linenumber").alias("sequence"),
@@ -77,7 +77,13 @@ BAR_SQL = """(min(sequence * 17592186044416 + tick) % 17592186044416) / 1e4 AS o
 
 def supplier_bars(spark: SparkSession, sf_dir: str, after=None, until=None) -> DataFrame:
     """Security by session, the whole history or the sessions in (after, until]."""
-    return bars_from_trades(trades(spark, sf_dir, after, until), ["security_id", "date"])
+    return by_supplier(trades(spark, sf_dir, after, until))
+
+
+def by_supplier(rows: DataFrame) -> DataFrame:
+    """Bars grouped by the supplier number; the identifier text is made per bar, not per trade."""
+    return bars_from_trades(rows, ["supplier", "date"]).select(
+        security_id(F.col("supplier")).alias("security_id"), "date", "open", "high", "low", "close", "volume")
 
 
 def known_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,8 +96,7 @@ cte("bars", f"SELECT security_id, date, {BAR_SQL} FROM trades GROUP BY 1, 2", "t
 
 def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Security by calendar day."""
-    rows = trades(spark, sf_dir).withColumn("date", F.col("day"))
-    return bars_from_trades(rows, ["security_id", "date"])
+    return by_supplier(trades(spark, sf_dir).withColumn("date", F.col("day")))
 
 
 cte("daily_bars", f"SELECT security_id, day AS date, {BAR_SQL} FROM trades GROUP BY 1, 2", "trades")

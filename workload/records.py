@@ -240,8 +240,7 @@ def flawed(spark, d):
 
 
 def refreshed(spark, d):
-    from barloom.sources.trades import bars_from_trades
-    return bars_from_trades(W.trades(spark, d).filter("l_returnflag = 'A'"), ["security_id", "date"])
+    return W.by_supplier(W.trades(spark, d).filter("l_returnflag = 'A'"))
 
 
 def sessions(spark, d):
