@@ -98,12 +98,10 @@ def universe_refresh(known: DataFrame, observed: DataFrame, market: str) -> Data
     if rebound is not None:
         unknown = unknown.join(rebound.select("symbol"), "symbol", "left_anti")
         absent = absent.join(rebound.select("security_id"), "security_id", "left_anti")
-    top = known.agg(F.max(F.substring_index("security_id", "-", -1).cast("bigint")).alias("top"))
+    top = known.agg(F.max(F.substring_index("security_id", "-", -1).cast("bigint"))).scalar()
     numbered = with_running_total(unknown, [F.col("sequence").asc(), F.col("symbol").asc()], name="place")
-    # The highest known identifier is one row; it travels as a broadcast constant.
-    numbered = numbered.withColumn("one", F.lit(1)).join(F.broadcast(top.withColumn("one", F.lit(1))), "one")
     new = numbered.select(
-        F.concat(F.lit(market + "-"), F.format_string("%06d", F.col("top") + F.col("place"))).alias("security_id"),
+        F.concat(F.lit(market + "-"), F.format_string("%06d", top + F.col("place"))).alias("security_id"),
         "symbol", "ticker", F.lit("ACTIVE").alias("listing_status"), F.lit("NEW").alias("decision"))
     gone = absent.select("security_id", "symbol", F.lit(None).cast("string").alias("ticker"),
                          F.lit("ACTIVE").alias("listing_status"), F.lit("ABSENT").alias("decision"))

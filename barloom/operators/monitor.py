@@ -1,7 +1,7 @@
 """Health, receipts, calendars and contract checks: tables in, verdict rows out."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom import contracts as K
@@ -106,12 +106,12 @@ def shard_violations(rows: DataFrame, receipt: DataFrame, market: str, as_of) ->
         F.count(F.when(~F.coalesce(well_formed, F.lit(False)), 1)).alias("malformed"),
         F.count(F.when(F.col("trade_date") > F.lit(as_of).cast("date"), 1)).alias("future"),
         F.count(F.when(F.col("rank_score").isNotNull() | F.col("relative_strength_20d").isNotNull(), 1)).alias("already_ranked"))
-    joined = counts.withColumn("one", F.lit(1)).join(receipt.select("active", "available").withColumn("one", F.lit(1)), "one")
-    coverage = ~F.col("rows").between(F.col("available"), F.col("active"))
+    available, active = receipt.select("available").scalar(), receipt.select("active").scalar()
+    coverage = ~F.col("rows").between(available, active)
     pairs = [("COVERAGE", F.when(coverage, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))),
              ("DUPLICATE_ID", F.col("rows") - F.col("ids")),
              ("MALFORMED_ID", F.col("malformed")), ("FUTURE_DATE", F.col("future")), ("RANK_FIELDS_SET", F.col("already_ranked"))]
-    return joined.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check"), v.alias("violations")) for n, v in pairs])))
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check"), v.alias("violations")) for n, v in pairs])))
 
 
 def payload_violations(payload: DataFrame, market: str) -> DataFrame:
@@ -138,6 +138,15 @@ def regression_contract(observed: DataFrame, expected: DataFrame, tolerance: flo
     return joined.groupBy("name").agg(F.bool_and(same).alias("pass"), F.count(F.lit(1)).alias("fields"))
 
 
+def expected_values(spark: SparkSession) -> DataFrame:
+    """The frozen monthly numbers as a table (name, field, value)."""
+    return spark.createDataFrame([tuple(v) for v in K.REGRESSION_VALUES], "name string, field string, value double")
+
+
+def expected_labels(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([tuple(v) for v in K.REGRESSION_LABELS], "name string, field string, value string")
+
+
 def label_contract(observed: DataFrame, expected: DataFrame) -> DataFrame:
     joined = expected.withColumnRenamed("value", "wanted").join(observed, ["name", "field"], "left")
     return joined.groupBy("name").agg(F.bool_and(F.col("wanted").eqNullSafe(F.col("value"))).alias("pass"),

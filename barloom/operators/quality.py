@@ -29,9 +29,8 @@ def market_outage(securities: DataFrame, daily: DataFrame, calendar: DataFrame)
     active = securities.filter(is_active()).select("security_id")
     have = (daily.join(active, "security_id", "left_semi").groupBy("date")
             .agg(F.count_distinct("security_id").alias("available")))
-    total = active.agg(F.count(F.lit(1)).alias("active")).withColumn("one", F.lit(1))
     days = (calendar.select("date").distinct().join(have, "date", "left").fillna(0, ["available"])
-            .withColumn("one", F.lit(1)).join(F.broadcast(total), "one").drop("one"))
+            .withColumn("active", active.agg(F.count(F.lit(1))).scalar()))
     share = (F.col("active") - F.col("available")) / F.nullif(F.col("active"), F.lit(0))
     return days.withColumn("status", F.when(share >= K.OUTAGE_SHARE, "MARKET_WIDE_DATA_UNAVAILABLE").otherwise("COMPLETE"))
 
@@ -79,10 +78,10 @@ def missing_sessions(bars: DataFrame, sessions: DataFrame, wanted: DataFrame, re
     """
     valid = bars.filter(is_structural()).join(wanted.select("security_id"), "security_id", "left_semi")
     rows = _on_sessions(valid, sessions).select("security_id", "idx").distinct()
-    ends = sessions.agg(F.max("idx").alias("end_idx"), F.min("idx").alias("start_idx")).withColumn("one", F.lit(1))
+    end_idx, start_idx = sessions.agg(F.max("idx")).scalar(), sessions.agg(F.min("idx")).scalar()
     # One closing mark per security after the last session turns trailing gaps into inner ones.
-    marks = (wanted.select("security_id").distinct().withColumn("one", F.lit(1)).join(F.broadcast(ends), "one")
-             .select("security_id", (F.col("end_idx") + 1).alias("idx"), "start_idx", "end_idx"))
+    marks = wanted.select("security_id").distinct().select(
+        "security_id", (end_idx + 1).alias("idx"), start_idx.alias("start_idx"), end_idx.alias("end_idx"))
     lane = rows.withColumn("start_idx", F.lit(None).cast("bigint")).withColumn("end_idx", F.lit(None).cast("bigint"))
     axis = Window.partitionBy("security_id").orderBy("idx")
     placed = lane.unionByName(marks).select(
@@ -143,9 +142,9 @@ def quality_flags(bars: DataFrame, sessions: DataFrame, securities: DataFrame, d
         F.bool_or(F.col("date") == F.col("day_before")).alias("twice"),
         F.bool_or(F.col("idx") - F.col("before") > 1).alias("gap"),
         F.bool_or(jump).alias("jump"), F.count_distinct("idx").alias("on_calendar"))
-    size = F.broadcast(sessions.agg(F.count(F.lit(1)).alias("wanted")).withColumn("one", F.lit(1)))
-    flat = (securities.select("security_id", "identity_review", F.lit(1).alias("one"))
-            .join(seen, "security_id", "left").join(size, "one"))
+    size = sessions.agg(F.count(F.lit(1))).scalar()
+    flat = (securities.select("security_id", "identity_review").join(seen, "security_id", "left")
+            .withColumn("wanted", size))
 
     def on(name):
         return F.coalesce(F.col(name), F.lit(False))
@@ -169,11 +168,10 @@ def catchup_targets(securities: DataFrame, last: DataFrame, sessions: DataFrame,
     if verified, its listing date. The span is generated from session positions.
     """
     as_of = F.lit(as_of).cast("date")
-    bounds = sessions.filter(F.col("date") <= as_of).agg(
-        F.min("date").alias("floor"), F.max("idx").alias("end_idx")).withColumn("one", F.lit(1))
+    upto = sessions.filter(F.col("date") <= as_of)
     rows = (securities.filter(is_active()).join(last, "security_id")
             .filter(F.col("last_date").isNull() | (F.col("last_date") < as_of))
-            .withColumn("one", F.lit(1)).join(F.broadcast(bounds), "one"))
+            .withColumn("floor", upto.agg(F.min("date")).scalar()).withColumn("end_idx", upto.agg(F.max("idx")).scalar()))
     listed = F.when(F.col("listing_date_verified"), F.col("listing_date"))
     start = F.when(F.col("last_date").isNotNull(), F.date_add("last_date", 1)).otherwise(
         F.greatest(F.col("floor"), F.coalesce(listed, F.col("floor"))))

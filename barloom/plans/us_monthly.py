@@ -10,9 +10,22 @@ from barloom import contracts as K
 from barloom.operators import baseline as B
 from barloom.operators import direction as D
 from barloom.operators import sessions as S
+from barloom.operators.compose import compose_bars, split_adjust
+from barloom.operators.universe import active_securities
 from barloom.session import stage
 
 
+def monthly_bars(base: DataFrame, patch_rows: DataFrame, daily: DataFrame, splits: DataFrame,
+                 securities: DataFrame, as_of) -> DataFrame:
+    """Bars of the month's stock candidates: strictly active and no benchmark fund.
+
+    Other than in the daily ranking the composed result is cut at `as_of`, corrections too.
+    """
+    active = active_securities(securities, default=False).filter(~F.col("ticker").isin(*K.BENCHMARK_TICKERS))
+    bars = split_adjust(compose_bars(base, patch_rows, daily, wanted=active), splits)
+    return bars.filter(F.col("date") <= F.lit(as_of).cast("date"))
+
+
 @dataclass
 class UsMonth:
     split: DataFrame
@@ -56,6 +69,6 @@ def us_pointer(month: UsMonth) -> DataFrame:
     verdicts = month.baseline.groupBy("side").agg(F.max("verdict").alias("vertical_baseline"))
     signal = F.concat_ws("|", "ticker", "signal", F.col("h").cast("string"))
     online = month.online.select("side", signal.alias("online"))
-    coverage = month.replay_counts.select("coverage", F.lit(1).alias("one"))
-    return (verdicts.join(online, "side", "left").withColumn("one", F.lit(1)).join(F.broadcast(coverage), "one")
-            .select("side", F.coalesce("online", F.lit(K.NO_SIGNAL)).alias("direction_signal"), "coverage", "vertical_baseline"))
+    coverage = month.replay_counts.select("coverage").scalar()
+    return verdicts.join(online, "side", "left").select(
+        "side", F.coalesce("online", F.lit(K.NO_SIGNAL)).alias("direction_signal"), coverage.alias("coverage"), "vertical_baseline")

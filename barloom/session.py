@@ -46,10 +46,11 @@ def stage(df: DataFrame) -> DataFrame:
     change between reads. Survives executor loss because the files are shared.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_folder(spark), "stage-" + uuid.uuid4().hex)
+    path = scratch_path(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_folder(spark), name + "-" + uuid.uuid4().hex)
+    """A new path below the application's own folder, so one delete tidies up after a job."""
+    return os.path.join(shared_folder(spark), "barloom-" + spark.sparkContext.applicationId, name + "-" + uuid.uuid4().hex)

@@ -171,9 +171,8 @@ def test_presence_in_a_list_lifts_no_gate(spark):
 
 
 def test_monthly_contract(spark):
-    from barloom.contracts import REGRESSION_VALUES
-    ddl = "name string, field string, value double"
-    expected = spark.createDataFrame([tuple(v) for v in REGRESSION_VALUES], ddl)
+    expected = M.expected_values(spark)
+    assert all(r["pass"] for r in M.label_contract(M.expected_labels(spark), M.expected_labels(spark)).collect())
     assert all(r["pass"] for r in M.regression_contract(expected, expected).collect())
     off = expected.withColumn("value", F.when((F.col("name") == "long_is_core") & (F.col("field") == "wr"), F.col("value") + 1e-11).otherwise(F.col("value")))
     assert [r.name for r in M.regression_contract(off, expected).collect() if not r["pass"]] == ["long_is_core"]

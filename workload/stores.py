@@ -314,6 +314,18 @@ def earnings_daily(spark, d):
     return counted.unionByName(broken)
 
 
+@query("monthly_snapshot", with_ctes("adjusted", "securities") + f"""
+SELECT security_id, {day('date', 'date')}, {BAR_COLUMNS} FROM adjusted
+SEMI JOIN (SELECT security_id FROM securities WHERE listing_status = 'ACTIVE') USING (security_id) WHERE date <= DATE '2001-01-01'""")
+def monthly_snapshot(spark, d):
+    """Composed and adjusted bars of the active candidates, cut, frozen as files and read back."""
+    from barloom.plans.us_monthly import monthly_bars
+    path = scratch_path(spark, "month")
+    ST.write_snapshot(monthly_bars(W.base_bars(spark, d), W.patch_rows(spark, d), W.appended_bars(spark, d), W.splits(spark, d),
+                                   W.securities(spark, d), dt.date(2001, 1, 1)), path)
+    return spark.read.parquet(path).select(*FIELDS)
+
+
 def us_month(spark, d):
     index = W.type_bars(spark, d).filter(F.col("ticker").isin(*W.INDEX_TYPES))
     return us_plan(index, W.daily_bars(spark, d), BT.LEAD_TICKER)
