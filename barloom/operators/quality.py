@@ -141,7 +141,7 @@ def quality_flags(bars: DataFrame, sessions: DataFrame, securities: DataFrame, d
         F.count(F.lit(1)).alias("bar_count"), F.bool_or(~F.col("good")).alias("bad"),
         F.bool_or(F.col("date") == F.col("day_before")).alias("twice"),
         F.bool_or(F.col("idx") - F.col("before") > 1).alias("gap"),
-        F.bool_or(jump).alias("jump"), F.count_distinct("idx").alias("on_calendar"))
+        F.bool_or(jump).alias("jump"), F.count("idx").alias("on_calendar"))
     size = sessions.agg(F.count(F.lit(1))).scalar()
     flat = (securities.select("security_id", "identity_review").join(seen, "security_id", "left")
             .withColumn("wanted", size))
@@ -150,7 +150,7 @@ def quality_flags(bars: DataFrame, sessions: DataFrame, securities: DataFrame, d
         return F.coalesce(F.col(name), F.lit(False))
 
     suspect = on("bad") | on("twice")
-    complete = (F.col("bar_count") == F.col("wanted")) & (F.col("on_calendar") == F.col("wanted"))
+    complete = (F.col("bar_count") == F.col("wanted")) & (F.col("on_calendar") == F.col("wanted")) & ~on("twice")
     late = ~complete & on("gap") & ~suspect
     good, short = ("PASS_DAILY", "MISSING_DAILY") if daily else ("PASS_501", "INSUFFICIENT_HISTORY_NEW_LISTING")
     present = F.array_compact(F.array(
