@@ -274,7 +274,7 @@ def option_labels(securities: DataFrame, contracts: DataFrame, expiries: DataFra
         return F.when(some & F.col("answered") & F.col(name), "TRUE").otherwise("UNKNOWN")
 
     return rows.select(
-        "security_id", has.alias("has_options"), F.to_date(F.timestamp_seconds("nearest")).alias("nearest_expiry"),
+        "security_id", has.alias("has_options"), F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("nearest") / 86400).cast("int")).alias("nearest_expiry"),
         "expiry_count", known("two_strikes").alias("strike_data_available"), known("any_quote").alias("bid_ask_available"),
         known("vertical").alias("vertical_usable"),
         F.when(~F.col("answered"), "SOURCE_UNAVAILABLE").when(some, "CHECKED").otherwise("NO_EXPIRIES").alias("status"))

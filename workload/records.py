@@ -460,7 +460,7 @@ def option_chain_label(spark, d):
     o = W.table(spark, d, "orders")
     p, total = F.col("o_orderpriority"), F.col("o_totalprice")
     contracts = o.select(
-        W.security_id(F.col("o_custkey")).alias("security_id"), F.unix_seconds(F.trunc("o_orderdate", "month").cast("timestamp")).alias("expiry"),
+        W.security_id(F.col("o_custkey")).alias("security_id"), (F.unix_date(F.trunc("o_orderdate", "month")).cast("bigint") * 86400).alias("expiry"),
         F.when(F.col("o_orderstatus") == "F", "calls").otherwise("puts").alias("side"), F.floor(total / 50000).cast("double").alias("strike"),
         F.when(p != "5-LOW", total).alias("bid"), F.when(p != "4-NOT SPECIFIED", total + F.when(p == "3-MEDIUM", -1).otherwise(1)).alias("ask"))
     asked = contracts.select("security_id", F.lit(True).alias("answered")).distinct()

@@ -118,13 +118,13 @@ def listing_file_scan(spark, d):
 def charts(spark, d):
     bars = W.supplier_bars(spark, d)
     market = W.securities(spark, d).select("security_id", "market", "ticker")
-    stamp = F.unix_timestamp(F.col("date").cast("timestamp")) + F.lit(14 * 3600)
+    stamp = F.unix_date("date").cast("bigint") * 86400 + 14 * 3600
     x = F.struct(stamp.alias("timestamp"), "open", F.when(F.col("volume") == 50, F.col("low")).otherwise(F.col("high")).alias("high"), "low",
                  F.when(F.col("volume") == 49, None).otherwise(F.col("close")).alias("close"),
                  F.when(F.col("volume") == 48, float("nan")).otherwise(F.col("volume")).alias("volume"))
     packed = bars.groupBy("security_id").agg(F.array_sort(F.collect_list(x)).alias("x"))
     splits = W.splits(spark, d).groupBy("security_id").agg(F.collect_set(F.struct(
-        (F.unix_timestamp(F.col("effective_date").cast("timestamp")) + 14 * 3600).alias("date"), (F.col("factor") * 2).alias("numerator"), F.lit(2.0).alias("denominator"))).alias("s"))
+        (F.unix_date("effective_date").cast("bigint") * 86400 + 14 * 3600).alias("date"), (F.col("factor") * 2).alias("numerator"), F.lit(2.0).alias("denominator"))).alias("s"))
     rows = packed.join(market, "security_id").join(splits, "security_id", "left")
     chart = F.struct(F.lit(None).cast("bigint").alias("gmtoffset"), *[F.col(f"x.{f}").alias(f) for f in ("timestamp", "open", "high", "low", "close", "volume")],
                      F.map_from_entries(F.transform("s", lambda e, i: F.struct(i.cast("string"), e))).alias("splits"))
