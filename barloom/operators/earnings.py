@@ -4,7 +4,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom import contracts as K
 from barloom.functions.checks import ratio_change
 from barloom.functions.text import hk_ticker_key, parse_number, us_ticker_key
 

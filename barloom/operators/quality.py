@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from barloom import contracts as K
 from barloom.functions.checks import is_structural
-from barloom.operators.sessions import last_window
 from barloom.operators.universe import is_active
 
 

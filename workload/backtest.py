@@ -3,7 +3,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barloom import contracts as K
 from barloom.operators import baseline as B
 from barloom.operators import direction as D
 from barloom.operators import sessions as S

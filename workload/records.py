@@ -15,7 +15,7 @@ from barloom.operators import repair as P
 from barloom.operators.indicators import session_index
 from barloom.operators.universe import is_active
 from workload import inputs as W
-from workload.registry import cte, day, query, r, with_ctes
+from workload.registry import cte, day, query, with_ctes
 
 AS_OF, BASE_AS_OF = W.AS_OF, W.BASE_AS_OF
 

@@ -44,11 +44,11 @@ def csv_snapshot_scan(spark, d):
     return DOC.read_csv_bars(spark, path)
 
 
-@query("day_folder_scan", with_ctes("bars") + f"SELECT security_id, {day('date', 'date')}, {day('date', 'folder_date')}, {r('close', 'close')} FROM bars WHERE date > DATE '2001-01-01'")
+@query("day_folder_scan", with_ctes("bars") + f"SELECT security_id, {day('date', 'date')}, {day('date', 'folder_date')}, {r('close', 'close')} FROM bars")
 def day_folder_scan(spark, d):
     path = scratch_path(spark, "folders")
-    bars = W.supplier_bars(spark, d).filter(F.col("date") > F.lit(dt.date(2001, 1, 1)))
-    bars.withColumn("folder", F.col("date")).write.partitionBy("folder").option("compression", "gzip").json(path)
+    bars = W.supplier_bars(spark, d).withColumn("folder", F.col("date"))
+    bars.hint("rebalance", "folder").write.partitionBy("folder").option("compression", "gzip").json(path)
     return DOC.read_day_folders(spark, path).select("security_id", "date", "folder_date", "close")
 
 
