@@ -41,24 +41,51 @@ class WordEncoder:
     """ids of a text as the tokenizer gives them for the whole text.
 
     The tokenizer drops white space and never joins characters across a space or a line feed, so the ids of a text are
-    those of its pieces between them, and a piece seen before is looked up. Ids are kept as 16-bit numbers.
+    those of its pieces between them, and a piece seen before is looked up. A new piece that is one run of Latin-1
+    letters, with full stops or commas behind it or not, is lower-cased and goes to the tokenizer's own model as the two
+    pre-tokens that it is; any other piece goes through the whole tokenizer. Ids are kept as 16-bit numbers.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self._forget()
+
+    def _forget(self) -> None:
         self.known: dict[str, bytes] = {"": b""}
+        self.cores: dict[str, bytes] = {"": b""}
+
+    def _core(self, word: str) -> bytes:
+        """A run of Latin-1 letters in lower case."""
+        if word not in self.cores:
+            pre_token = word if word.isascii() else self.bytes.pre_tokenize_str(word)[0][0]
+            self.cores[word] = np.asarray([t.id for t in self.model.tokenize(pre_token)], "<u2").tobytes()
+        return self.cores[word]
+
+    def _learn(self, words: set[str]) -> None:
+        whole = []
+        for word in words:
+            core = word.rstrip(".,")
+            if core.isalpha() and max(core) <= "\xff" and (len(core) == len(word) or word[len(core):] in self.known):
+                self.known[word] = self._core(core.lower()) + self.known[word[len(core):]]
+            else:
+                whole.append(word)
+        for at in range(0, len(whole), 4096):
+            some = whole[at:at + 4096]
+            for word, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.known[word] = np.asarray(got.ids, "<u2").tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        if fresh := list({w for words in split for w in words}.difference(self.known)):
+        if fresh := {w for words in split for w in words}.difference(self.known):
             if len(self.known) + len(fresh) > REMEMBERED:
-                self.known = {"": b""}
-                fresh = list({w for words in split for w in words if w})
-            for at in range(0, len(fresh), 4096):
-                some = fresh[at:at + 4096]
-                for word, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                    self.known[word] = np.asarray(got.ids, "<u2").tobytes()
+                self._forget()
+                fresh = {w for words in split for w in words if w}
+            self._learn({".", ","}.difference(self.known))
+            self._learn(fresh)
         look = self.known.__getitem__
         return [b"".join(map(look, words)) for words in split]
 
