@@ -121,8 +121,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, ridge: float =
 
 
 def _copy_weights(words: list[np.ndarray]) -> np.ndarray:
-    """1 / number of sampled documents with the same three smallest word hashes, so that a group of copies counts about once."""
-    salts = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint64)
+    """1 / number of sampled documents with the same four smallest word hashes, so that a group of copies counts about once."""
+    salts = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint64)
     marks = [tuple(((w.astype(np.uint64)[:, None] * salts) % np.uint64(2**32)).argmin(0)) if len(w) else () for w in words]
     marks = [tuple(w[list(m)]) for w, m in zip(words, marks, strict=True)]
     counts = Counter(marks)

@@ -94,8 +94,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def trigram_index(keyed: DataFrame, grams: list[str]) -> DataFrame:
     """Postings (gram, k1, k2) of the given trigrams in the whole texts."""
-    low = F.lower("text")
-    present = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(g)), F.lit(g)) for g in grams]))
+    present = F.transform(F.array(F.lower("text")), lambda low: F.filter(F.array(*[F.lit(g) for g in grams]), lambda g: F.contains(low, g)))[0]  # lower once
     return keyed.select("k1", "k2", F.explode(present).alias("gram"))
 
 
