@@ -37,12 +37,13 @@ def base_daily_overlap(base: DataFrame, daily: DataFrame) -> DataFrame:
 
 
 def compose_bars(base: DataFrame, patch_rows: DataFrame, daily: DataFrame,
-                 wanted: DataFrame | None = None, strict: bool = False) -> DataFrame:
+                 wanted: DataFrame | None = None, strict: bool = True) -> DataFrame:
     """Sealed base, overridden by accepted corrections; daily bars fill uncorrected keys.
 
     `wanted` (security_id) restricts all inputs before anything is shuffled. The union is
     placed by security once; the merge, and every later step keyed by security, reuse that
-    placement. With `strict` an overlap of base and daily stops the job.
+    placement. An overlap of base and daily stops the job; only where `strict` is off the
+    daily bar is preferred.
     """
     parts = [(base, 0), (daily, 1), (accepted_corrections(patch_rows), 2)]
     if wanted is not None:
@@ -53,9 +54,9 @@ def compose_bars(base: DataFrame, patch_rows: DataFrame, daily: DataFrame,
     per_key = Window.partitionBy(*KEY)
     picked = merged.withColumn("pick", F.row_number().over(per_key.orderBy(F.desc("source"))))
     if strict:
-        seen = F.sum(F.when(F.col("source") < 2, F.col("source") + 1)).over(per_key)
-        picked = picked.withColumn("clash", seen).filter(
-            F.when(F.col("clash") == 3, F.raise_error(F.concat_ws(
+        both = F.bool_or(F.col("source") == 0).over(per_key) & F.bool_or(F.col("source") == 1).over(per_key)
+        picked = picked.withColumn("clash", both).filter(
+            F.when(F.col("clash"), F.raise_error(F.concat_ws(
                 ":", F.lit("BASE_DAILY_OVERLAP"), F.col("security_id"), F.col("date"))))
             .otherwise(F.lit(True)).cast("boolean"))
     return picked.filter("pick = 1").select(*KEY, *FIELDS, "source")

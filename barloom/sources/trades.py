@@ -1,31 +1,17 @@
 """Roll individual trades up to bars.
 
-Open and close follow a per-trade sequence number. Sequence and price ticks are packed
-into one long, so first and last are plain min and max: they combine on the map side and
-stay in hash aggregation, whatever share of the trades one security holds.
+Open and close are the prices at the smallest and largest (sequence, price), so trades that share a sequence number still
+give one answer. Minima and maxima of pairs combine on the map side, whatever share of the trades one security holds;
+Spark aggregates them by sorting inside each task, as pairs have no place in a hash aggregate's buffer.
 """
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TICKS_PER_UNIT = 10_000
-PACK = 1 << 44  # ticks below 2^44: prices up to 1.7 billion
-
-
-def to_ticks(price: Column) -> Column:
-    return F.floor(price * TICKS_PER_UNIT + 0.5).cast("bigint")
-
 
 def bars_from_trades(trades: DataFrame, keys: list[str]) -> DataFrame:
-    """`trades` has the key columns, tick (long), sequence and quantity."""
-    packed = F.col("sequence").cast("bigint") * PACK + F.col("tick")
-
-    def price(ticks: Column) -> Column:
-        return ticks / float(TICKS_PER_UNIT)
-
+    """`trades` has the key columns, price (double, as it is), sequence and quantity."""
+    at = F.struct("sequence", "price")
     rolled = trades.groupBy(*keys).agg(
-        F.min(packed).alias("first"), F.max(packed).alias("last"),
-        F.max("tick").alias("top"), F.min("tick").alias("bottom"),
+        F.min(at).alias("first"), F.max(at).alias("last"), F.max("price").alias("high"), F.min("price").alias("low"),
         F.sum("quantity").alias("volume"))
-    return rolled.select(
-        *keys, price(F.col("first") % PACK).alias("open"), price(F.col("top")).alias("high"),
-        price(F.col("bottom")).alias("low"), price(F.col("last") % PACK).alias("close"), "volume")
+    return rolled.select(*keys, F.col("first.price").alias("open"), "high", "low", F.col("last.price").alias("close"), "volume")

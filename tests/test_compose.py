@@ -52,3 +52,10 @@ def test_bad_split_factor_stops(spark):
     event = spark.createDataFrame([("US-000001", D2, 0.0)], "security_id string, effective_date date, factor double")
     with pytest.raises(Exception, match="BAD_SPLIT_FACTOR"):
         split_adjust(rows, event).collect()
+
+
+def test_bars_keep_prices_as_they_are(spark):
+    from barloom.sources.trades import bars_from_trades
+    rows = [("a", 1, 2.0e9, 1.0), ("a", 600_000_000_000, 5.0, 1.0), ("b", 1, 0.00004, 2.0), ("c", 3, 7.0, 1.0), ("c", 3, 6.0, 1.0)]
+    got = {r.k: (r.open, r.high, r.low, r.close, r.volume) for r in bars_from_trades(spark.createDataFrame(rows, "k string, sequence long, price double, quantity double"), ["k"]).collect()}
+    assert got == {"a": (2.0e9, 2.0e9, 5.0, 5.0, 2.0), "b": (0.00004,) * 4 + (2.0,), "c": (6.0, 7.0, 6.0, 7.0, 2.0)}

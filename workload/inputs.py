@@ -8,25 +8,22 @@ queue entries come from attributes of the same rows. Every rule runs on whole ta
 from __future__ import annotations
 
 import datetime as dt
-import functools
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.sources.trades import bars_from_trades, to_ticks
+from barloom.sources.trades import bars_from_trades
 from workload.registry import cte
 
 EPOCH = dt.date(1995, 1, 1)
 SESSION_DAYS = 4
 BASE_AS_OF = EPOCH + dt.timedelta(days=4 * 500)
 AS_OF = EPOCH + dt.timedelta(days=4 * 600)
-INDEX_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO")
+INDEX_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 
-@functools.lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Remembered (the plan, not the rows), so its footer is read once."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
@@ -57,7 +54,7 @@ def trades(spark: SparkSession, sf_dir: str, after: dt.date | None = None, until
         F.col("l_shipdate").cast("date").alias("day"),
         session_of(F.col("l_shipdate")).alias("date"),
         F.col("l_linenumber").alias("sequence"),
-        to_ticks(F.col("l_extendedprice") / F.col("l_quantity")).alias("tick"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
         F.col("l_quantity").alias("quantity"),
         "l_returnflag", "l_linestatus", "l_discount", "l_tax")
 
@@ -66,13 +63,12 @@ cte("trades", """
 SELECT printf('US-%06d', l_suppkey + 1) AS security_id, l_partkey, l_orderkey,
   CAST(l_shipdate AS DATE) AS day,
   DATE '1995-01-01' + CAST(4 * (date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) // 4) AS INTEGER) AS date,
-  l_linenumber AS sequence, CAST(floor(l_extendedprice / l_quantity * 10000 + 0.5) AS BIGINT) AS tick,
+  l_linenumber AS sequence, l_extendedprice / l_quantity AS price,
   l_quantity AS quantity, l_returnflag, l_linestatus, l_discount, l_tax
 FROM lineitem""")
 
-BAR_SQL = """(min(sequence * 17592186044416 + tick) % 17592186044416) / 1e4 AS open,
-  max(tick) / 1e4 AS high, min(tick) / 1e4 AS low,
-  (max(sequence * 17592186044416 + tick) % 17592186044416) / 1e4 AS close, sum(quantity) AS volume"""
+BAR_SQL = """min({'s': sequence, 'p': price}).p AS open, max(price) AS high, min(price) AS low,
+  max({'s': sequence, 'p': price}).p AS close, sum(quantity) AS volume"""
 
 
 def supplier_bars(spark: SparkSession, sf_dir: str, after=None, until=None) -> DataFrame:
@@ -86,9 +82,9 @@ def by_supplier(rows: DataFrame) -> DataFrame:
         security_id(F.col("supplier")).alias("security_id"), "date", "open", "high", "low", "close", "volume")
 
 
-def known_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bars up to the date of the ranking."""
-    return supplier_bars(spark, sf_dir, until=AS_OF)
+def known_bars(spark: SparkSession, sf_dir: str, until: dt.date | None = None) -> DataFrame:
+    """All bars, or those up to the date of a ranking."""
+    return supplier_bars(spark, sf_dir, until=until)
 
 
 cte("bars", f"SELECT security_id, date, {BAR_SQL} FROM trades GROUP BY 1, 2", "trades")
@@ -117,39 +113,38 @@ def base_bars(spark, sf_dir) -> DataFrame:
     return supplier_bars(spark, sf_dir, until=BASE_AS_OF).withColumn("adjustment_as_of", F.lit(BASE_AS_OF))
 
 
-def appended_bars(spark, sf_dir) -> DataFrame:
-    return supplier_bars(spark, sf_dir, BASE_AS_OF, AS_OF).withColumn("adjustment_as_of", F.col("date"))
+def appended_bars(spark, sf_dir, until: dt.date | None = None) -> DataFrame:
+    return supplier_bars(spark, sf_dir, BASE_AS_OF, until).withColumn("adjustment_as_of", F.col("date"))
 
 
 cte("base", f"SELECT *, DATE '{BASE_AS_OF}' AS adjustment_as_of FROM bars WHERE date <= DATE '{BASE_AS_OF}'", "bars")
-cte("appended", f"""SELECT *, date AS adjustment_as_of FROM bars
-WHERE date > DATE '{BASE_AS_OF}' AND date <= DATE '{AS_OF}'""", "bars")
+cte("appended", f"SELECT *, date AS adjustment_as_of FROM bars WHERE date > DATE '{BASE_AS_OF}'", "bars")
+cte("appended_to_date", f"SELECT * FROM appended WHERE date <= DATE '{AS_OF}'", "appended")
 
 
-def patch_rows(spark, sf_dir) -> DataFrame:
+def patch_rows(spark, sf_dir, until: dt.date | None = None) -> DataFrame:
     """Corrections: returned goods, one correction per line status and line number."""
-    returned = trades(spark, sf_dir, until=AS_OF).filter(F.col("l_returnflag") == "R")
+    returned = trades(spark, sf_dir, until=until).filter(F.col("l_returnflag") == "R")
     keys = ["security_id", "date", "l_linestatus", "sequence"]
     marks = returned.groupBy(*keys).agg(
         (F.max("l_discount") >= 0.03).alias("accepted"),
         F.when(F.max("l_tax") >= 0.04, "RESOLVED").when(F.max("l_tax") >= 0.02, "IDENTITY_FIXED")
         .otherwise("UNRESOLVED").alias("result"),
-        F.max("tick").alias("top"), F.min("tick").alias("bottom"), F.sum("quantity").alias("volume"))
+        F.max("price").alias("top"), F.min("price").alias("bottom"), F.sum("quantity").alias("volume"))
     return marks.select(
-        "security_id", "date", (F.col("bottom") / 1e4).alias("open"), (F.col("top") / 1e4).alias("high"),
-        (F.col("bottom") / 1e4).alias("low"), (F.col("top") / 1e4).alias("close"), "volume",
+        "security_id", "date", F.col("bottom").alias("open"), F.col("top").alias("high"), F.col("bottom").alias("low"), F.col("top").alias("close"), "volume",
         F.col("date").alias("adjustment_as_of"), "accepted", "result",
         F.col("l_linestatus").alias("path"), F.col("sequence").alias("item"), F.lit(0).alias("position"))
 
 
-cte("patch_rows", f"""
-SELECT security_id, date, min(tick) / 1e4 AS open, max(tick) / 1e4 AS high, min(tick) / 1e4 AS low,
-  max(tick) / 1e4 AS close, sum(quantity) AS volume, date AS adjustment_as_of,
+cte("patch_rows", """
+SELECT security_id, date, min(price) AS open, max(price) AS high, min(price) AS low,
+  max(price) AS close, sum(quantity) AS volume, date AS adjustment_as_of,
   max(l_discount) >= 0.03 AS accepted,
   CASE WHEN max(l_tax) >= 0.04 THEN 'RESOLVED' WHEN max(l_tax) >= 0.02 THEN 'IDENTITY_FIXED'
        ELSE 'UNRESOLVED' END AS result,
   l_linestatus AS path, sequence AS item, 0 AS position
-FROM trades WHERE l_returnflag = 'R' AND date <= DATE '{AS_OF}'
+FROM trades WHERE l_returnflag = 'R'
 GROUP BY security_id, date, l_linestatus, sequence""", "trades")
 
 

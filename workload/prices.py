@@ -82,11 +82,11 @@ def wanted_prices(spark, d):
 
 
 # --- indicators at the last bar ----------------------------------------------
-def snapshot(spark, d):
-    return I.latest_indicators(W.known_bars(spark, d))
+def snapshot(spark, d, until=None):
+    return I.latest_indicators(W.known_bars(spark, d, until))
 
 
-cte("known_bars", f"SELECT * FROM bars WHERE date <= DATE '{AS_OF}'", "bars")
+cte("known_bars", "SELECT * FROM bars", "bars")
 cte("back", """SELECT *, row_number() OVER (PARTITION BY security_id ORDER BY date DESC) AS back,
   row_number() OVER (PARTITION BY security_id ORDER BY date) AS i,
   count(*) OVER (PARTITION BY security_id) AS n FROM known_bars""", "known_bars")
@@ -274,12 +274,12 @@ RANK_COLUMNS = ("security_id", "filter_pass", "filter_reason", "rank_score", "ra
 
 @query("rank_score", with_ctes("bars") + _score_sql("bars", True))
 def rank_score(spark, d):
-    return R.rank(R.score(R.relative_strength(snapshot(spark, d)), AS_OF)).select(*RANK_COLUMNS)
+    return R.rank(R.score(R.relative_strength(snapshot(spark, d, AS_OF)), AS_OF)).select(*RANK_COLUMNS)
 
 
 @query("rank_score_autoclose", with_ctes("bars") + _score_sql("bars", False))
 def rank_score_autoclose(spark, d):
-    scored = R.score(R.relative_strength(snapshot(spark, d)), AS_OF, price_gate=False)
+    scored = R.score(R.relative_strength(snapshot(spark, d, AS_OF)), AS_OF, price_gate=False)
     return R.rank(scored).select(*RANK_COLUMNS)
 
 
@@ -288,5 +288,5 @@ def rank_score_autoclose(spark, d):
     SELECT security_id FROM securities WHERE coalesce(listing_status, 'ACTIVE') = 'ACTIVE') USING (security_id))""" + _score_sql("active_bars", True))
 def daily_rank(spark, d):
     from barloom.plans.daily_rank import daily_rank as plan
-    return plan(W.base_bars(spark, d), W.patch_rows(spark, d), W.appended_bars(spark, d),
+    return plan(W.base_bars(spark, d), W.patch_rows(spark, d, AS_OF), W.appended_bars(spark, d, AS_OF),
                 W.splits(spark, d), W.securities(spark, d), AS_OF).select(*RANK_COLUMNS)

@@ -17,7 +17,7 @@ HORIZONS = (5, 10, 20, 60)
 
 # --- excursions: block trades of full lots are the anchors -----------------------------
 cte("anchors", """SELECT DISTINCT security_id, date AS signal_date, CASE WHEN l_discount >= 0.05 THEN date + 4 END AS entry_date,
-  CASE WHEN l_tax >= 0.06 THEN tick / 1e4 END AS entry_price, CASE WHEN l_returnflag = 'R' THEN 'SHORT' ELSE 'LONG' END AS direction
+  CASE WHEN l_tax >= 0.06 THEN price END AS entry_price, CASE WHEN l_returnflag = 'R' THEN 'SHORT' ELSE 'LONG' END AS direction
 FROM trades WHERE quantity = 50""", "trades")
 cte("placed", "SELECT *, row_number() OVER (PARTITION BY security_id ORDER BY date) - 1 AS pos FROM bars", "bars")
 
@@ -26,7 +26,7 @@ def anchors(spark, d):
     return W.trades(spark, d).filter("quantity = 50").select(
         "security_id", F.col("date").alias("signal_date"),
         F.when(F.col("l_discount") >= 0.05, F.date_add("date", 4)).alias("entry_date"),
-        F.when(F.col("l_tax") >= 0.06, F.col("tick") / 1e4).alias("entry_price"),
+        F.when(F.col("l_tax") >= 0.06, F.col("price")).alias("entry_price"),
         F.when(F.col("l_returnflag") == "R", "SHORT").otherwise("LONG").alias("direction")).distinct()
 
 
