@@ -42,14 +42,8 @@ def interval(draws: np.ndarray) -> tuple[float | None, float | None]:
     """2.5 and 97.5 percentiles, linear between the neighbouring order statistics."""
     if not len(draws):
         return None, None
-    ordered = np.sort(draws)
-    out = []
-    for q in (.025, .975):
-        pos = (len(ordered) - 1) * q
-        lo, hi = int(np.floor(pos)), int(np.ceil(pos))
-        out.append(float(ordered[lo]) if lo == hi
-                   else float(ordered[lo] * (hi - pos) + ordered[hi] * (pos - lo)))
-    return out[0], out[1]
+    low, high = np.percentile(draws, (2.5, 97.5))
+    return float(low), float(high)
 
 
 INTERVAL = T.StructType([T.StructField(n, T.DoubleType()) for n in ("low", "high")])

@@ -68,12 +68,20 @@ def unescape(text: pa.Array) -> pa.Array:
     return pa.array([None if t is None else html.unescape(t) for t in text.to_pylist()], pa.string())
 
 
-def strip_markup(markup: Column) -> Column:
-    """Cell text: entities decoded, tags removed, runs of white space made one blank."""
-    text = F.regexp_replace(unescape(markup), "<[^>]+>", "")
+def _one_blank(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(text, "\u00a0", " "), r"\s+", " "))
 
 
+def cell_text(markup: Column) -> Column:
+    """Text of a table cell: tags removed, then entities decoded, so that escaped signs stay; one blank for white space."""
+    return _one_blank(unescape(F.regexp_replace(markup, "<[^>]+>", "")))
+
+
+def strip_markup(markup: Column) -> Column:
+    """Text of a designated list: entities decoded first, then tags removed; one blank for white space."""
+    return _one_blank(F.regexp_replace(unescape(markup), "<[^>]+>", ""))
+
+
 def parse_day(text: Column) -> Column:
     """dd/MM/yyyy, null when it is not a date."""
     return F.to_date(F.try_to_timestamp(text, F.lit("dd/MM/yyyy")))
