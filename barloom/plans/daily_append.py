@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from barloom import contracts as K
 from barloom.operators import quality as Q
 from barloom.operators.universe import active_securities
+from barloom.sinks.stores import PRICES, conflicts
 
 
 @dataclass
@@ -16,20 +17,25 @@ class DailyAppend:
     new_bars: DataFrame
     queue_items: DataFrame
     receipt: DataFrame
+    violations: DataFrame
 
 
 def daily_append(securities: DataFrame, daily: DataFrame, fetched: DataFrame, sessions: DataFrame,
                  base_as_of, as_of) -> DailyAppend:
     """`fetched` are bars from the source; only sessions a security still needs are taken.
 
-    A source-wide outage (80 % of the active securities without a bar) yields no bars and
+    Equal copies of a bar are merged; a security and date that come with different prices
+    are violations and nothing of them is taken. A source-wide outage (80 % of the active securities without a bar) yields no bars and
     no queue items.
     """
     day = F.lit(as_of).cast("date")
     known = daily.filter(F.col("date") <= day)
     last = Q.last_stored(securities, known, base_as_of)
     needed = Q.catchup_targets(securities, last, sessions, as_of)
-    taken = fetched.join(needed, ["security_id", "date"], "left_semi").dropDuplicates(["security_id", "date"])
+    offered = fetched.join(needed, ["security_id", "date"], "left_semi")
+    key = ["security_id", "date"]
+    wrong = conflicts(offered, None, key, PRICES)
+    taken = offered.join(wrong.select(*key), key, "left_anti").dropDuplicates(key)
     active = active_securities(securities).select("security_id")
     have = (active.join(last, "security_id").withColumn("stored", F.coalesce(F.col("last_date") >= day, F.lit(False)))
             .join(taken.filter(F.col("date") == day).select("security_id", F.lit(True).alias("arrived")), "security_id", "left")
@@ -48,4 +54,4 @@ def daily_append(securities: DataFrame, daily: DataFrame, fetched: DataFrame, se
     queue = failed.unionByName(suspect).join(open_market, "trade_date", "left_semi")
     written = new.agg(F.count(F.lit(1)).alias("written")).withColumn("trade_date", day)
     repairs = queue.agg(F.count(F.lit(1)).alias("repairs")).withColumn("trade_date", day)
-    return DailyAppend(new, queue, receipt.join(written, "trade_date").join(repairs, "trade_date"))
+    return DailyAppend(new, queue, receipt.join(written, "trade_date").join(repairs, "trade_date"), wrong)

@@ -1,6 +1,8 @@
 """Stores that only grow, written so that running a job again adds nothing."""
 from __future__ import annotations
 
+import functools
+import operator
 import os
 
 from pyspark.errors import AnalysisException
@@ -12,6 +14,8 @@ from barloom.session import stage
 
 BAR_KEY = ["security_id", "trade_date"]
 ACTION_KEY = ["security_id", "effective_date", "factor"]
+#: A file is hashed as one value.
+MOST_FILE_BYTES = 512 << 20
 PATCH_KEY = ["market", "security_id", "category", "batch", "trade_date"]
 
 
@@ -28,20 +32,42 @@ def _unstored(rows: DataFrame, stored: DataFrame | None, key: list[str]) -> Data
     return rows if stored is None else rows.join(stored.select(*key), key, "left_anti")
 
 
-def append_daily(rows: DataFrame, path: str) -> None:
-    """Append bars to their own date's partition; keys already stored are left out.
+def _content(rows: DataFrame, key: list[str]):
+    """Everything but the key, as one comparable value."""
+    return F.to_json(F.struct(*[F.col(c) for c in sorted(rows.columns) if c not in key]), {"ignoreNullFields": "false"})
 
-    A catch-up brings several dates: only the partitions of those dates are read for the
-    key check. Rows are rebalanced by date, so a large date is split into several files.
+
+def conflicts(rows: DataFrame, stored: DataFrame | None, key: list[str], compare: list[str]) -> DataFrame:
+    """Violation rows (key, error): keys that come with different content, or differ from what is stored under them."""
+    content = _content(rows.select(*key, *compare), key)
+    within = rows.groupBy(*key).agg((F.min(content) != F.max(content)).alias("differ")).filter("differ").select(*key, F.lit("CONFLICT_IN_DELIVERY").alias("error"))
+    if stored is None:
+        return within
+    before = stored.select(*key, _content(stored.select(*key, *compare), key).alias("before"))
+    return within.unionByName(rows.select(*key, content.alias("after")).join(before, key).filter("before <> after")
+                              .select(*key, F.lit("CONFLICT_WITH_STORED").alias("error")).distinct())
+
+
+PRICES = ["open", "high", "low", "close", "volume"]
+
+
+def append_daily(rows: DataFrame, path: str) -> DataFrame:
+    """Append bars to their own date's partition; returns the violations, one row a key and kind.
+
+    Keys already stored with the same prices are left out, equal copies are merged. A key that comes with different
+    prices, or with others than are stored, is a violation and is not written; the others are. A catch-up brings several
+    dates: only the partitions of those dates are read for the key check. Rows are rebalanced by date, so a large date
+    is split into several files.
     """
-    rows = rows.withColumn("trade_date", F.coalesce("trade_date", "date") if "trade_date" in rows.columns else F.col("date"))
-    rows = rows.dropDuplicates(BAR_KEY)
+    rows = stage(rows.withColumn("trade_date", F.coalesce("trade_date", "date") if "trade_date" in rows.columns else F.col("date")))
     stored = _stored(rows.sparkSession, path)
     if stored is not None:
         dates = F.broadcast(rows.select("trade_date").distinct())  # bounded by the calendar
         stored = stored.join(dates, "trade_date", "left_semi")
-    new = _unstored(rows, stored, BAR_KEY)
+    wrong = stage(conflicts(rows, stored, BAR_KEY, [c for c in PRICES if c in rows.columns]))
+    new = _unstored(rows.join(wrong.select(*BAR_KEY), BAR_KEY, "left_anti").dropDuplicates(BAR_KEY), stored, BAR_KEY)
     new.hint("rebalance", "trade_date").write.mode("append").partitionBy("trade_date").parquet(path)
+    return wrong
 
 
 def append_actions(events: DataFrame, path: str) -> None:
@@ -57,24 +83,32 @@ def patch_identity(rows: DataFrame) -> DataFrame:
 
 
 def patch_conflicts(patches: DataFrame, stored: DataFrame) -> DataFrame:
-    """Corrections whose identity is stored with another result."""
-    before = stored.select("identity", F.col("result").alias("stored_result"))
-    return (patch_identity(patches).join(before, "identity").filter("result <> stored_result")
-            .select("identity", "security_id", "result", "stored_result"))
+    """Corrections whose key is stored with another result."""
+    before = stored.select(*[F.col(c).alias(f"_{c}") for c in PATCH_KEY], F.col("result").alias("stored_result"))
+    rows = patch_identity(patches)
+    same = functools.reduce(operator.and_, [rows[c].eqNullSafe(before[f"_{c}"]) for c in PATCH_KEY])
+    return rows.join(before, same).filter("result <> stored_result").select("identity", "security_id", "result", "stored_result")
 
 
 def append_patches(patches: DataFrame, path: str) -> DataFrame | None:
-    """Append accepted corrections, one per identity; returns the conflicts with stored ones.
+    """Append accepted corrections, one per key; returns the conflicts in the delivery and with stored ones.
 
-    Nothing is written when there is a conflict.
+    Nothing is written when there is a conflict. The five key columns decide (nulls equal); the identity is a name only.
     """
-    accepted = stage(patch_identity(patches.filter("accepted")).dropDuplicates(["identity"]))
+    accepted = stage(patch_identity(patches.filter("accepted")))
+    many = accepted.groupBy(*PATCH_KEY).agg(F.min("identity").alias("identity"), F.min("result").alias("result"), F.max("result").alias("stored_result"))
+    wrong = many.filter("result <> stored_result").select("identity", "security_id", "result", "stored_result")
     stored = _stored(patches.sparkSession, path)
     if stored is not None:
-        conflicts = patch_conflicts(accepted.drop("identity"), stored)
-        if not conflicts.isEmpty():
-            return conflicts
-    _unstored(accepted, stored, ["identity"]).write.mode("append").parquet(path)
+        wrong = wrong.unionByName(patch_conflicts(accepted.drop("identity"), stored))
+    wrong = stage(wrong)
+    if not wrong.isEmpty():
+        return wrong
+    fresh = accepted.dropDuplicates(PATCH_KEY)
+    if stored is not None:
+        same = [fresh[c].eqNullSafe(stored[c]) for c in PATCH_KEY]
+        fresh = fresh.join(stored, functools.reduce(operator.and_, same), "left_anti")
+    fresh.write.mode("append").parquet(path)
     return None
 
 
@@ -117,6 +151,9 @@ def snapshot_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Rows, bytes and SHA-256 of every file of a snapshot."""
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
     counted = spark.read.parquet(path).groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("rows"))
+    sizes = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path", "length")
+    if large := sizes.filter(F.col("length") > MOST_FILE_BYTES).select("path").limit(5).collect():
+        raise ValueError(f"too large to be hashed as one value, write with fewer rows a file: {[r.path for r in large]}")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select(
         F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
     return files.join(counted, "name", "left").fillna(0, ["rows"])

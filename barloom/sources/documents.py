@@ -12,8 +12,17 @@ from barloom.schemas import CORPORATE_ACTION, PATCH, PATCH_DOCUMENT, STORED_BAR
 DAY_FOLDER = r"/(?:[a-z_]+=)?(\d{4}-\d{2}-\d{2})/(?:[^/]+/)?[^/]+$"
 
 
+def refuse_unread(spark: SparkSession, path: str) -> None:
+    """Fail with the names of `.gzip` files: Spark unpacks `.gz` only, so they would be skipped or read as they are."""
+    names = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.gzip").load(path)
+             .select("path").limit(20).collect())
+    if names:
+        raise ValueError(f"files with the suffix .gzip, rename them to .gz: {sorted(r.path for r in names)}")
+
+
 def read_bars(spark: SparkSession, path: str, suffix: str = "*.gz") -> DataFrame:
     """Compressed newline-delimited JSON bars, with an explicit schema."""
+    refuse_unread(spark, path)
     return effective_bars(spark.read.schema(STORED_BAR).option("pathGlobFilter", suffix).json(path))
 
 
@@ -28,6 +37,7 @@ def read_day_folders(spark: SparkSession, root: str, suffix: str = "*.gz") -> Da
 
     The folder may be bare or `name=<date>`; folders that are not dates are left out.
     """
+    refuse_unread(spark, root)
     stored = (spark.read.schema(STORED_BAR).option("recursiveFileLookup", True)
               .option("pathGlobFilter", suffix).json(root))
     folder = F.regexp_extract(F.col("_metadata.file_path"), DAY_FOLDER, 1)

@@ -5,10 +5,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom import contracts as K
-from barloom.functions.text import hk_ticker, strip_markup
+from barloom.functions.text import cell_text, hk_ticker, strip_markup
 
 
-def page_cells(pages: DataFrame, row: str = "tr", cell: str = "td|th", table_id: str | None = None) -> DataFrame:
+def page_cells(pages: DataFrame, row: str = "tr", cell: str = "td|th", table_id: str | None = None, text=cell_text) -> DataFrame:
     """(page columns, row_no, cell_no, text) for every cell of every row element.
 
     `table_id` restricts to the table with that id; a table nested inside it is not told
@@ -23,7 +23,7 @@ def page_cells(pages: DataFrame, row: str = "tr", cell: str = "td|th", table_id:
         markup, F.lit(rf"(?is)<{row}\b[^>]*>(.*?)</{row}>"), F.lit(1))).alias("row_no", "markup"))
     cells = rows.select(*kept, "row_no", F.posexplode(F.regexp_extract_all(
         "markup", F.lit(rf"(?is)<(?:{cell})\b[^>]*>(.*?)</(?:{cell})>"), F.lit(1))).alias("cell_no", "cell"))
-    return cells.select(*kept, "row_no", "cell_no", strip_markup(F.col("cell")).alias("text"))
+    return cells.select(*kept, "row_no", "cell_no", text(F.col("cell")).alias("text"))
 
 
 def designated_securities(pages: DataFrame, as_of, minimum: int = K.MIN_DESIGNATED_ROWS,
@@ -37,7 +37,7 @@ def designated_securities(pages: DataFrame, as_of, minimum: int = K.MIN_DESIGNAT
     day, issue = F.lit(as_of).cast("date"), ["list_id", "page_date"]
     recent = pages.filter(F.col("page_date").between(F.date_sub(day, lookback - 1), day)
                           & F.contains("html", F.lit("Designated Securities")))
-    cells = page_cells(recent.select(*issue, "page_no", "html"), cell="td")
+    cells = page_cells(recent.select(*issue, "page_no", "html"), cell="td", text=strip_markup)
     wide = cells.groupBy(*issue, "page_no", "row_no").agg(
         F.max(F.when(F.col("cell_no") == 1, F.col("text"))).alias("code"), F.max(F.when(F.col("cell_no") == 2, F.col("text"))).alias("name"))
     coded = wide.filter(F.col("code").rlike(r"^\d{1,5}$")).withColumn("stock_code", F.col("code").cast("int"))
@@ -49,6 +49,12 @@ def designated_securities(pages: DataFrame, as_of, minimum: int = K.MIN_DESIGNAT
             .select("list_id", F.col("page_date").alias("effective_date"), "stock_code", hk_ticker(F.col("stock_code")).alias("ticker"), "name"))
 
 
+def designated_missing(pages: DataFrame, as_of, minimum: int = K.MIN_DESIGNATED_ROWS, lookback: int = K.DESIGNATED_LOOKBACK_DAYS) -> DataFrame:
+    """An error row for every list that has no usable issue in the days looked at."""
+    usable = designated_securities(pages, as_of, minimum, lookback).select("list_id").distinct()
+    return pages.select("list_id").distinct().join(usable, "list_id", "left_anti").withColumn("error", F.lit("DESIGNATED_LIST_UNAVAILABLE"))
+
+
 FOOTER = "File Creation Time:"
 
 
@@ -63,12 +69,12 @@ def listing_rows(lines: DataFrame) -> DataFrame:
     header = lines.groupBy("file").agg(F.min("place").alias("first"),
                                        F.split(F.min_by("value", "place"), r"\|").alias("header"),
                                        F.max(F.when(F.col("value").startswith(FOOTER), F.col("place"))).alias("footer"))
-    placed = lines.join(F.broadcast(header), "file")  # one row per file
+    placed = lines.join(header, "file")
     tail = placed.groupBy("file").agg(F.count(F.when(F.col("place") > F.col("footer"), 1)).alias("after"),
                                       F.max("footer").isNotNull().alias("stamped"))
     sound = tail.select("file", (F.col("stamped") & (F.col("after") <= 2)).alias("sound"))
     body = placed.filter((F.col("place") > F.col("first")) & F.contains("value", F.lit("|")) & ~F.col("value").startswith(FOOTER))
-    cells = body.withColumn("cells", F.split("value", r"\|")).join(F.broadcast(sound), "file")
+    cells = body.withColumn("cells", F.split("value", r"\|")).join(sound, "file")
 
     def named(*names):
         found = [F.try_element_at("cells", F.nullif(F.array_position("header", n), F.lit(0).cast("bigint")).cast("int")) for n in names]

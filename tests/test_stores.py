@@ -68,10 +68,28 @@ def test_second_append_writes_nothing(spark, tmp_path):
     ST.append_daily(rows, path)
     assert len(stored(spark, path)) == 3
     assert len([f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]) == files
-    ST.append_daily(bars_frame(spark, [bar(d[0], 999), bar(d[0], 50, "US-000002")]), path)
+    wrong = ST.append_daily(bars_frame(spark, [bar(d[0], 999), bar(d[0], 50, "US-000002")]), path)
+    assert [(r.security_id, r.trade_date, r.error) for r in wrong.collect()] == [("US-000001", d[0], "CONFLICT_WITH_STORED")]
     assert stored(spark, path)[0] == ("US-000001", d[0], 100.0) and len(stored(spark, path)) == 4
 
 
+def test_copies_that_differ_are_violations(spark, tmp_path):
+    path, d = str(tmp_path / "store"), days(2)
+    rows = bars_frame(spark, [bar(d[0], 1), bar(d[0], 9), bar(d[1], 2), bar(d[1], 2)])
+    assert [(r.trade_date, r.error) for r in ST.append_daily(rows, path).collect()] == [(d[0], "CONFLICT_IN_DELIVERY")]
+    assert stored(spark, path) == [("US-000001", d[1], 2.0)]
+
+
+def test_files_that_would_be_skipped_are_refused(spark, tmp_path):
+    folder, d = str(tmp_path / "in"), days(1)
+    put(f"{folder}/{d[0]}/part-1.ndjson.gz", [line(d[0], 10)])
+    assert DOC.read_day_folders(spark, folder).count() == 1
+    put(f"{folder}/{d[0]}/part-2.ndjson.gzip", [line(d[0], 10)])
+    for read in (lambda: DOC.read_day_folders(spark, folder), lambda: DOC.read_bars(spark, folder), lambda: ingest_bars(spark, folder, str(tmp_path / "o"), str(tmp_path / "p"))):
+        with pytest.raises(ValueError, match="part-2.ndjson.gzip"):
+            read()
+
+
 def test_stream_equals_batch_and_late_dates_arrive(spark, tmp_path):
     arrivals, store, progress, d = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "progress"), days(4)
     put(f"{arrivals}/{d[1]}/part-1.ndjson.gz", [line(d[1], 11), line(d[2], 12)])

@@ -178,25 +178,24 @@ WITH rows_ AS (SELECT page_id, regexp_extract_all(html, '(?is)<ul\b[^>]*>(.*?)</
 a AS (SELECT page_id, unnest(range(len(ms))) AS row_no, unnest(ms) AS m FROM rows_),
 b AS (SELECT page_id, row_no, regexp_extract_all(m, '(?is)<(?:li)\b[^>]*>(.*?)</(?:li)>', 1) AS cs FROM a),
 c AS (SELECT page_id, row_no, unnest(range(len(cs))) AS cell_no, unnest(cs) AS cell FROM b)
-SELECT page_id, row_no, cell_no, trim(regexp_replace(regexp_replace(replace(replace(replace(cell, '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '<[^>]+>', '', 'g'), '\s+', ' ', 'g')) AS text FROM c""")
+SELECT page_id, row_no, cell_no, trim(regexp_replace(replace(replace(replace(regexp_replace(cell, '<[^>]+>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM c""")
 def html_table_rows(spark, d):
     return PG.page_cells(W.table(spark, d, "pages").select("page_id", "html"), row="ul", cell="li")
 
 
 @query("designated_list", f"""
-WITH r AS (SELECT o_custkey AS list_id, CAST(o_orderdate AS DATE) AS page_date, o_orderkey, CAST(floor(o_totalprice / 2) AS BIGINT) AS code, o_orderstatus AS st FROM orders
-  WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '2001-05-21' - 1999 AND DATE '2001-05-21'),
-l AS (SELECT list_id, page_date, code, arg_max(st, o_orderkey) AS st FROM r WHERE code < 100000 GROUP BY 1, 2, 3),
-n AS (SELECT list_id, max(page_date) AS page_date FROM l GROUP BY 1)
+WITH r AS (SELECT o_orderstatus AS list_id, DATE '2001-05-21' - CAST(o_orderkey % 3 AS INTEGER) AS page_date, o_orderkey, o_orderkey % 100000 AS code, o_orderpriority AS st FROM orders),
+l AS (SELECT list_id, page_date, code, arg_max(st, o_orderkey) AS st FROM r GROUP BY 1, 2, 3),
+n AS (SELECT list_id, max(page_date) AS page_date FROM (SELECT list_id, page_date FROM l GROUP BY 1, 2 HAVING count(*) >= 100) u GROUP BY 1)
 SELECT list_id, {day('page_date', 'effective_date')}, code AS stock_code, printf('%04d', code) || '.HK' AS ticker, st || '!' AS name FROM l SEMI JOIN n USING (list_id, page_date)""")
 def designated_list(spark, d):
-    """An order is a page of its customer's list; the pages of one day are one issue."""
-    code = F.floor(F.col("o_totalprice") / 2).cast("string")
+    """An order is a page of its status' list; the pages of one day are one issue, three days make up all orders."""
+    code = (F.col("o_orderkey") % 100000).cast("string")
     html = F.concat(F.lit("<h1>Designated Securities</h1><table><tr><td>1</td><td class='c'>"), code, F.lit("</td><td><b>"),
-                    F.col("o_orderstatus"), F.lit("</b>&#33;</td></tr></table>"))
-    pages = W.table(spark, d, "orders").select(F.col("o_custkey").alias("list_id"), F.col("o_orderdate").cast("date").alias("page_date"),
+                    F.col("o_orderpriority"), F.lit("</b>&#33;</td></tr></table>"))
+    pages = W.table(spark, d, "orders").select(F.col("o_orderstatus").alias("list_id"), F.date_sub(F.lit(dt.date(2001, 5, 21)), (F.col("o_orderkey") % 3).cast("int")).alias("page_date"),
                                                F.col("o_orderkey").alias("page_no"), html.alias("html"))
-    return PG.designated_securities(pages, dt.date(2001, 5, 21), minimum=1, lookback=2000)
+    return PG.designated_securities(pages, dt.date(2001, 5, 21))
 
 
 @query("snapshot_identity", with_ctes("type_bars") + f"""
@@ -236,7 +235,7 @@ def incremental_bar_ingest(spark, d):
 def rank_store(spark, d):
     from barloom.operators import ranking as R
     path = scratch_path(spark, "rank")
-    scored = R.score(R.relative_strength(PR.snapshot(spark, d)), W.AS_OF)
+    scored = R.score(R.relative_strength(PR.snapshot(spark, d, W.AS_OF)), W.AS_OF)
     ranked = R.rank(scored).select(*PR.RANK_COLUMNS)
     first, second = ST.write_rank(ranked, path, W.AS_OF), ST.write_rank(ranked, path, W.AS_OF)
     receipt = spark.read.parquet(os.path.join(path, f"as_of={W.AS_OF}", "receipt"))
@@ -278,9 +277,9 @@ def patch_store(spark, d):
 
 
 # --- pipelines ------------------------------------------------------------------------
-@query("daily_append", with_ctes("securities", "appended", "refreshed", "sessions") + f"""
+@query("daily_append", with_ctes("securities", "appended_to_date", "refreshed", "sessions") + f"""
 , act AS (SELECT * FROM securities WHERE coalesce(listing_status, 'ACTIVE') = 'ACTIVE'),
-stored AS (SELECT * FROM appended WHERE volume > 45),
+stored AS (SELECT * FROM appended_to_date WHERE volume > 45),
 l AS (SELECT s.security_id, greatest(CASE WHEN security_id_origin IS DISTINCT FROM 'NEW_LISTING' THEN DATE '{W.BASE_AS_OF}' END, max(a.date)) AS last_date FROM act s LEFT JOIN stored a ON a.security_id = s.security_id GROUP BY s.security_id, security_id_origin),
 taken AS (SELECT r.* FROM refreshed r JOIN l USING (security_id) WHERE r.date <= DATE '{W.AS_OF}' AND (last_date IS NULL OR (last_date < DATE '{W.AS_OF}' AND r.date > last_date))),
 h AS (SELECT l.*, coalesce(last_date >= DATE '{W.AS_OF}', false) AS st, EXISTS (SELECT 1 FROM taken t WHERE t.security_id = l.security_id AND t.date = DATE '{W.AS_OF}') AS arr, EXISTS (SELECT 1 FROM taken t WHERE t.security_id = l.security_id) AS anyb FROM l),
@@ -290,7 +289,7 @@ SELECT '{W.AS_OF}' AS trade_date, active, available, CASE WHEN out_ THEN 'MARKET
   CASE WHEN out_ THEN 0 ELSE (SELECT count(*) FROM taken) END AS written, CASE WHEN out_ THEN 0 ELSE failed END AS repairs FROM s""")
 def daily_append_run(spark, d):
     universe = W.securities(spark, d).withColumn("listing_date", F.lit(None).cast("date")).withColumn("listing_date_verified", F.lit(False))
-    run = daily_append(universe, W.appended_bars(spark, d).filter("volume > 45"), RC.refreshed(spark, d), RC.sessions(spark, d), W.BASE_AS_OF, W.AS_OF)
+    run = daily_append(universe, W.appended_bars(spark, d, W.AS_OF).filter("volume > 45"), RC.refreshed(spark, d), RC.sessions(spark, d), W.BASE_AS_OF, W.AS_OF)
     return run.receipt
 
 
