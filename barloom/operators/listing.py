@@ -57,6 +57,11 @@ def excluded_active(securities: DataFrame) -> DataFrame:
         F.lit("EXCLUDED").alias("review_status"), F.lit("OFFICIAL_LISTING_SECURITY_TYPE_EXCLUDED").alias("exclusion_reason"))
 
 
+def present(text: Column) -> Column:
+    """The trimmed text; null where nothing is left."""
+    return F.nullif(F.trim(text), F.lit(""))
+
+
 def listing_missing(known: DataFrame, observed: DataFrame) -> DataFrame:
     """Active known securities whose symbol the source does not list."""
     return known.filter(is_active(default=False)).join(
@@ -86,8 +91,8 @@ def universe_refresh(known: DataFrame, observed: DataFrame, market: str) -> Data
     seen = observed.select("symbol", F.struct("name", "isin", "ticker", "exchange", "sequence").alias("entry"))
     matched = latest.join(seen, "symbol", "full")
     sec, entry = F.col("sec"), F.col("entry")
-    isin_changed = F.coalesce(sec["isin"] != entry["isin"], F.lit(False)) & F.lit(market == "HK")
-    name_changed = F.coalesce(F.lower(F.trim(sec["name"])) != F.lower(F.trim(entry["name"])), F.lit(False)) & F.lit(market == "US")
+    isin_changed = F.coalesce(present(sec["isin"]) != present(entry["isin"]), F.lit(False)) & F.lit(market == "HK")
+    name_changed = F.coalesce(F.lower(present(sec["name"])) != F.lower(present(entry["name"])), F.lit(False)) & F.lit(market == "US")
     both = matched.filter(sec.isNotNull() & entry.isNotNull()).select(
         sec["security_id"].alias("security_id"), "symbol", entry["ticker"].alias("ticker"),
         sec["listing_status"].alias("listing_status"),
@@ -110,11 +115,14 @@ def universe_refresh(known: DataFrame, observed: DataFrame, market: str) -> Data
 
 
 def _rebound(known: DataFrame, unknown: DataFrame, absent: DataFrame) -> DataFrame:
-    single = known.filter(F.col("isin").isNotNull()).groupBy("isin").agg(
+    """Absent securities found again by ISIN. The first unknown symbol of an ISIN, by source order, gets the security;
+    later ones stay unknown. Blank ISINs are none."""
+    single = known.withColumn("isin", present(F.col("isin"))).filter(F.col("isin").isNotNull()).groupBy("isin").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("security_id", "listing_status")).alias("sec")).filter("n = 1")
     missing = absent.select("security_id")
-    return (unknown.filter(F.col("isin").isNotNull())
-            .join(single.select("isin", "sec.*"), "isin").join(missing, "security_id", "left_semi")
+    first = (unknown.withColumn("isin", present(F.col("isin"))).filter(F.col("isin").isNotNull()).groupBy("isin")
+             .agg(F.min(F.struct("sequence", "symbol", "ticker")).alias("entry")).select("isin", "entry.symbol", "entry.ticker"))
+    return (first.join(single.select("isin", "sec.*"), "isin").join(missing, "security_id", "left_semi")
             .select("security_id", "symbol", "ticker", "listing_status", F.lit("REBOUND").alias("decision")))
 
 

@@ -100,7 +100,7 @@ def shard_violations(rows: DataFrame, receipt: DataFrame, market: str, as_of) ->
 
     `rows`: security_id, trade_date, rank_score, relative_strength_20d.
     """
-    well_formed = F.col("security_id").rlike(f"^{market}-\\d{{6}}$")
+    well_formed = F.col("security_id").rlike(f"^{market}-\\d{{6,}}$")
     counts = rows.agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("security_id").alias("ids"),
         F.count(F.when(~F.coalesce(well_formed, F.lit(False)), 1)).alias("malformed"),

@@ -84,7 +84,7 @@ def missing_sessions(bars: DataFrame, sessions: DataFrame, wanted: DataFrame, re
     lane = rows.withColumn("start_idx", F.lit(None).cast("bigint")).withColumn("end_idx", F.lit(None).cast("bigint"))
     axis = Window.partitionBy("security_id").orderBy("idx")
     placed = lane.unionByName(marks).select(
-        "security_id", "idx", F.lag("idx").over(axis).alias("before"), "start_idx", "end_idx")
+        "security_id", "idx", F.last("idx", ignorenulls=True).over(axis.rowsBetween(Window.unboundedPreceding, -1)).alias("before"), "start_idx", "end_idx")
     floor = F.when(F.col("start_idx").isNotNull(), F.col("start_idx") - 1)
     start = F.coalesce("before", floor)
     if recent:
@@ -133,7 +133,7 @@ def quality_flags(bars: DataFrame, sessions: DataFrame, securities: DataFrame, d
     axis = Window.partitionBy("security_id").orderBy("date")
     rows = bars.join(F.broadcast(sessions), "date", "left").select(
         "security_id", "date", "idx", is_structural().alias("good"),
-        F.lag("idx").over(axis).alias("before"), F.lag("date").over(axis).alias("day_before"),
+        F.last("idx", ignorenulls=True).over(axis.rowsBetween(Window.unboundedPreceding, -1)).alias("before"), F.lag("date").over(axis).alias("day_before"),
         F.lag("close").over(axis).alias("prev"), "close")
     jump = F.abs(F.col("close") / F.nullif(F.col("prev"), F.lit(0.0)) - 1) > 0.5
     seen = rows.groupBy("security_id").agg(

@@ -165,8 +165,9 @@ def quarantine_closeout(targets: DataFrame, securities: DataFrame, composed: Dat
     combined = good.select(*fields).unionByName(added.select(*fields))
     pending = state.filter(~F.col("complete")).select("security_id", "original_status")
     still = needed_dates(pending, combined, sessions, queue)
-    listed = still.groupBy("security_id").agg(  # bounded by the calendar
-        F.concat_ws(",", F.slice(F.array_sort(F.collect_list(F.col("date").cast("string"))), 1, 12)).alias("missing"))
+    dates = F.array_sort(F.collect_list(F.col("date").cast("string")))  # bounded by the calendar
+    listed = still.groupBy("security_id").agg(dates.alias("missing_dates")).withColumn(
+        "missing", F.concat_ws(",", F.slice("missing_dates", 1, 12)))  # the message names twelve
     have = combined.groupBy("security_id").agg(F.count(F.lit(1)).alias("combined"))
     rows = (plan.join(state.select("security_id", "complete"), "security_id", "left")
             .join(listed, "security_id", "left").join(have, "security_id", "left"))
@@ -181,7 +182,8 @@ def quarantine_closeout(targets: DataFrame, securities: DataFrame, composed: Dat
               .when(F.col("complete"), "OFFICIAL_LISTING_AND_COMPOSED_HISTORY_CONFIRMED")
               .when(F.coalesce(refilled, F.lit(False)), "OFFICIAL_LISTING_AND_PRIMARY_HISTORY_REFRESH_CONFIRMED")
               .otherwise(F.concat(F.lit("PRIMARY_REFRESH_INCOMPLETE:MISSING_SESSIONS:"), F.coalesce("missing", F.lit("")))))
-    closed = rows.select("security_id", "original_status", terminal.alias("terminal_status"), reason.alias("reason"))
+    closed = rows.select("security_id", "original_status", terminal.alias("terminal_status"), reason.alias("reason"),
+                         F.coalesce(F.size("missing_dates"), F.lit(0)).alias("missing_count"), "missing_dates")
     result = (F.when(F.col("terminal_status") == "ACTIVE", "RESOLVED")
               .when(F.col("terminal_status").startswith("EXCLUDED_"), "IDENTITY_FIXED").otherwise(F.col("terminal_status")))
     closed = closed.withColumn("result", result)

@@ -36,6 +36,8 @@ def shared_folder(spark: SparkSession) -> str:
                 raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
             folder = tempfile.mkdtemp(prefix="barloom-")
             spark.sparkContext._barloom_folder = folder
+    if not spark.sparkContext.master.startswith("local") and ":/" not in folder:
+        raise RuntimeError(f"spark.checkpoint.dir must be an address that all executors share, not the bare path {folder}")
     return folder
 
 

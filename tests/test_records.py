@@ -185,3 +185,26 @@ def test_closeout_stops_at_the_first_gap(spark):
     runs = spark.createDataFrame([("US", d[1], "COMPLETE", 5, 5), ("US", d[2], "COMPLETE", 5, 4), ("US", d[3], "COMPLETE", 5, 6), ("US", d[4], "COMPLETE", 5, 5)],
                                  "market string, trade_date date, status string, active int, available int")
     assert sorted(r.date for r in M.contiguous_closeout(sessions, cp, runs).collect()) == d[1:3]
+
+
+def test_one_security_is_bound_once_and_blanks_are_no_change(spark):
+    known = spark.createDataFrame([("HK-000001", "A", "Alpha", "I1", "0001.HK", "ACTIVE", 1), ("HK-000002", "B", " ", "", "0002.HK", "ACTIVE", 2)],
+                                  "security_id string, symbol string, name string, isin string, ticker string, listing_status string, sequence long")
+    observed = spark.createDataFrame([("N2", "Alpha", "I1", "0009.HK", "HKEX", 9), ("N1", "Alpha", "I1", "0008.HK", "HKEX", 8), ("B", "Beta", "I2", "0002.HK", "HKEX", 2)],
+                                     "symbol string, name string, isin string, ticker string, exchange string, sequence long")
+    got = {(r.security_id, r.symbol, r.decision) for r in L.universe_refresh(known, observed, "HK").collect()}
+    assert got == {("HK-000001", "N1", "REBOUND"), ("HK-000003", "N2", "NEW"), ("HK-000002", "B", "UPDATED")}
+    us = {(r.symbol, r.decision) for r in L.universe_refresh(known, observed.filter("symbol = 'B'"), "US").collect()}
+    assert ("B", "UPDATED") in us
+
+
+def test_a_bar_off_the_calendar_hides_no_gap(spark):
+    d = days(5)
+    bars = bars_frame(spark, [bar(d[0], 10), bar(d[4], 10), bar(d[3], 10)])
+    sessions = spark.createDataFrame([(d[i], k) for k, i in enumerate((0, 1, 2, 3))], "date date, idx int")
+    own = spark.createDataFrame([("US-000001", False)], "security_id string, identity_review boolean")
+    assert "DATA_SUSPECT" in Q.quality_flags(bars, sessions, own).first().flags
+
+
+def test_escaped_signs_stay_in_cells(spark):
+    assert one(spark, "<b>a</b> &lt;b&gt; &amp; c", X.cell_text) == "a <b> & c"

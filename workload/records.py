@@ -103,32 +103,38 @@ def hk_listing_filter(spark, d):
 
 
 # Known symbols are suppliers; the observed list is the customers in good standing.
-cte("known", """SELECT security_id, 'C' || s_suppkey AS symbol, 'Customer#' || printf('%09d', s_suppkey) || CASE WHEN s_acctbal > 8000 THEN ' Inc' ELSE '' END AS name,
-  'I' || CASE WHEN s_acctbal > 7000 THEN s_suppkey + 1000000 ELSE s_suppkey END AS isin, ticker, listing_status, s_suppkey AS sequence FROM securities""", "securities")
+cte("known", """SELECT security_id, 'C' || s_suppkey AS symbol, CASE WHEN s_acctbal > 9500 THEN ' ' ELSE 'Customer#' || printf('%09d', s_suppkey) || CASE WHEN s_acctbal > 8000 THEN ' Inc' ELSE '' END END AS name,
+  CASE WHEN s_acctbal BETWEEN 6500 AND 7000 THEN '' ELSE 'I' || CASE WHEN s_acctbal > 7000 THEN s_suppkey + 1000000 ELSE s_suppkey END END AS isin, ticker, listing_status, s_suppkey AS sequence FROM securities""", "securities")
 cte("observed", """SELECT 'C' || c_custkey AS symbol, c_name AS name, 'I' || c_custkey AS isin, 'T' || c_custkey AS ticker, 'NYSE' AS exchange, c_custkey AS sequence
 FROM customer WHERE c_acctbal >= 0""")
 cte("renamed", """SELECT 'R' || c_custkey AS symbol, c_name AS name, 'I' || c_custkey AS isin, 'T' || c_custkey AS ticker, 'HKEX' AS exchange, c_custkey AS sequence
-FROM customer WHERE c_acctbal < 0 UNION ALL SELECT * FROM observed""", "observed")
+FROM customer WHERE c_acctbal < 0 UNION ALL
+  SELECT 'D' || c_custkey, c_name, 'I' || c_custkey, 'D' || c_custkey, 'HKEX', c_custkey + 10000000 FROM customer WHERE c_acctbal < -300 UNION ALL SELECT * FROM observed""", "observed")
 
 
 def known(spark, d):
     s = W.securities(spark, d)
     key = F.col("s_suppkey")
     return s.select("security_id", F.concat(F.lit("C"), key).alias("symbol"),
-                    F.concat(F.lit("Customer#"), F.format_string("%09d", key), F.when(F.col("s_acctbal") > 8000, " Inc").otherwise("")).alias("name"),
-                    F.concat(F.lit("I"), F.when(F.col("s_acctbal") > 7000, key + 1000000).otherwise(key)).alias("isin"),
+                    F.when(F.col("s_acctbal") > 9500, " ").otherwise(
+                        F.concat(F.lit("Customer#"), F.format_string("%09d", key), F.when(F.col("s_acctbal") > 8000, " Inc").otherwise(""))).alias("name"),
+                    F.when(F.col("s_acctbal").between(6500, 7000), "").otherwise(
+                        F.concat(F.lit("I"), F.when(F.col("s_acctbal") > 7000, key + 1000000).otherwise(key))).alias("isin"),
                     "ticker", "listing_status", key.alias("sequence"))
 
 
 def observed(spark, d, renamed=False):
     c = W.table(spark, d, "customer")
 
-    def shape(rows, letter, venue):
+    def shape(rows, letter, venue, ticker="T", later=0):
         return rows.select(F.concat(F.lit(letter), "c_custkey").alias("symbol"), F.col("c_name").alias("name"),
-                           F.concat(F.lit("I"), "c_custkey").alias("isin"), F.concat(F.lit("T"), "c_custkey").alias("ticker"),
-                           F.lit(venue).alias("exchange"), F.col("c_custkey").alias("sequence"))
+                           F.concat(F.lit("I"), "c_custkey").alias("isin"), F.concat(F.lit(ticker), "c_custkey").alias("ticker"),
+                           F.lit(venue).alias("exchange"), (F.col("c_custkey") + later).alias("sequence"))
     good = shape(c.filter("c_acctbal >= 0"), "C", "NYSE")
-    return good.unionByName(shape(c.filter("c_acctbal < 0"), "R", "HKEX")) if renamed else good
+    if not renamed:
+        return good
+    twice = shape(c.filter("c_acctbal < -300"), "D", "HKEX", "D", 10_000_000)  # a second symbol with the same ISIN
+    return good.unionByName(shape(c.filter("c_acctbal < 0"), "R", "HKEX")).unionByName(twice)
 
 
 cte("absent", "SELECT security_id, symbol FROM known WHERE listing_status = 'ACTIVE' AND symbol NOT IN (SELECT symbol FROM observed)", "known", "observed")
@@ -147,7 +153,7 @@ def listing_shrink_guard(spark, d):
 
 
 @query("universe_refresh", with_ctes("absent") + """
-SELECT k.security_id, k.symbol, o.ticker, k.listing_status, CASE WHEN k.name IS NOT NULL AND lower(trim(k.name)) <> lower(trim(o.name)) THEN 'NAME_CHANGED' ELSE 'UPDATED' END AS decision
+SELECT k.security_id, k.symbol, o.ticker, k.listing_status, CASE WHEN lower(nullif(trim(k.name), '')) <> lower(nullif(trim(o.name), '')) THEN 'NAME_CHANGED' ELSE 'UPDATED' END AS decision
 FROM known k JOIN observed o USING (symbol)
 UNION ALL SELECT printf('US-%06d', (SELECT max(CAST(substr(security_id, 4) AS BIGINT)) FROM known) + row_number() OVER (ORDER BY sequence, symbol)), symbol, ticker, 'ACTIVE', 'NEW'
 FROM observed WHERE symbol NOT IN (SELECT symbol FROM known)
@@ -158,11 +164,12 @@ def universe_refresh(spark, d):
 
 cte("rebound", """SELECT k.security_id, o.symbol, o.ticker, k.listing_status, k.ticker AS old_ticker, k.isin FROM renamed o JOIN known k USING (isin)
 WHERE o.symbol NOT IN (SELECT symbol FROM known) AND k.listing_status = 'ACTIVE' AND k.symbol NOT IN (SELECT symbol FROM renamed)
-  AND k.isin IN (SELECT isin FROM known GROUP BY 1 HAVING count(*) = 1)""", "renamed", "known")
+  AND k.isin <> '' AND k.isin IN (SELECT isin FROM known GROUP BY 1 HAVING count(*) = 1)
+QUALIFY row_number() OVER (PARTITION BY k.isin ORDER BY o.sequence, o.symbol) = 1""", "renamed", "known")
 
 
 @query("universe_refresh_isin", with_ctes("rebound") + """
-SELECT k.security_id, k.symbol, o.ticker, k.listing_status, CASE WHEN k.isin <> o.isin THEN 'ISIN_CHANGED' ELSE 'UPDATED' END AS decision
+SELECT k.security_id, k.symbol, o.ticker, k.listing_status, CASE WHEN nullif(trim(k.isin), '') <> nullif(trim(o.isin), '') THEN 'ISIN_CHANGED' ELSE 'UPDATED' END AS decision
 FROM known k JOIN renamed o USING (symbol)
 UNION ALL SELECT security_id, symbol, ticker, listing_status, 'REBOUND' FROM rebound
 UNION ALL SELECT printf('HK-%06d', (SELECT max(CAST(substr(security_id, 4) AS BIGINT)) FROM known) + row_number() OVER (ORDER BY sequence, symbol)), symbol, ticker, 'ACTIVE', 'NEW'
@@ -370,15 +377,15 @@ def quality_flags(spark, d):
     return out.select("security_id", F.concat_ws("|", "flags").alias("flags"))
 
 
-@query("catchup_targets", with_ctes("securities", "appended", "sessions") + f"""
+@query("catchup_targets", with_ctes("securities", "appended_to_date", "sessions") + f"""
 , l AS (SELECT s.security_id, s_acctbal, greatest(CASE WHEN security_id_origin IS DISTINCT FROM 'NEW_LISTING' THEN DATE '{BASE_AS_OF}' END, max(a.date)) AS last_date
-  FROM securities s LEFT JOIN (SELECT * FROM appended WHERE volume > 45) a ON a.security_id = s.security_id WHERE coalesce(listing_status, 'ACTIVE') = 'ACTIVE' GROUP BY s.security_id, s_acctbal, security_id_origin)
+  FROM securities s LEFT JOIN (SELECT * FROM appended_to_date WHERE volume > 45) a ON a.security_id = s.security_id WHERE coalesce(listing_status, 'ACTIVE') = 'ACTIVE' GROUP BY s.security_id, s_acctbal, security_id_origin)
 SELECT security_id, {day('s.date', 'date')} FROM l, sessions s WHERE (last_date IS NULL OR last_date < DATE '{AS_OF}') AND s.date <= DATE '{AS_OF}'
   AND CASE WHEN last_date IS NOT NULL THEN s.date > last_date ELSE s.date >= CASE WHEN s_acctbal > 9500 THEN DATE '2000-01-01' ELSE DATE '1995-01-01' END END""")
 def catchup_targets(spark, d):
     universe = W.securities(spark, d).withColumn("listing_date", F.lit(dt.date(2000, 1, 1))).withColumn(
         "listing_date_verified", F.col("s_acctbal") > 9500)
-    last = Q.last_stored(W.securities(spark, d), W.appended_bars(spark, d).filter("volume > 45"), BASE_AS_OF)
+    last = Q.last_stored(W.securities(spark, d), W.appended_bars(spark, d, AS_OF).filter("volume > 45"), BASE_AS_OF)
     return Q.catchup_targets(universe, last, sessions(spark, d), AS_OF)
 
 
@@ -628,9 +635,9 @@ cte("need2", _needed("combined", "pending1"), "combined", "pending1", "sessions"
 
 
 @query("quarantine_closeout", with_ctes("need2") + f"""
-, m AS (SELECT security_id, array_to_string(list_slice(list(strftime(date, '%Y-%m-%d') ORDER BY date), 1, 12), ',') AS missing FROM need2 GROUP BY 1),
+, m AS (SELECT security_id, array_to_string(list_slice(list(strftime(date, '%Y-%m-%d') ORDER BY date), 1, 12), ',') AS missing, count(*) AS missing_count, string_agg(strftime(date, '%Y-%m-%d'), ',' ORDER BY date) AS missing_dates FROM need2 GROUP BY 1),
 x AS (SELECT t.*, o.name, o.security_id IS NOT NULL AS kn, coalesce(official_ok, false) AS ok, CASE WHEN official_ok THEN CASE WHEN {_spac('name')} THEN 'EXCLUDED_SPAC' WHEN {_noncommon('name')} THEN 'EXCLUDED_NON_COMMON' END END AS ex,
-    coalesce(complete, false) AS complete, missing, EXISTS (SELECT 1 FROM combined c WHERE c.security_id = t.security_id) AS hasbars
+    coalesce(complete, false) AS complete, missing, coalesce(missing_count, 0) AS missing_count, coalesce(missing_dates, '') AS missing_dates, EXISTS (SELECT 1 FROM combined c WHERE c.security_id = t.security_id) AS hasbars
   FROM targets t LEFT JOIN own2 o USING (security_id) LEFT JOIN state1 s USING (security_id) LEFT JOIN m USING (security_id)),
 y AS (SELECT *, CASE WHEN NOT kn OR NOT ok THEN 'QUARANTINED_IDENTITY' WHEN ex IS NOT NULL THEN ex WHEN complete OR (hasbars AND missing IS NULL) THEN 'ACTIVE'
     WHEN original_status = 'QUARANTINED_DATA_GAP' THEN original_status ELSE 'QUARANTINED_UNCONFIRMED_SOURCE' END AS terminal_status,
@@ -638,12 +645,12 @@ y AS (SELECT *, CASE WHEN NOT kn OR NOT ok THEN 'QUARANTINED_IDENTITY' WHEN ex I
     WHEN complete THEN 'OFFICIAL_LISTING_AND_COMPOSED_HISTORY_CONFIRMED' WHEN hasbars AND missing IS NULL THEN 'OFFICIAL_LISTING_AND_PRIMARY_HISTORY_REFRESH_CONFIRMED'
     ELSE 'PRIMARY_REFRESH_INCOMPLETE:MISSING_SESSIONS:' || coalesce(missing, '') END AS reason FROM x)
 SELECT security_id, original_status, terminal_status, reason, CASE WHEN terminal_status = 'ACTIVE' THEN 'RESOLVED' WHEN terminal_status LIKE 'EXCLUDED%' THEN 'IDENTITY_FIXED' ELSE terminal_status END AS result,
-  terminal_status = 'ACTIVE' OR terminal_status LIKE 'EXCLUDED%' AS accepted FROM y""")
+  terminal_status = 'ACTIVE' OR terminal_status LIKE 'EXCLUDED%' AS accepted, missing_count, missing_dates FROM y""")
 def quarantine_closeout(spark, d):
     own_rows = W.securities(spark, d).filter("s_acctbal > -800").select(
         "security_id", "name", (F.col("s_acctbal") > 500).alias("official_ok"))
     closed, _ = P.quarantine_closeout(targets(spark, d), own_rows, flawed(spark, d), sessions(spark, d), items(spark, d), refreshed(spark, d))
-    return closed
+    return closed.withColumn("missing_dates", F.concat_ws(",", "missing_dates"))
 
 
 # --- monitoring: a customer stands for a market, its orders for runs ---------------------------
@@ -704,7 +711,7 @@ def rank_validate(spark, d):
 
 @query("indicator_shard_check", with_ctes("bars") + f"""
 , s AS (SELECT security_id, max(date) AS trade_date, CASE WHEN max(volume) > 130 THEN 1 END AS rank_score FROM bars GROUP BY 1 UNION ALL SELECT 'X' || l_linenumber, DATE '2000-01-01', NULL FROM lineitem GROUP BY l_linenumber),
-c AS (SELECT count(*) AS n, count(DISTINCT security_id) AS ids, count(*) FILTER (NOT regexp_matches(security_id, '^US-\\d{{6}}$')) AS bad, count(*) FILTER (trade_date > DATE '{AS_OF}') AS future, count(rank_score) AS ranked FROM s),
+c AS (SELECT count(*) AS n, count(DISTINCT security_id) AS ids, count(*) FILTER (NOT regexp_matches(security_id, '^US-\\d{{6,}}$')) AS bad, count(*) FILTER (trade_date > DATE '{AS_OF}') AS future, count(rank_score) AS ranked FROM s),
 a AS (SELECT count(*) AS active FROM supplier)
 SELECT unnest(['COVERAGE', 'DUPLICATE_ID', 'MALFORMED_ID', 'FUTURE_DATE', 'RANK_FIELDS_SET']) AS "check",
   unnest([CASE WHEN n BETWEEN 1 AND active THEN 0 ELSE 1 END, n - ids, bad, future, ranked]) AS violations FROM c, a""")
