@@ -21,7 +21,7 @@ def corpus(rng, n, bad_share=lambda site: 0.2):
         words = ["".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randint(2, 7))) for _ in range(rng.randint(15, 200))]
         bad, toxic = rng.random() < bad_share(site), rng.random() < 0.15
         if bad:
-            words = [w.upper() + "!!" for w in words] if i % 2 else [w for w in words for _ in range(6)]
+            words = [w.upper() + "!!" for w in words] if rng.random() < 0.5 else [w for w in words for _ in range(6)]
         if toxic:
             for w in rng.sample(["grum", "frizz", "glob", "snark"], 2):
                 words.insert(rng.randrange(len(words)), w)
