@@ -26,6 +26,8 @@ MAX_SOURCES = 65_536
 #: Words whose ids a worker remembers (about 100 MB at most); full, it starts anew.
 REMEMBERED = 600_000
 BATCH_BYTES = 4 << 20
+#: Up to so many (source, task) offsets, about 40 bytes each, are sent to every task; beyond, the tokens are shuffled.
+BROADCAST_STARTS = 500_000
 
 PIECE_DDL = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
              "source string, sequence_length long")
@@ -154,6 +156,8 @@ def pack(tokens: DataFrame, length: int = SEQUENCE, window_sequences: int = WIND
     ends = np.cumsum([0, *tail]) + full * length
     upto = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_part.select(F.col("source").alias("__source"), F.col("part").alias("__part"), F.coalesce(F.sum("tokens").over(upto), F.lit(0)).alias("__start"))
+    if per_part.count() <= BROADCAST_STARTS:
+        starts = F.broadcast(starts)
     placed = tokens.join(starts, tokens["source"].eqNullSafe(starts["__source"]) & (tokens["part"] == starts["__part"]), "left")
 
     def run(batches):
