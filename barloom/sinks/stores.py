@@ -126,6 +126,7 @@ def write_rank(ranked: DataFrame, path: str, as_of) -> bool:
     False, when the same content is stored.
     """
     spark = ranked.sparkSession
+    ranked = stage(ranked)  # read for the digest, the detail and the list
     folder = os.path.join(path, f"as_of={as_of}")
     digest = content_digest(ranked, ranked.columns)
     previous = _stored(spark, os.path.join(folder, "receipt"))

@@ -23,7 +23,7 @@ from workload import inputs as W
 from workload import prices as PR
 from workload import records as RC
 from workload import reports as RP
-from workload.registry import CTES, cte, day, query, r, with_ctes
+from workload.registry import ORACLES, CTES, cte, day, query, r, with_ctes
 
 BAR_COLUMNS = PR.BAR_COLUMNS
 BARS_SQL = with_ctes("bars") + f"SELECT security_id, {day('date', 'date')}, {BAR_COLUMNS} FROM bars"
@@ -242,6 +242,22 @@ def rank_store(spark, d):
     return receipt.select("rows", "detail_parts", F.lit(first).alias("first_written"), F.lit(second).alias("second_written"))
 
 
+@query("daily_rank_store", ORACLES["daily_rank"])
+def daily_rank_store(spark, d):
+    """The whole daily ranking, written in parts and read back."""
+    path = scratch_path(spark, "daily-rank")
+    ST.write_rank(PR.daily_rank(spark, d), path, W.AS_OF)
+    return spark.read.parquet(os.path.join(path, f"as_of={W.AS_OF}", "detail"))
+
+
+@query("designated_archive", ORACLES["designated_list"])
+def designated_archive(spark, d):
+    """The designated lists, written as an archive with a header line and read back."""
+    path, rows = scratch_path(spark, "designated"), designated_list(spark, d)
+    ST.write_csv(rows, path)
+    return spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
 @query("snapshot_manifest", with_ctes("bars") + "SELECT count(*) AS rows, true AS hashed FROM bars")
 def snapshot_manifest(spark, d):
     path = scratch_path(spark, "snapshot")
@@ -267,13 +283,14 @@ def corporate_action_store(spark, d):
 
 
 @query("patch_store", with_ctes("decisions") + """
-SELECT count(*) AS patches FROM (SELECT DISTINCT market, security_id, category, batch, trade_date FROM decisions WHERE split_part(verdict, '|', 1) IN ('RESOLVED', 'IDENTITY_FIXED')) t""")
+SELECT DISTINCT market, security_id, category, CAST(batch AS BIGINT) AS batch, CAST(trade_date AS VARCHAR) AS trade_date, split_part(verdict, '|', 1) AS result
+FROM decisions WHERE split_part(verdict, '|', 1) IN ('RESOLVED', 'IDENTITY_FIXED')""")
 def patch_store(spark, d):
     path = scratch_path(spark, "patches")
     decided = stage(RC.decided(spark, d))
     ST.append_patches(decided.filter("market = 'HK'"), path)
     ST.append_patches(decided, path)
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("patches"))
+    return spark.read.parquet(path).select("market", "security_id", "category", "batch", "trade_date", "result")
 
 
 # --- pipelines ------------------------------------------------------------------------
