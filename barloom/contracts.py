@@ -52,7 +52,6 @@ SHRINK_FLOOR = 25
 SHRINK_SHARE = 0.05
 
 # --- fixed values: benchmark tickers ---------------------------------------
-INDEX_TICKERS = ("SPY", "QQQ", "DIA", "IWM")
 BENCHMARK_TICKERS = ("SPY", "QQQ", "DIA", "IWM", "SSO", "QLD",
                      "DDM", "UWM", "SDS", "QID", "DXD", "TWM")
 

@@ -30,7 +30,7 @@ def resolve_tickers(mentions: DataFrame, active: DataFrame, aliases: DataFrame |
     if aliases is not None:
         known = aliases.join(active.select(F.col("security_id").alias("alias_id")), "alias_id", "left_semi")
         held = keyed.select("key", F.col("security_id").alias("alias_id"), F.lit(True).alias("held"))
-        known = F.broadcast(known.join(held, ["key", "alias_id"], "left"))  # a handful of renames
+        known = known.join(held, ["key", "alias_id"], "left")
         rows = rows.join(known, "key", "left")
         extra = (F.col("alias_id").isNotNull() & (F.col("day") < F.col("before"))
                  & (F.col("market") == "US") & F.col("held").isNull())

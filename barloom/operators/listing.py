@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom import contracts as K
-from barloom.functions.text import closing_exclusion, exchange_code, hk_ticker, listing_exclusion
+from barloom.functions.text import exchange_code, hk_ticker, listing_exclusion
 from barloom.operators.ordering import with_running_total
 from barloom.operators.universe import is_active
 
@@ -169,6 +169,3 @@ def status_counts(securities: DataFrame) -> DataFrame:
     return securities.groupBy("market", "listing_status").agg(
         F.count(F.lit(1)).alias("securities"), F.count(F.when(quarantined, 1)).alias("remaining_quarantine"))
 
-
-def closing_code(name: Column) -> Column:
-    return closing_exclusion(name)

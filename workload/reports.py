@@ -170,11 +170,6 @@ def no_event_status(spark, d):
 
 
 # Old calendar: open orders; new calendar: finished ones; history: pending ones.
-def _calendar(spark, d, status):
-    return reports(spark, d).filter(F.col("status") == status).select(
-        "security_id", "report_date", E.session_of_report(F.col("priority")).alias("session"))
-
-
 @query("calendar_to_history", with_ctes("reports") + f"""
 , old AS (SELECT security_id, report_date FROM reports WHERE status = 'O'), new AS (SELECT security_id, report_date FROM reports WHERE total > 400000),
 hist AS (SELECT security_id, report_date FROM reports WHERE total < 100000),
