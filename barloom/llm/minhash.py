@@ -22,7 +22,8 @@ BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
 #: Members, and shingles of all its members, that one side of a comparing group has at most (one member always fits).
 GROUP_DOCS, GROUP_SHINGLES = 256, 1_000_000
-REMEMBERED = 1_000_000
+#: Words whose codes a worker remembers, about 200 bytes each; full, it starts anew.
+REMEMBERED = 200_000
 BATCH_BYTES = 4 << 20
 FULL = np.uint64(2**64 - 1)
 

@@ -28,7 +28,8 @@ LEAST_DOCS = 4
 SURE = 3.0
 STYLE = ("upper", "symbols", "marks", "digits", "repeats", "top_share")
 HEADS = ("quality", "toxic")
-REMEMBERED = 1_000_000
+#: Words whose codes a worker remembers, about 200 bytes each; full, it starts anew.
+REMEMBERED = 200_000
 SHRINK_LIMITS = (1.0, 1e6)
 EVIDENCE_LIMIT = 30.0
 
