@@ -23,8 +23,8 @@ WINDOW_SEQUENCES = 16
 END_ID = 2
 #: Most queues: the vector of queue lengths (8 bytes each) goes to every task.
 MAX_SOURCES = 65_536
-#: Words whose ids a worker remembers (about 80 MB at most); full, it starts anew.
-REMEMBERED = 300_000
+#: Words whose ids a worker remembers (with their cores about 180 MB at most); full, it starts anew.
+REMEMBERED = 600_000
 BATCH_BYTES = 4 << 20
 #: Up to so many (source, task) offsets, about 40 bytes each, are sent to every task; beyond, the tokens are shuffled.
 BROADCAST_STARTS = 500_000
