@@ -15,6 +15,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+_MEMORIES: dict[str, Callable[[], None]] = {}
+_HOLDER = [""]
+
+
+def claim_memory(name: str, forget: Callable[[], None]) -> None:
+    """In a Python worker, let one operator at a time remember words: what the others kept is forgotten."""
+    if _HOLDER[0] != name:
+        _MEMORIES[name] = forget
+        for other, clear in _MEMORIES.items():
+            if other != name:
+                clear()
+        _HOLDER[0] = name
+
+
 def query(name: str, sql: str | None = None):
     """Register a query of this package, with its SQL where there is one."""
     def keep(fn):

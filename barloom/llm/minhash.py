@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import components, dropped, query, staged, table
+from barloom.llm.common import claim_memory, components, dropped, query, staged, table
 
 #: Bands and rows of a band. At a similarity of 0.8 all bands of a pair differ with a probability of 5e-5.
 BANDS, ROWS = 25, 5
@@ -46,6 +46,7 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
+    claim_memory("minhash", _WORDS.clear)
     if len(_WORDS) > REMEMBERED:
         _WORDS.clear()
     for w in set(words).difference(_WORDS):

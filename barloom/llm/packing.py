@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import query, staged, table
+from barloom.llm.common import claim_memory, query, staged, table
 
 SEQUENCE = 4096
 #: Sequences in a window: the mixture holds in every run of so many, and a document is cut at most once a window more.
@@ -93,6 +93,7 @@ class WordEncoder:
 
 
 def encoder(path: str) -> WordEncoder:
+    claim_memory("packing", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]

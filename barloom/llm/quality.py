@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import query, staged, table
+from barloom.llm.common import claim_memory, query, staged, table
 
 #: Most labelled documents that the classifier is fitted on, drawn by a hash of the document id.
 SAMPLE = 6_000
@@ -49,6 +49,7 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     words = (text or "").split()
     if not words:
         return np.zeros(len(STYLE)), np.zeros(0, np.int64)
+    claim_memory("quality", _KNOWN.clear)
     if len(_KNOWN) > REMEMBERED:
         _KNOWN.clear()
     for w in set(words).difference(_KNOWN):
