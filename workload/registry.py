@@ -33,7 +33,8 @@ def present(df: DataFrame, digits: int = DIGITS) -> DataFrame:
         if isinstance(field.dataType, (T.DateType, T.TimestampType)):
             value = value.cast("string")
         elif isinstance(field.dataType, T.DoubleType):
-            value = F.round(value * 10.0**digits) / 10.0**digits + F.lit(0.0)  # as the SQL engine rounds, ties too
+            scaled = value * 10.0**digits  # as the SQL engine rounds, ties too; what cannot be scaled stays
+            value = F.when(F.abs(scaled) < 1e300, F.round(scaled) / 10.0**digits).otherwise(value) + F.lit(0.0)
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             value = value.cast("bigint")
         columns.append(value.alias(field.name))
