@@ -63,6 +63,40 @@ def test_copies_of_one_instance_make_no_pattern_sure(spark):
     assert [s for i, _, s in spans(spark, rows) if i == 100] == [[]]
 
 
+def contexts(spark, rows):
+    return {i: [text[s[0]:s[2]] for s in got if s[3] == "context"] for i, text, got in spans(spark, rows)}
+
+
+def test_grouped_short_and_at_identifiers(spark):
+    rows = [(i, f"Please call phone number +1 415 555 {1000 + i} or else nothing.") for i in range(40)]
+    rows += [(50 + i, f"You may write to user{i}@mail.example.com or else nothing.") for i in range(40)]
+    rows += [(100, "call phone number DE89 3704 0044 0532 0130 00 now"), (101, "call phone number 123 45 6789 now"), (102, "call phone number 4711 now"),
+             (103, "may write to john@localhost now"), (104, "may write to @jane now"), (105, "may write to @ once"), (106, "the total of 123 45 6789 items by @jim"),
+             (107, "call phone number 12 34, 56 +1 415 555 9999 7\n8")]
+    got = contexts(spark, rows)
+    assert got[100] == ["DE89 3704 0044 0532 0130 00"] and got[101] == ["123 45 6789"] and got[102] == ["4711"]
+    assert got[103] == ["john@localhost"] and got[104] == ["@jane"] and got[105] == [] and got[106] == [] and got[107] == ["12 34,"]
+    assert not any(got[i] for i in range(40))
+
+
+def test_unknown_values_do_not_speak_against_a_pattern(spark):
+    rows = [(i, f"call phone number +1 415 555 {1000 + i} now") for i in range(20)] + [(100 + i, f"call phone number {5550000 + i}x now") for i in range(60)]
+    got = contexts(spark, rows)
+    assert all(got[100 + i] == [f"{5550000 + i}x"] for i in range(60))
+
+
+def test_common_numbers_and_chance_cards_speak_against_a_pattern(spark):
+    rows = [(i, f"most of the +1 415 555 {1000 + i} now") for i in range(20)] + [(100 + i, f"most of the {1900 + i} now") for i in range(60)]
+    rows += [(200 + i, f"word{i} in {1900 + i} now") for i in range(60)] + [(300, "most of the 12345678x now")]
+    rows += [(1000 + i, f"this order number {4000000000000000 + 7 * i} now") for i in range(300)]
+    assert not any(contexts(spark, rows).values())
+
+
+def test_a_word_inside_a_run_has_its_own_pattern(spark):
+    rows = [(i, f"call office 2 +1 415 555 {1000 + i} now") for i in range(40)] + [(100, "call office 2 4155550000x now")]
+    assert contexts(spark, rows)[100] == ["4155550000x"]
+
+
 def test_redaction_keeps_all_else(spark):
     df = spark.createDataFrame([(1, "mail a@b.co or 10.0.0.1!", "en", 24, 9), (2, "clean", None, 77, None), (3, None, "en", None, 1), (None, "é +1 (415) 555-2671 é", "fr", 21, 2)],
                                DDL + ", lang string, n_chars long, place int")
