@@ -21,8 +21,11 @@ SEQUENCE = 4096
 #: Sequences in a window: the mixture holds in every run of so many, and a document is cut at most once a window more.
 WINDOW_SEQUENCES = 16
 END_ID = 2
-#: Most queues: the vector of queue lengths (8 bytes each) goes to every task.
-MAX_SOURCES = 65_536
+#: Most queues: the vector of queue lengths (8 bytes each) goes to every task. With more sources the largest keep queues of
+#: their own, and the rest lie one behind another in POOLS shared queues.
+MAX_SOURCES, POOLS = 65_536, 4096
+#: Bytes of run begins (8 a queue and window) that a task keeps at once.
+BASE_BYTES = 64 << 20
 #: Words whose ids a worker remembers (with their cores about 180 MB at most); full, it starts anew.
 REMEMBERED = 600_000
 BATCH_BYTES = 4 << 20
@@ -142,21 +145,31 @@ def pack(tokens: DataFrame, length: int = SEQUENCE, window_sequences: int = WIND
     tokens: a written result of `tokenized` (it is read twice). The windows hold the sources in the corpus' proportions,
     so all queues end together and every id is used once. Sequences are cut from the windows in turn; what is left after
     the last full one is cut into sequences whose lengths are powers of two, so there is no padding at all. A source
-    that holds most documents is one queue in many tasks. No rows: no pieces. Rows that repeat are packed each.
+    that holds most documents is one queue in many tasks. No rows: no pieces. Rows that repeat are packed each. Of more than
+    MAX_SOURCES sources the smallest share queues: the mixture then holds for the shared queue, and a source's tokens keep
+    together in it.
     """
     per_part = tokens.groupBy("source", "part").agg(F.sum("n").alias("tokens"))
-    queues = per_part.groupBy("source").agg(F.sum("tokens").alias("tokens")).orderBy(F.col("source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect()
-    if len(queues) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: name a coarser column")
-    number = {q["source"]: i for i, q in enumerate(queues)}
-    totals = np.asarray([q["tokens"] for q in queues], np.int64)
+    sources = per_part.groupBy("source").agg(F.sum("tokens").alias("tokens"))
+    queues = sources.orderBy(F.col("tokens").desc(), F.col("source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect()
+    pools = POOLS if len(queues) > MAX_SOURCES else 0
+    if pools:
+        queues = queues[:MAX_SOURCES - pools]
+    queues.sort(key=lambda q: (q["source"] is None, q["source"] or ""))
+    own = tokens.sparkSession.createDataFrame([(q["source"], i) for i, q in enumerate(queues)], "__source string, __own int")
+    pool = F.lit(len(queues)) + F.pmod(F.xxhash64("source"), F.lit(max(1, pools))).cast("int")
+    per_part = per_part.join(F.broadcast(own), F.col("source").eqNullSafe(F.col("__source")), "left").select("source", "part", "tokens", F.coalesce("__own", pool).alias("queue"))
+    totals = np.asarray([q["tokens"] for q in queues] + [0] * pools, np.int64)
+    if pools:
+        for row in per_part.where(F.col("queue") >= len(queues)).groupBy("queue").agg(F.sum("tokens").alias("tokens")).collect():
+            totals[row["queue"]] = row["tokens"]
     total = int(totals.sum())
     windows = max(1, -(-total // (length * window_sequences)))
     full = total // length
     tail = [1 << b for b in reversed(range(length.bit_length())) if (total % length) >> b & 1]
     ends = np.cumsum([0, *tail]) + full * length
-    upto = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_part.select(F.col("source").alias("__source"), F.col("part").alias("__part"), F.coalesce(F.sum("tokens").over(upto), F.lit(0)).alias("__start"))
+    upto = Window.partitionBy("queue").orderBy("source", "part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_part.select(F.col("source").alias("__source"), F.col("part").alias("__part"), F.col("queue").alias("__queue"), F.coalesce(F.sum("tokens").over(upto), F.lit(0)).alias("__start"))
     if per_part.count() <= BROADCAST_STARTS:
         starts = F.broadcast(starts)
     placed = tokens.join(starts, tokens["source"].eqNullSafe(starts["__source"]) & (tokens["part"] == starts["__part"]), "left")
@@ -164,7 +177,7 @@ def pack(tokens: DataFrame, length: int = SEQUENCE, window_sequences: int = WIND
     def run(batches):
         for batch in batches:
             ids = batch["ids"]
-            q = np.asarray([number[s] for s in batch["source"].to_pylist()], np.int64)
+            q = batch["__queue"].to_numpy()
             n, x0 = batch["n"].to_numpy(), batch["ahead"].to_numpy() + batch["__start"].to_numpy()
             held: list[dict] = []
             base: dict[int, np.ndarray] = {}
@@ -177,6 +190,8 @@ def pack(tokens: DataFrame, length: int = SEQUENCE, window_sequences: int = WIND
                     while int(_before(np.int64(k + 1), np.int64(t), windows)) <= at:
                         k += 1
                     if k not in base:  # where each queue's run begins in this window
+                        if (len(base) + 1) * totals.nbytes > BASE_BYTES:
+                            base.clear()
                         low = _before(np.int64(k), totals, windows)
                         run_lengths = _before(np.int64(k + 1), totals, windows) - low
                         base[k] = (int(low.sum()) + np.concatenate([[0], np.cumsum(run_lengths)[:-1]]) - low)
@@ -197,7 +212,7 @@ def pack(tokens: DataFrame, length: int = SEQUENCE, window_sequences: int = WIND
                     held, base = [], {}
             if held:
                 yield pa.RecordBatch.from_pylist(held, schema=PIECE)
-    return placed.select("doc_id", "source", "ahead", "n", "ids", "__start").mapInArrow(run, PIECE_DDL)
+    return placed.select("doc_id", "source", "ahead", "n", "ids", "__start", "__queue").mapInArrow(run, PIECE_DDL)
 
 
 def tokenizer_path() -> str:

@@ -69,3 +69,15 @@ def test_small_and_odd_tables(spark):
 def test_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "one two", "a", 5, 6)], "doc_id long, text string, source string, part int, ids int")
     assert packing.pack(staged(packing.tokenized(docs, packing.tokenizer_path()))).count() >= 1
+
+
+def test_more_sources_than_queues(spark, monkeypatch):
+    rows = [(i, "alpha beta " * (1 + i % 7), None if i % 41 == 0 else f"host{i % 41}") for i in range(160)]
+    own = packed(spark, rows, length=64, window_sequences=2)
+    monkeypatch.setattr(packing, "MAX_SOURCES", 9)
+    monkeypatch.setattr(packing, "POOLS", 4)
+    monkeypatch.setattr(packing, "BASE_BYTES", 200)
+    pooled = packed(spark, rows, length=64, window_sequences=2)
+    for pieces in (own, pooled):
+        check_pieces(pieces, rows, 64)
+    assert pooled.length.sum() == own.length.sum() and pooled.source.nunique() == 40
