@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from barloom.llm import embedding, exact, fingerprint, minhash, mixing, packing, pii, quality, secrets, sharding, warc, whitening  # noqa: F401
+from barloom.llm import dialogue, embedding, exact, fingerprint, minhash, mixing, packing, pii, quality, secrets, sharding, warc, whitening  # noqa: F401
 from barloom.llm.common import ORACLES, QUERIES
 
 
