@@ -1,7 +1,7 @@
 """One clean, split-adjusted bar per (security, date) out of three kinds of input."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.checks import PRICES
@@ -66,26 +66,36 @@ def unique_splits(events: DataFrame) -> DataFrame:
     return events.dropDuplicates(["security_id", "effective_date", "factor"])
 
 
+def later_factor(bars: DataFrame, events: DataFrame, reach: Column, name: str = "later_factor") -> DataFrame:
+    """Adds the product of the factors of all distinct events of the bar's security that take effect after `reach`.
+
+    Bars and events of a security lie in one descending order, a bar before the events of its own day, and one running
+    product serves all bars: linear in bars and events, and no list of events is built. Bars that are placed by security
+    stay where they are. A bar without `reach` has factor 1. A factor that is null or not above 0 stops the job where a
+    bar lies before it.
+    """
+    rows = bars.withColumn("_reach", reach).withColumn("_event", F.lit(False))
+    marks = unique_splits(events).select("security_id", F.col("effective_date").alias("_reach"), F.col("factor").alias("_factor"),
+                                         F.lit(True).alias("_event")).repartition("security_id")
+    both = rows.unionByName(marks, allowMissingColumns=True)
+    so_far = (Window.partitionBy("security_id").orderBy(F.desc("_reach"), "_event")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    sound = F.coalesce(F.col("_factor") > 0, F.lit(False))
+    lined = both.select("*", F.product(F.when(F.col("_event") & sound, F.col("_factor")).otherwise(1.0)).over(so_far).alias("_product"),
+                        F.bool_or(F.col("_event") & ~sound).over(so_far).alias("_bad"))
+    factor = (F.when(F.col("_reach").isNull(), 1.0).when(F.col("_bad"), F.raise_error(F.lit("BAD_SPLIT_FACTOR")).cast("double"))
+              .otherwise(F.col("_product")))
+    return lined.filter(~F.col("_event")).select(*bars.columns, factor.alias(name))
+
+
 def split_adjust(bars: DataFrame, events: DataFrame) -> DataFrame:
     """Apply each later split once: after the bar's date and after its adjustment anchor.
 
-    The distinct splits of a security are few, so they travel as one sorted array per
-    security; bars are not multiplied and each price is divided split by split in order.
+    Prices are divided, and volumes multiplied, by the product of the splits due. (Dividing split by split, as one may
+    also do, can differ in the last bit.)
     """
-    split = F.struct("effective_date", "factor")
-    per_security = (events.groupBy("security_id")
-                    .agg(F.array_sort(F.collect_set(split)).alias("splits")))
-    joined = bars.join(per_security, "security_id", "left")
-    due = F.filter("splits", lambda e: (F.col("date") < e["effective_date"])
-                   & (F.col("adjustment_as_of") < e["effective_date"]))
-    joined = joined.withColumn("due", F.when(F.col("splits").isNotNull(), due))
-    bad = F.exists("due", lambda e: e["factor"] <= 0)
-
-    def fold(name, step):
-        return F.when(F.size("due") > 0, F.when(bad, F.raise_error(F.lit("BAD_SPLIT_FACTOR")).cast("double"))
-                      .otherwise(F.aggregate("due", F.col(name), step))).otherwise(F.col(name)).alias(name)
-
-    adjusted = [fold(p, lambda acc, e: acc / e["factor"]) for p in PRICES]
-    adjusted.append(fold("volume", lambda acc, e: acc * e["factor"]))
+    reach = F.when(F.col("date").isNotNull() & F.col("adjustment_as_of").isNotNull(), F.greatest("date", "adjustment_as_of"))
+    due = later_factor(bars, events, reach)
     kept = [c for c in bars.columns if c not in PRICES + ("volume",)]
-    return joined.select(*kept, *adjusted)
+    return due.select(*kept, *[(F.col(p) / F.col("later_factor")).alias(p) for p in PRICES],
+                      (F.col("volume") * F.col("later_factor")).alias("volume"))

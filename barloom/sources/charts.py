@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.checks import PRICES, is_finite
+from barloom.operators.compose import later_factor
 
 FIELDS = PRICES + ("volume",)
 
@@ -58,12 +59,8 @@ def chart_splits(payloads: DataFrame) -> DataFrame:
 
 def undo_later_splits(bars: DataFrame, events: DataFrame, as_of) -> DataFrame:
     """Take out splits after `as_of` that the provider has already put into earlier bars."""
-    per_security = (events.filter(F.col("effective_date") > F.lit(as_of).cast("date")).groupBy("security_id")
-                    .agg(F.array_sort(F.collect_set(F.struct("effective_date", "factor"))).alias("later")))
-    joined = bars.join(per_security, "security_id", "left")
-    due = F.filter("later", lambda e: F.col("date") < e["effective_date"])
-    joined = joined.withColumn("due", F.coalesce(due, F.array().cast("array<struct<effective_date:date,factor:double>>")))
-    prices = [F.aggregate("due", F.col(p), lambda acc, e: acc * e["factor"]).alias(p) for p in PRICES]
-    volume = F.aggregate("due", F.col("volume"), lambda acc, e: acc / e["factor"]).alias("volume")
+    later = events.filter(F.col("effective_date") > F.lit(as_of).cast("date"))
+    due = later_factor(bars, later, F.col("date"))
     kept = [c for c in bars.columns if c not in FIELDS]
-    return joined.select(*kept, *prices, volume)
+    return due.select(*kept, *[(F.col(p) * F.col("later_factor")).alias(p) for p in PRICES],
+                      (F.col("volume") / F.col("later_factor")).alias("volume"))
