@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
@@ -160,6 +161,67 @@ def momentum_last(closes: pa.Array) -> pa.Array:
         list(MOMENTUM_FIELDS))
 
 
+#: What the recursions of `momentum_last` carry from bar to bar.
+CARRIED_FIELDS = ("steps", "fast", "slow", "signal", "gain", "loss", "before")
+CARRIED = T.StructType([T.StructField("steps", T.LongType())] + [T.StructField(f, T.DoubleType()) for f in CARRIED_FIELDS[1:]])
+
+
+def _where_seeded(t: np.ndarray, previous: np.ndarray, value: np.ndarray, period: int, after) -> np.ndarray:
+    """A mean-seeded step for series that stand at different steps t."""
+    out = previous + value
+    seed, later = t == period - 1, t >= period
+    out[seed] = out[seed] / period
+    out[later] = after(previous[later], value[later])
+    return out
+
+
+@arrow_udf(CARRIED)
+def momentum_carried(state: pa.Array, closes: pa.Array) -> pa.Array:
+    """The state behind further closes; a null state stands before the first. Same operations as `momentum_last`."""
+    state, closes = _plain(state), _plain(closes)
+    series = _Series(closes)
+    values = series.flat(closes)
+    known = {f: state.field(f).fill_null(0).to_numpy(zero_copy_only=False).copy() for f in CARRIED_FIELDS}
+    fresh = ~state.is_valid().to_numpy(zero_copy_only=False)
+    for f in CARRIED_FIELDS:
+        known[f][fresh] = 0
+    at_step = known["steps"][series.order].astype(np.int64)
+    fast, slow, signal, gain, loss, before = (known[f][series.order].astype(np.float64) for f in CARRIED_FIELDS[1:])
+
+    def ema(period):
+        alpha = 2 / (period + 1)
+        return lambda previous, value: alpha * value + (1 - alpha) * previous
+
+    def wilder(previous, value):
+        return (previous * (RSI_PERIOD - 1) + value) / RSI_PERIOD
+    for _, alive, at in series.steps():
+        x, t = values[at], at_step[:alive]
+        fast[:alive] = _where_seeded(t, fast[:alive], x, 12, ema(12))
+        slow[:alive] = _where_seeded(t, slow[:alive], x, 26, ema(26))
+        lined = np.flatnonzero(t >= 25)
+        signal[lined] = _where_seeded(t[lined] - 25, signal[lined], fast[lined] - slow[lined], 9, ema(9))
+        moved = np.flatnonzero(t > 0)
+        move = x[moved] - before[moved]
+        gain[moved] = _where_seeded(t[moved] - 1, gain[moved], np.maximum(move, 0.0), RSI_PERIOD, wilder)
+        loss[moved] = _where_seeded(t[moved] - 1, loss[moved], np.maximum(-move, 0.0), RSI_PERIOD, wilder)
+        before[:alive] = x
+        at_step[:alive] += 1
+
+    def in_order(v):
+        out = np.empty_like(v)
+        out[series.order] = v
+        return pa.array(out)
+    return pa.StructArray.from_arrays([in_order(v) for v in (at_step, fast, slow, signal, gain, loss, before)], list(CARRIED_FIELDS))
+
+
+def momentum_of(state: Column) -> Column:
+    """What `momentum_last` gives, from the carried state."""
+    steps, gain, loss = state["steps"], state["gain"], state["loss"]
+    line = F.when(steps >= 26, state["fast"] - state["slow"])
+    strength = F.when(loss == 0, F.when(gain != 0, 100.0).otherwise(50.0)).otherwise(100 - 100 / (1 + gain / loss))
+    return F.struct(F.when(steps > RSI_PERIOD, strength).alias("rsi14"), line.alias("macd"), F.when(steps >= 26 + 8, state["signal"]).alias("macd_signal"))
+
+
 TREND_FIELDS = ("macd", "prev_macd", "hist", "prev_hist", "e17", "e50", "atr")
 
 

@@ -58,21 +58,35 @@ def _low_distances(low: Column, close: Column) -> dict[str, Column]:
 
 def latest_indicators(bars: DataFrame) -> DataFrame:
     """Every indicator of every security at its last bar, from one grouping by security."""
+    arrays = bar_arrays(bars)
+    return measured(arrays.select("security_id", "bars", F.size("bars").cast("bigint").alias("bar_count"), F.lit(None).cast("double").alias("older_low"),
+                                  momentum_last(F.col("bars.close")).alias("momentum")))
+
+
+#: Bars that `measured` looks back on: the longest return needs one bar more than its window.
+TAIL = max(K.YEAR_BARS, max(K.RETURN_WINDOWS) + 1, max(K.MOVING_AVERAGES) + K.SLOPE_LAG, max(K.LOW_WINDOWS)) + 2
+
+
+def measured(arrays: DataFrame) -> DataFrame:
+    """Indicators from (security_id, bars, bar_count, older_low, momentum).
+
+    `bars` are a security's bars in date order, all of them or the last TAIL; `older_low` is the lowest close before them,
+    `momentum` the recursive ones at the last bar.
+    """
     close, low, high = F.col("bars.close"), F.col("bars.low"), F.col("bars.high")
     size = F.size("bars")
-    arrays = bar_arrays(bars).withColumn("momentum", momentum_last(close))
     last = F.element_at(close, -1)
     year = _tail(F.col("bars"), K.YEAR_BARS)
     first = arrays.select(
         "security_id", F.element_at("bars", -1)[DAY].alias("trade_date"), last.alias("close"),
-        size.alias("bar_count"),
+        F.col("bar_count").cast("int").alias("bar_count"),
         F.forall(year, is_priced).alias("price_data_valid"),
         *[v.alias(k) for k, v in _moving_averages(close).items()],
         *[v.alias(k) for k, v in _low_distances(low, close).items()],
         F.array_max(_tail(high, K.YEAR_BARS)).alias("high_52w"),
         F.array_min(_tail(low, K.YEAR_BARS)).alias("low_52w"),
-        F.coalesce(F.when(size >= 3, (F.element_at(close, -2) >= F.array_min(F.slice(close, 1, size - 2)))
-                          & (last >= F.array_min(F.slice(close, 1, size - 1)))),
+        F.coalesce(F.when(size >= 3, (F.element_at(close, -2) >= F.least("older_low", F.array_min(F.slice(close, 1, size - 2))))
+                          & (last >= F.least("older_low", F.array_min(F.slice(close, 1, size - 1))))),
                    F.lit(False)).alias("no_new_low"),
         F.when(size >= 20, _mean(_tail(F.col("bars.volume"), 20), 20)).alias("volume_20d"),
         F.when(size >= 20, _mean(F.transform(_tail(F.col("bars"), 20),

@@ -1,6 +1,11 @@
 """Bars, corrections, corporate actions and snapshots as files."""
 from __future__ import annotations
 
+import sys
+import zlib
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,21 +14,82 @@ from barloom import contracts as K
 from barloom.operators.compose import effective_bars
 from barloom.schemas import CORPORATE_ACTION, PATCH, PATCH_DOCUMENT, STORED_BAR
 
+# Ship these helpers inside the serialized function: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DAY_FOLDER = r"/(?:[a-z_]+=)?(\d{4}-\d{2}-\d{2})/(?:[^/]+/)?[^/]+$"
 
 
-def refuse_unread(spark: SparkSession, path: str) -> None:
-    """Fail with the names of `.gzip` files: Spark unpacks `.gz` only, so they would be skipped or read as they are."""
-    names = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.gzip").load(path)
-             .select("path").limit(20).collect())
-    if names:
-        raise ValueError(f"files with the suffix .gzip, rename them to .gz: {sorted(r.path for r in names)}")
+#: Both spellings of a compressed part. Spark's readers unpack `.gz` by themselves; `.gzip`, the older one, is unpacked here.
+SUFFIXES = "*.{gz,gzip}"
+#: Compressed bytes taken at a time, and bytes of text given at a time.
+CHUNK_BYTES, PIECE_BYTES = 256 << 10, 4 << 20
 
 
-def read_bars(spark: SparkSession, path: str, suffix: str = "*.gz") -> DataFrame:
+def unpacked_lines(files: DataFrame) -> DataFrame:
+    """files(path, content), gzip, of any number of members -> (path, value), a row for each line.
+
+    A task holds one file's compressed bytes and a piece of some megabytes of its text. A file that is damaged or cut
+    short stops the job with its name.
+    """
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                path, content = batch["path"][i].as_py(), batch["content"][i].as_buffer()
+                for lines in _lines_of(path, memoryview(content)):
+                    yield pa.RecordBatch.from_arrays([pa.array([path] * len(lines), pa.string()), pa.array(lines, pa.string())], names=["path", "value"])
+    return files.select("path", "content").mapInArrow(run, "path string, value string")
+
+
+def _text_of(path: str, data: memoryview):
+    """Pieces of a gzip file's text, member after member; zeros between members are padding."""
+    unpack, idle = zlib.decompressobj(wbits=31), True
+    try:
+        for at in range(0, len(data), CHUNK_BYTES):
+            piece = bytes(data[at:at + CHUNK_BYTES])
+            while piece := piece.lstrip(b"\0") if idle else piece:
+                idle = False
+                while text := unpack.decompress(piece, PIECE_BYTES):
+                    yield text
+                    piece = unpack.unconsumed_tail
+                piece = b""
+                if unpack.eof:
+                    piece, idle = unpack.unused_data, True
+                    unpack = zlib.decompressobj(wbits=31)
+    except zlib.error as error:
+        raise ValueError(f"{path} cannot be unpacked: {error}") from None
+    if not idle:
+        raise ValueError(f"{path} is cut short")
+
+
+def _lines_of(path: str, data: memoryview):
+    """Lists of lines; the last line may lack its end."""
+    rest = b""
+    for text in _text_of(path, data):
+        *lines, rest = (rest + text).split(b"\n")
+        if lines:
+            yield [x.decode("utf-8") for x in lines]
+    if rest:
+        yield [rest.decode("utf-8")]
+
+
+def older_parts(reader, path: str | list[str]) -> DataFrame:
+    """STORED_BAR rows and `file_path` of the `.gzip` parts below a path, for a batch or a stream reader."""
+    files = (reader.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+             .option("recursiveFileLookup", True).option("pathGlobFilter", "*.gzip").load(path))
+    parsed = unpacked_lines(files).filter(F.trim("value") != "")
+    return parsed.select(F.from_json("value", STORED_BAR).alias("bar"), F.col("path").alias("file_path")).select("bar.*", "file_path")
+
+
+def bar_parts(reader, path: str | list[str]) -> DataFrame:
+    """STORED_BAR rows of all parts below a path, under either suffix, with `file_path`; for a batch or a stream reader."""
+    plain = (reader.format("json").schema(STORED_BAR).option("recursiveFileLookup", True).option("pathGlobFilter", "*.gz").load(path))
+    return plain.select(*STORED_BAR.fieldNames(), F.col("_metadata.file_path").alias("file_path"))
+
+
+def read_bars(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Compressed newline-delimited JSON bars, with an explicit schema."""
-    refuse_unread(spark, path)
-    return effective_bars(spark.read.schema(STORED_BAR).option("pathGlobFilter", suffix).json(path))
+    return effective_bars(bar_parts(spark.read, path).unionByName(older_parts(spark.read, path)).drop("file_path"))
 
 
 def read_csv_bars(spark: SparkSession, path: str) -> DataFrame:
@@ -32,17 +98,14 @@ def read_csv_bars(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def read_day_folders(spark: SparkSession, root: str, suffix: str = "*.gz") -> DataFrame:
+def read_day_folders(spark: SparkSession, root: str | list[str]) -> DataFrame:
     """Bars below `root/<date>/`, directly or one shard level down, with the folder's date.
 
-    The folder may be bare or `name=<date>`; folders that are not dates are left out.
+    The folder may be bare or `name=<date>`; folders that are not dates are left out. `root` may also be a list of folders.
     """
-    refuse_unread(spark, root)
-    stored = (spark.read.schema(STORED_BAR).option("recursiveFileLookup", True)
-              .option("pathGlobFilter", suffix).json(root))
-    folder = F.regexp_extract(F.col("_metadata.file_path"), DAY_FOLDER, 1)
-    rows = stored.select("*", folder.alias("folder")).filter("folder <> ''")
-    return rows.withColumn("folder_date", F.to_date("folder")).drop("folder")
+    stored = bar_parts(spark.read, root).unionByName(older_parts(spark.read, root))
+    rows = stored.withColumn("folder", F.regexp_extract("file_path", DAY_FOLDER, 1)).filter("folder <> ''")
+    return rows.withColumn("folder_date", F.to_date("folder")).drop("folder", "file_path")
 
 
 def explode_patches(documents: DataFrame) -> DataFrame:

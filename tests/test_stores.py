@@ -80,14 +80,30 @@ def test_copies_that_differ_are_violations(spark, tmp_path):
     assert stored(spark, path) == [("US-000001", d[1], 2.0)]
 
 
-def test_files_that_would_be_skipped_are_refused(spark, tmp_path):
-    folder, d = str(tmp_path / "in"), days(1)
+def test_parts_under_the_older_suffix(spark, tmp_path):
+    folder, d = str(tmp_path / "in"), days(3)
     put(f"{folder}/{d[0]}/part-1.ndjson.gz", [line(d[0], 10)])
-    assert DOC.read_day_folders(spark, folder).count() == 1
-    put(f"{folder}/{d[0]}/part-2.ndjson.gzip", [line(d[0], 10)])
-    for read in (lambda: DOC.read_day_folders(spark, folder), lambda: DOC.read_bars(spark, folder), lambda: ingest_bars(spark, folder, str(tmp_path / "o"), str(tmp_path / "p"))):
-        with pytest.raises(ValueError, match="part-2.ndjson.gzip"):
-            read()
+    put(f"{folder}/{d[0]}/part-2.ndjson.gzip", [line(d[0], 11, "US-000002")])
+    put(f"{folder}/{d[1]}/aa/part-1.ndjson.gzip", [line(d[1], 12)])
+    rows = sorted((r.security_id, r.folder_date, r.close) for r in DOC.read_day_folders(spark, folder).collect())
+    assert rows == [("US-000001", d[0], 10), ("US-000001", d[1], 12), ("US-000002", d[0], 11)]
+    assert DOC.read_bars(spark, folder).count() == 3
+    store, progress = str(tmp_path / "o"), str(tmp_path / "p")
+    ingest_bars(spark, folder, store, progress)
+    put(f"{folder}/{d[2]}/part-1.ndjson.gzip", [line(d[2], 13)])
+    ingest_bars(spark, folder, store, progress)
+    assert len(stored(spark, store)) == 4
+
+
+def test_unpacking_of_many_members_long_lines_and_damage():
+    text = b"".join(b"%d %s\n" % (i, b"x" * (i % 50)) for i in range(50_000)) + b"y" * 9_000_000 + b"\nlast"
+    packed = b"".join(gzip.compress(text[at:at + 700_001]) + b"\0" * 300 for at in range(0, len(text), 700_001))
+    lines = [x for piece in DOC._lines_of("f", memoryview(packed)) for x in piece]
+    assert lines == text.decode().split("\n")
+    assert list(DOC._lines_of("f", memoryview(b""))) == []
+    for broken, message in ((packed[:-400], "cut short"), (packed[:5000] + b"junk" * 200 + packed[5800:], "cannot be unpacked")):
+        with pytest.raises(ValueError, match=message):
+            list(DOC._lines_of("f", memoryview(broken)))
 
 
 def test_stream_equals_batch_and_late_dates_arrive(spark, tmp_path):

@@ -156,8 +156,7 @@ def liquidity_20d(spark, d):
     return snapshot(spark, d).select("security_id", "volume_20d", "dollar_volume_20d")
 
 
-MOMENTUM_SQL = with_ctes("back", recursive=True, extra="""
-walk AS (
+WALK_SQL = """walk AS (
   SELECT security_id, CAST(1 AS BIGINT) AS i, n, close, 0.0::DOUBLE AS gain, 0.0::DOUBLE AS loss,
     close AS f, close AS s, NULL::DOUBLE AS line, 0.0::DOUBLE AS g FROM back WHERE i = 1
   UNION ALL
@@ -175,7 +174,8 @@ walk AS (
           ELSE (2.0::DOUBLE / 13) * b.close + (1 - 2.0::DOUBLE / 13) * w.f END AS f,
         CASE WHEN b.i < 26 THEN w.s + b.close WHEN b.i = 26 THEN (w.s + b.close) / 26
           ELSE (2.0::DOUBLE / 27) * b.close + (1 - 2.0::DOUBLE / 27) * w.s END AS s
-      FROM walk w JOIN back b ON b.security_id = w.security_id AND b.i = w.i + 1) a) c)""")
+      FROM walk w JOIN back b ON b.security_id = w.security_id AND b.i = w.i + 1) a) c)"""
+MOMENTUM_SQL = with_ctes("back", recursive=True, extra=WALK_SQL)
 
 
 @query("rsi14", MOMENTUM_SQL + f"""SELECT security_id,

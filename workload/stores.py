@@ -6,6 +6,10 @@ import os
 
 from pyspark.sql import functions as F
 
+from barloom import files
+from barloom.operators.compose import accepted_corrections
+from barloom.plans import incremental as INC
+from barloom.plans import refresh as REF
 from barloom.plans.combined_monthly import combined_pointer
 from barloom.plans.daily_append import daily_append
 from barloom.plans.earnings_daily import earnings_daily as earnings_plan
@@ -30,10 +34,20 @@ BARS_SQL = with_ctes("bars") + f"SELECT security_id, {day('date', 'date')}, {BAR
 FIELDS = ["security_id", "date", "open", "high", "low", "close", "volume"]
 
 
+def older_suffix(spark, folder):
+    """Give the parts in a folder the older suffix."""
+    for name in files.names(spark, folder):
+        if name.endswith(".gz"):
+            files.rename(spark, os.path.join(folder, name), os.path.join(folder, name.removesuffix(".gz") + ".gzip"))
+
+
 @query("ndjson_bar_scan", BARS_SQL)
 def ndjson_bar_scan(spark, d):
+    """Parts under both suffixes: the sealed history under the older one."""
     path = scratch_path(spark, "bars-json")
-    ST.write_bars_json(W.supplier_bars(spark, d), path)
+    ST.write_bars_json(W.supplier_bars(spark, d, until=W.BASE_AS_OF), os.path.join(path, "history"))
+    ST.write_bars_json(W.supplier_bars(spark, d, after=W.BASE_AS_OF), os.path.join(path, "days"))
+    older_suffix(spark, os.path.join(path, "history"))
     return DOC.read_bars(spark, path).select(*FIELDS)
 
 
@@ -49,6 +63,9 @@ def day_folder_scan(spark, d):
     path = scratch_path(spark, "folders")
     bars = W.supplier_bars(spark, d).withColumn("folder", F.col("date"))
     bars.hint("rebalance", "folder").write.partitionBy("folder").option("compression", "gzip").json(path)
+    for name in files.names(spark, path):
+        if name.endswith("1"):  # days that end in one
+            older_suffix(spark, os.path.join(path, name))
     return DOC.read_day_folders(spark, path).select("security_id", "date", "folder_date", "close")
 
 
@@ -225,12 +242,67 @@ def incremental_bar_ingest(spark, d):
     arrivals, store, checkpoint = (scratch_path(spark, n) for n in ("arrivals", "store", "progress"))
     bars = W.supplier_bars(spark, d)
     bars.filter(F.col("date") <= F.lit(W.AS_OF)).write.option("compression", "gzip").json(os.path.join(arrivals, "first"))
+    older_suffix(spark, os.path.join(arrivals, "first"))
     ingest_bars(spark, arrivals, store, checkpoint)
     bars.filter(F.col("date") > F.lit(W.BASE_AS_OF)).write.option("compression", "gzip").json(os.path.join(arrivals, "second"))
     ingest_bars(spark, arrivals, store, checkpoint)
     return spark.read.parquet(store).select(*FIELDS)
 
 
+# Corrections reach the quarantined securities only; all others keep their bars.
+cte("repaired_bars", """SELECT security_id, date, open, high, low, close, volume FROM composed SEMI JOIN quarantined USING (security_id)
+UNION ALL SELECT security_id, date, open, high, low, close, volume FROM bars ANTI JOIN quarantined USING (security_id)""", "composed", "bars", "quarantined")
+cte("quarantined", "SELECT security_id FROM securities WHERE listing_status LIKE 'QUARANTINED%'", "securities")
+
+
+@query("indicators_incremental", with_ctes("repaired_bars", recursive=True, extra=f"""known_bars AS (SELECT * FROM repaired_bars),
+back AS ({CTES["back"][1]}), {PR.WALK_SQL}""") + f"""
+, slow AS (SELECT security_id, {day('max(date)', 'trade_date')}, count(*) AS bar_count, {r(PR._ma(20), 'ma_20', 6)}, {r(PR._ma(200), 'ma_200', 6)},
+    {r(f'{PR.LAST} / nullif(max(close) FILTER (back = 253), 0) - 1', 'return_252d')},
+    {r(f'CASE WHEN max(n) >= 120 THEN {PR.LAST} / min(low) FILTER (back <= 120) - 1 END', 'low_distance_120')},
+    coalesce({PR._CONFIRMED}, false) AS bottom_confirmation FROM back GROUP BY 1)
+SELECT slow.*, {r('line', 'macd')}, {r('CASE WHEN n >= 34 THEN g END', 'macd_signal')},
+  {r('CASE WHEN n <= 14 THEN NULL WHEN loss = 0 THEN CASE WHEN gain <> 0 THEN 100 ELSE 50 END ELSE 100 - 100 / (1 + gain / loss) END', 'rsi14')}
+FROM slow JOIN walk USING (security_id) WHERE i = n""")
+def indicators_incremental(spark, d):
+    """Indicators carried over three deliveries: the sealed history, the days since, and late corrections with the newest days."""
+    series = INC.open_series(spark, scratch_path(spark, "series"))
+    bars = W.supplier_bars(spark, d)
+    INC.take_in(series, "history", bars.filter(F.col("date") <= F.lit(W.BASE_AS_OF)))
+    INC.take_in(series, "days", bars.filter(F.col("date").between(F.lit(W.BASE_AS_OF + dt.timedelta(days=1)), F.lit(W.AS_OF))))
+    quarantined = W.securities(spark, d).filter(F.col("listing_status").startswith("QUARANTINED")).select("security_id")
+    corrected = accepted_corrections(W.patch_rows(spark, d)).join(quarantined, "security_id", "left_semi").select(*FIELDS)
+    newest = bars.filter(F.col("date") > F.lit(W.AS_OF)).select(*FIELDS)
+    INC.take_in(series, "late", newest.join(corrected, ["security_id", "date"], "left_anti").unionByName(corrected))
+    return INC.indicators(series).select("security_id", "trade_date", "bar_count", "ma_20", "ma_200", "return_252d", "low_distance_120",
+                                         "bottom_confirmation", "macd", "macd_signal", "rsi14")
+
+
+@query("partition_refresh", with_ctes("bars") + f"""
+, v AS (SELECT *, month(date) = 2 AS gone, month(date) = 3 AS doubled FROM bars)
+SELECT {day('date', 'date')}, count(*) AS rows, {r('sum(CASE WHEN doubled THEN 2 * close ELSE close END)', 'closes')},
+  CASE WHEN date > DATE '{W.AS_OF}' OR any_value(doubled) THEN 'NEW' ELSE 'UNCHANGED' END AS state FROM v WHERE NOT gone GROUP BY date""")
+def partition_refresh(spark, d):
+    """Day folders that a store follows: days come, days are corrected, days go; the others are not read again."""
+    root = scratch_path(spark, "day-files")
+    mirror = REF.open_mirror(spark, scratch_path(spark, "mirror"))
+    bars = stage(W.supplier_bars(spark, d).select(*FIELDS).withColumn("folder", F.col("date")))
+
+    def put(rows):
+        rows.hint("rebalance", "folder").write.partitionBy("folder").mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "gzip").json(root)
+    put(bars.filter(F.col("date") <= F.lit(W.AS_OF)))
+    REF.refresh(mirror, root, "first")
+    march = bars.filter(F.month("date") == 3).withColumn("close", F.col("close") * 2)
+    put(bars.filter((F.col("date") > F.lit(W.AS_OF)) & (F.month("date") != 3)).unionByName(march).filter(F.month("date") != 2))
+    for name in files.names(spark, root):
+        if name.startswith("folder=") and name[-5:-3] == "02":
+            files.delete(spark, os.path.join(root, name))
+    states = REF.refresh(mirror, root, "second")
+    date = F.to_date(F.regexp_extract("path", DOC.DAY_FOLDER, 1))
+    by_day = states.filter("state <> 'DELETED'").groupBy(date.alias("date")).agg(F.min("state").alias("state"))
+    return mirror.read("bars").groupBy("date").agg(F.count(F.lit(1)).alias("rows"), F.sum("close").alias("closes")).join(by_day, "date")
+
+
 @query("rank_store", with_ctes("bars") + "SELECT count(DISTINCT security_id) AS rows, (count(DISTINCT security_id) + 249) // 250 AS detail_parts, true AS first_written, false AS second_written FROM (SELECT * FROM bars WHERE date <= DATE '" + str(W.AS_OF) + "') t")
 def rank_store(spark, d):
     from barloom.operators import ranking as R
