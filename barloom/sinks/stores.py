@@ -49,13 +49,15 @@ def conflicts(rows: DataFrame, stored: DataFrame | None, key: list[str], compare
 
 
 PRICES = ["open", "high", "low", "close", "volume"]
+#: Bars are the same where these agree: the anchor decides which splits still apply.
+BAR_CONTENT = [*PRICES, "adjustment_as_of"]
 
 
 def append_daily(rows: DataFrame, path: str) -> DataFrame:
     """Append bars to their own date's partition; returns the violations, one row a key and kind.
 
-    Keys already stored with the same prices are left out, equal copies are merged. A key that comes with different
-    prices, or with others than are stored, is a violation and is not written; the others are. A catch-up brings several
+    Keys already stored with the same content are left out, equal copies are merged. A key that comes with different
+    prices or adjustment anchors, or with others than are stored, is a violation and is not written; the others are. A catch-up brings several
     dates: only the partitions of those dates are read for the key check. Rows are rebalanced by date, so a large date
     is split into several files.
     """
@@ -64,7 +66,7 @@ def append_daily(rows: DataFrame, path: str) -> DataFrame:
     if stored is not None:
         dates = F.broadcast(rows.select("trade_date").distinct())  # bounded by the calendar
         stored = stored.join(dates, "trade_date", "left_semi")
-    wrong = stage(conflicts(rows, stored, BAR_KEY, [c for c in PRICES if c in rows.columns]))
+    wrong = stage(conflicts(rows, stored, BAR_KEY, [c for c in BAR_CONTENT if c in rows.columns]))
     new = _unstored(rows.join(wrong.select(*BAR_KEY), BAR_KEY, "left_anti").dropDuplicates(BAR_KEY), stored, BAR_KEY)
     new.hint("rebalance", "trade_date").write.mode("append").partitionBy("trade_date").parquet(path)
     return wrong

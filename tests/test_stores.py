@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.sinks import stores as ST
+from barloom.sinks.ledger import Write
 from barloom.sources import charts as CH
 from barloom.sources import documents as DOC
 from barloom.sources import pages as PG
@@ -199,3 +200,54 @@ def test_chart_payload(spark):
     rows = bars_frame(spark, [bar(dt.date(2026, 1, 4), 10, "US-1"), bar(dt.date(2026, 1, 5), 10, "US-1")])
     undone = {r.date.day: (r.close, r.volume) for r in CH.undo_later_splits(rows, CH.chart_splits(payload), "2026-01-04").collect()}
     assert undone == {4: (40.0, 25.0), 5: (10.0, 100.0)}
+
+
+def test_same_prices_with_another_anchor_are_a_violation(spark, tmp_path):
+    path, d = str(tmp_path / "store"), days(1)
+    rows = bars_frame(spark, [bar(d[0], 1, anchor=dt.date(2025, 1, 2)), bar(d[0], 1, anchor=dt.date(2026, 1, 2)), bar(d[0], 1, "US-000002")])
+    assert [(r.security_id, r.error) for r in ST.append_daily(rows, path).collect()] == [("US-000001", "CONFLICT_IN_DELIVERY")]
+    later = bars_frame(spark, [bar(d[0], 1, "US-000002", anchor=dt.date(2027, 1, 1))])
+    assert [(r.security_id, r.error) for r in ST.append_daily(later, path).collect()] == [("US-000002", "CONFLICT_WITH_STORED")]
+    assert stored(spark, path) == [("US-000002", d[0], 1.0)]
+
+
+def test_days_are_committed_whole_and_once(spark, tmp_path):
+    from barloom.plans import daily_append as DA
+    d = days(7)
+    ids = [f"US-{i:06d}" for i in range(1, 11)]
+    universe = spark.createDataFrame([(s, "US", "ACTIVE", "NEW_LISTING" if s == ids[1] else None, None, False) for s in ids],
+                                     "security_id string, market string, listing_status string, security_id_origin string, listing_date date, listing_date_verified boolean")
+    sessions = spark.createDataFrame([(x, i) for i, x in enumerate(d)], "date date, idx long")
+    source = bars_frame(spark, [bar(x, 10 + i, s, low=-1.0 if (s, i) == (ids[2], 6) else 9.0) for s in ids[1:] for i, x in enumerate(d) if (s, i) != (ids[3], 5)])
+    store = DA.open_daily(spark, str(tmp_path))
+    past = spark.createDataFrame([("US", ids[0], "FETCH_FAILED", x, "OPEN") for x in d[2:5]], DA.QUEUE)
+    store.commit("before", {"queue": Write(past), "bars": Write(source.filter(F.col("date").between(d[1], d[4])).withColumn("trade_date", F.col("date")))})
+
+    def stop(table):
+        if table == "reviews":
+            raise InterruptedError
+    assert DA.append_day(store, universe, source, sessions, d[0], d[5])
+    with pytest.raises(InterruptedError):
+        DA.append_day(store, universe, source, sessions, d[0], d[6], after_write=stop)
+    assert str(d[6]) not in store.batches() and store.read("bars").count() == 9 * 4 + 8
+    assert DA.append_day(store, universe, source, sessions, d[0], d[6]) and not DA.append_day(store, universe, source, sessions, d[0], d[6])
+    assert store.read("bars").count() == 9 * 6 - 1 and store.read("bars").filter("date <> trade_date").count() == 0
+    queue = {(r.security_id, r.category): r.n for r in store.read("queue").groupBy("security_id", "category").agg(F.count("*").alias("n")).collect()}
+    assert queue == {(ids[0], "FETCH_FAILED"): 5, (ids[0], "SUSPECT_DELISTED"): 1, (ids[2], "DATA_SUSPECT"): 1, (ids[3], "FETCH_FAILED"): 1}
+    assert [(r.security_id, r.trade_date) for r in store.read("reviews").collect()] == [(ids[0], d[6])]
+    assert [(r.security_id, r.bar_count, r.history_status) for r in store.read("history").collect()] == [(ids[1], 6, "SHORT_HISTORY")]
+    assert {(r.trade_date, r.active, r.available) for r in store.read("receipts").collect()} == {(d[5], 10, 8), (d[6], 10, 9)}
+
+
+def test_an_outage_leaves_its_receipt_and_the_day_open(spark, tmp_path):
+    from barloom.plans import daily_append as DA
+    d = days(2)
+    ids = [f"US-{i:06d}" for i in range(1, 6)]
+    universe = spark.createDataFrame([(s, "US", "ACTIVE", None, None, False) for s in ids],
+                                     "security_id string, market string, listing_status string, security_id_origin string, listing_date date, listing_date_verified boolean")
+    sessions = spark.createDataFrame([(x, i) for i, x in enumerate(d)], "date date, idx long")
+    store = DA.open_daily(spark, str(tmp_path))
+    assert DA.append_day(store, universe, bars_frame(spark, [bar(d[1], 5, ids[0])]), sessions, d[0], d[1])
+    assert [r.status for r in store.read("receipts").collect()] == ["MARKET_WIDE_DATA_UNAVAILABLE"] and store.read("bars") is None
+    assert DA.append_day(store, universe, bars_frame(spark, [bar(d[1], 5, s) for s in ids]), sessions, d[0], d[1])
+    assert [(r.status, r.written) for r in store.read("receipts").collect()] == [("COMPLETE", 5)]

@@ -2,12 +2,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import os
 
 from pyspark.sql import functions as F
 
 from barloom import files
 from barloom.operators.compose import accepted_corrections
+from barloom.plans import daily_append as DA
 from barloom.plans import incremental as INC
 from barloom.plans import refresh as REF
 from barloom.plans.combined_monthly import combined_pointer
@@ -18,6 +20,7 @@ from barloom.plans.us_monthly import us_monthly as us_plan
 from barloom.plans.us_monthly import us_pointer
 from barloom.session import scratch_path, stage
 from barloom.sinks import stores as ST
+from barloom.sinks.ledger import Write
 from barloom.sources import charts as CH
 from barloom.sources import documents as DOC
 from barloom.sources import pages as PG
@@ -382,6 +385,77 @@ def daily_append_run(spark, d):
     return run.receipt
 
 
+# A store whose securities end at different sessions, and a source that knows nothing of every fifth security.
+_LAGS, _DAY1 = 7, W.AS_OF - dt.timedelta(days=W.SESSION_DAYS)
+
+
+def _runs_sql():
+    """For each of the two runs: (trade_date, active, the last date held before it, the bars taken)."""
+    out = ""
+    for k, (run, before) in enumerate(((_DAY1, None), (W.AS_OF, "t1")), 1):
+        held = "seeded" if before is None else "(SELECT security_id, date FROM seeded UNION ALL SELECT security_id, date FROM t1)"
+        out += f"""
+l{k} AS (SELECT s.security_id, greatest(CASE WHEN security_id_origin IS DISTINCT FROM 'NEW_LISTING' THEN DATE '{W.BASE_AS_OF}' END, max(h.date)) AS last
+  FROM act s LEFT JOIN {held} h ON h.security_id = s.security_id GROUP BY s.security_id, security_id_origin),
+t{k} AS (SELECT o.* FROM offered o JOIN l{k} USING (security_id) WHERE o.date <= DATE '{run}' AND (last IS NULL OR last < DATE '{run}' AND o.date > last)),
+q{k} AS (SELECT security_id, 'FETCH_FAILED' AS category, DATE '{run}' AS trade_date FROM l{k} WHERE coalesce(last < DATE '{run}', true) AND security_id NOT IN (SELECT security_id FROM t{k})
+  UNION ALL SELECT DISTINCT security_id, 'DATA_SUSPECT', DATE '{run}' FROM t{k} WHERE NOT {RC._GOOD}),
+r{k} AS (SELECT DATE '{run}' AS trade_date, count(*) AS active, count(*) FILTER (coalesce(last >= DATE '{run}', false) OR security_id IN (SELECT security_id FROM t{k} WHERE date = DATE '{run}')) AS available,
+  (SELECT count(*) FROM t{k}) AS written, (SELECT count(*) FROM q{k}) AS repairs FROM l{k}),"""
+    return out
+
+
+@query("daily_append_store", with_ctes("securities", "flawed", "sessions") + f""",
+act AS (SELECT * FROM securities WHERE coalesce(listing_status, 'ACTIVE') = 'ACTIVE'),
+seeded AS (SELECT f.* FROM flawed f JOIN securities s USING (security_id) WHERE date > DATE '{W.BASE_AS_OF}' AND date <= DATE '{W.AS_OF}' - CAST({W.SESSION_DAYS} * (s_suppkey % {_LAGS}) AS INTEGER)),
+offered AS (SELECT f.* FROM flawed f JOIN securities s USING (security_id) WHERE date > DATE '{W.BASE_AS_OF}' AND s_suppkey % 5 <> 0),
+past AS (SELECT security_id, 'FETCH_FAILED' AS category, s.date AS trade_date FROM securities, sessions s WHERE s_suppkey % {_LAGS} = 6
+  AND s.idx BETWEEN (SELECT idx - 4 FROM sessions WHERE date = DATE '{W.AS_OF}') AND (SELECT idx - 2 FROM sessions WHERE date = DATE '{W.AS_OF}')),{_runs_sql()}
+queue AS (SELECT * FROM past UNION ALL SELECT * FROM q1 UNION ALL SELECT * FROM q2),
+review AS (SELECT security_id FROM queue WHERE category = 'FETCH_FAILED' GROUP BY 1 HAVING count(DISTINCT trade_date) = 5),
+bars_ AS (SELECT * FROM seeded UNION ALL SELECT * FROM t1 UNION ALL SELECT * FROM t2),
+rows_ AS (
+SELECT 'bar' AS kind, security_id, date, NULL AS detail, close AS amount FROM bars_
+UNION ALL SELECT 'queue', security_id, trade_date, category, NULL FROM queue
+UNION ALL SELECT 'queue', security_id, DATE '{W.AS_OF}', 'SUSPECT_DELISTED', NULL FROM review
+UNION ALL SELECT 'review', security_id, DATE '{W.AS_OF}', 'SUSPECT_DELISTED', NULL FROM review
+UNION ALL SELECT 'history', s.security_id, DATE '{W.AS_OF}', CASE WHEN count(b.date) < 501 THEN 'SHORT_HISTORY' ELSE 'FULL_HISTORY' END, count(b.date) FROM securities s LEFT JOIN bars_ b ON b.security_id = s.security_id WHERE security_id_origin = 'NEW_LISTING' GROUP BY 2
+UNION ALL SELECT 'receipt', NULL, trade_date, 'COMPLETE ' || active || ' ' || available || ' ' || written || ' ' || repairs, NULL FROM (SELECT * FROM r1 UNION ALL SELECT * FROM r2))
+SELECT kind, security_id, {day('date', 'date')}, detail, {r('amount', 'amount')} FROM rows_""")
+def daily_append_store(spark, d):
+    """Two days run against a store, one of them stopped between its writes and run again, one run twice: all that is stored."""
+    store = DA.open_daily(spark, scratch_path(spark, "daily-store"))
+    universe = stage(W.securities(spark, d).withColumn("listing_date", F.lit(None).cast("date")).withColumn("listing_date_verified", F.lit(False)))
+    bars = stage(RC.flawed(spark, d).withColumn("adjustment_as_of", F.col("date")).filter(F.col("date") > F.lit(W.BASE_AS_OF)).join(universe.select("security_id", "s_suppkey"), "security_id"))
+    days = stage(RC.sessions(spark, d))
+    lag = (F.col("s_suppkey") % _LAGS).cast("int")
+    held = bars.filter(F.col("date") <= F.date_sub(F.lit(W.AS_OF), lag * W.SESSION_DAYS)).drop("s_suppkey").withColumn("trade_date", F.col("date"))
+    place = days.filter(F.col("date") == F.lit(W.AS_OF)).agg(F.max("idx")).scalar()
+    past = days.filter(F.col("idx").between(place - 4, place - 2)).select(F.col("date").alias("trade_date"))
+    failed = universe.filter(lag == 6).select("market", "security_id", F.lit("FETCH_FAILED").alias("category"), F.lit("OPEN").alias("status")).join(F.broadcast(past))
+    store.commit("before", {"bars": Write(held.select(*[c.split(" ")[0] for c in DA.BARS.split(", ")])), "queue": Write(failed.select("market", "security_id", "category", "trade_date", "status"))})
+    offered = bars.filter("s_suppkey % 5 <> 0").drop("s_suppkey")
+    DA.append_day(store, universe, offered, days, W.BASE_AS_OF, _DAY1)
+
+    def stop(table):
+        if table == "queue":
+            raise InterruptedError("stopped between two writes")
+    try:
+        DA.append_day(store, universe, offered, days, W.BASE_AS_OF, W.AS_OF, after_write=stop)
+    except InterruptedError:
+        pass
+    for _ in range(2):
+        DA.append_day(store, universe, offered, days, W.BASE_AS_OF, W.AS_OF)
+    none = F.lit(None).cast("string")
+    date = F.col("trade_date").alias("date")
+    rows = [store.read("bars").select(F.lit("bar").alias("kind"), "security_id", date, none.alias("detail"), F.col("close").alias("amount")),
+            store.read("queue").select(F.lit("queue"), "security_id", date, "category", F.lit(None).cast("double")),
+            store.read("reviews").select(F.lit("review"), "security_id", date, "review_status", F.lit(None).cast("double")),
+            store.read("history").select(F.lit("history"), "security_id", date, "history_status", F.col("bar_count").cast("double")),
+            store.read("receipts").select(F.lit("receipt"), none, date, F.concat_ws(" ", "status", "active", "available", "written", "repairs"), F.lit(None).cast("double"))]
+    return functools.reduce(lambda a, b: a.union(b), rows)
+
+
 @query("earnings_daily")
 def earnings_daily(spark, d):
     rows = RP.reports(spark, d).withColumn("session", F.lit("UNKNOWN"))
