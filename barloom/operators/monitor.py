@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom import contracts as K
+from barloom.functions.digests import content_digest, digest, row_text
 
 
 def market_calendar(observed: DataFrame, overrides: DataFrame, outages: DataFrame, as_of, market: str = "US") -> DataFrame:
@@ -98,22 +99,31 @@ def contiguous_closeout(sessions: DataFrame, checkpoints: DataFrame, receipts: D
 def shard_violations(rows: DataFrame, receipt: DataFrame, market: str, as_of) -> DataFrame:
     """Checks on precomputed indicator rows before they are ranked, as violation counts.
 
-    `rows`: security_id, trade_date, rank_score, relative_strength_20d.
+    `rows`: security_id, trade_date, rank_score, relative_strength_20d. `receipt`: one row with active, available and the
+    digest that the rows had when they were issued (see `shard_digest`).
     """
     well_formed = F.col("security_id").rlike(f"^{market}-\\d{{6,}}$")
     counts = rows.agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("security_id").alias("ids"),
         F.count(F.when(~F.coalesce(well_formed, F.lit(False)), 1)).alias("malformed"),
         F.count(F.when(F.col("trade_date") > F.lit(as_of).cast("date"), 1)).alias("future"),
-        F.count(F.when(F.col("rank_score").isNotNull() | F.col("relative_strength_20d").isNotNull(), 1)).alias("already_ranked"))
+        F.count(F.when(F.col("rank_score").isNotNull() | F.col("relative_strength_20d").isNotNull(), 1)).alias("already_ranked"),
+        digest(row_text(rows, sorted(rows.columns))).alias("found"))
+    issued = receipt.select("digest").scalar()
     available, active = receipt.select("available").scalar(), receipt.select("active").scalar()
     coverage = ~F.col("rows").between(available, active)
     pairs = [("COVERAGE", F.when(coverage, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))),
              ("DUPLICATE_ID", F.col("rows") - F.col("ids")),
-             ("MALFORMED_ID", F.col("malformed")), ("FUTURE_DATE", F.col("future")), ("RANK_FIELDS_SET", F.col("already_ranked"))]
+             ("MALFORMED_ID", F.col("malformed")), ("FUTURE_DATE", F.col("future")), ("RANK_FIELDS_SET", F.col("already_ranked")),
+             ("DIGEST", (~F.col("found").eqNullSafe(issued)).cast("bigint"))]
     return counts.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check"), v.alias("violations")) for n, v in pairs])))
 
 
+def shard_digest(rows: DataFrame) -> DataFrame:
+    """Digest over all columns of indicator rows, for their receipt."""
+    return content_digest(rows, sorted(rows.columns)).select("digest")
+
+
 def payload_violations(payload: DataFrame, market: str) -> DataFrame:
     """Rows of daily files that break identity rules.
 

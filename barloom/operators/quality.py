@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from barloom import contracts as K
 from barloom.functions.checks import is_structural
+from barloom.functions.digests import digest, row_text
 from barloom.operators.universe import is_active
 
 
@@ -226,11 +227,21 @@ def source_diff(saved: DataFrame, live: DataFrame) -> DataFrame:
     return old.join(new, "path", "full").select("path", state.alias("state"))
 
 
+def batch_contents(rows: DataFrame, security: str, columns: list[str], digits: int | None = None) -> DataFrame:
+    """What each batch of rows holds: row_count, security_count and a digest over the columns."""
+    return rows.groupBy("batch").agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(security).alias("security_count"),
+                                     digest(row_text(rows, columns, digits)).alias("digest"))
+
+
 def batch_receipts(receipts: DataFrame, batches: DataFrame) -> DataFrame:
-    """Receipt against what is stored: row count, security count and digest must agree."""
-    joined = receipts.join(batches.select("batch", F.struct("row_count", "security_count", "sha256").alias("found")), "batch", "left")
-    ok = F.struct("row_count", "security_count", "sha256") == F.col("found")
-    return joined.select("batch", F.coalesce(ok, F.lit(False)).alias("intact"))
+    """Receipt against what is stored: row count, security count and digest must agree. Batches on either side count."""
+    facts = ("row_count", "security_count", "digest")
+    joined = receipts.select("batch", F.struct(*facts).alias("stated")).join(batches.select("batch", F.struct(*facts).alias("found")), "batch", "full")
+    error = (F.when(F.col("stated").isNull(), "RECEIPT_MISSING").when(F.col("found").isNull(), "BATCH_MISSING")
+             .when(F.col("stated.row_count") != F.col("found.row_count"), "ROW_COUNT")
+             .when(F.col("stated.security_count") != F.col("found.security_count"), "SECURITY_COUNT")
+             .when(F.col("stated.digest") != F.col("found.digest"), "DIGEST"))
+    return joined.select("batch", error.isNull().alias("intact"), error.alias("error"))
 
 
 def explode_chains(chains: DataFrame) -> tuple[DataFrame, DataFrame]:

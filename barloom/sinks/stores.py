@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom import contracts as K
+from barloom.functions.digests import content_digest
 from barloom.session import stage
+from barloom.sinks.ledger import Ledger, Write
 
 BAR_KEY = ["security_id", "trade_date"]
 ACTION_KEY = ["security_id", "effective_date", "factor"]
@@ -114,34 +116,36 @@ def append_patches(patches: DataFrame, path: str) -> DataFrame | None:
     return None
 
 
-def content_digest(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Order-free digest of the content: row count and a sum of row hashes, in one pass."""
-    hashed = F.xxhash64(*columns).cast("decimal(38,0)")
-    return rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(hashed).cast("string").alias("digest"))
+RANK_TABLES = {"detail": "part", "list": "as_of", "receipt": "as_of"}
+
+
+def open_rank(spark: SparkSession, path: str, as_of) -> Ledger:
+    """The store of one date's ranking: details by part, the slim list and the receipt."""
+    return Ledger(spark, os.path.join(path, f"as_of={as_of}"), RANK_TABLES)
 
 
 def write_rank(ranked: DataFrame, path: str, as_of) -> bool:
-    """Write the ranking of one date: details in rank order and the slim list.
+    """Write the ranking of one date: details in parts of 250 ranks, one file each in rank order, the slim list, the receipt.
 
-    Rows are range-partitioned by rank, so files follow rank order and no task holds the
-    whole ranking; `part` (250 rows each) is a column, not a folder. Skipped, returning
-    False, when the same content is stored.
+    All of them become visible together. Skipped, returning False, when the same content is stored.
     """
     spark = ranked.sparkSession
     ranked = stage(ranked)  # read for the digest, the detail and the list
-    folder = os.path.join(path, f"as_of={as_of}")
-    digest = content_digest(ranked, ranked.columns)
-    previous = _stored(spark, os.path.join(folder, "receipt"))
-    if previous is not None:
-        same = previous.select("rows", "digest").intersect(digest)
-        if not same.isEmpty():
-            return False
-    ordered = ranked.repartitionByRange("rank").sortWithinPartitions("rank")
-    ordered.write.mode("overwrite").parquet(os.path.join(folder, "detail"))
-    ordered.select("rank", "security_id", "rank_score", "filter_pass").write.mode("overwrite").parquet(os.path.join(folder, "list"))
-    digest.withColumn("detail_parts", F.ceil(F.col("rows") / K.RANK_PART_ROWS)).write.mode("overwrite").parquet(
-        os.path.join(folder, "receipt"))
-    return True
+    store = open_rank(spark, path, as_of)
+    receipt = content_digest(ranked, ranked.columns).first()
+    before = store.batches()
+    if before and before[-1].endswith(receipt["digest"]):
+        return False
+    parts = -(-receipt["rows"] // K.RANK_PART_ROWS)
+    part = F.expr(f"int((rank - 1) div {K.RANK_PART_ROWS} + 1)")
+    tasks = max(1, min(parts, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    detail = (ranked.withColumn("part", part).repartitionById(tasks, F.pmod(F.col("part") - 1, F.lit(tasks)).cast("int"))
+              .sortWithinPartitions("part", "rank"))
+    day = F.lit(as_of).cast("date").alias("as_of")
+    slim = ranked.repartitionByRange("rank").sortWithinPartitions("rank").select("rank", "security_id", "rank_score", "filter_pass", day)
+    stated = spark.range(1).select(F.lit(receipt["rows"]).alias("rows"), F.lit(receipt["digest"]).alias("digest"), F.lit(parts).alias("detail_parts"), day)
+    return store.commit(f"{len(before) + 1} {receipt['digest']}", {
+        "detail": Write(detail, emptied=tuple(store.values("detail"))), "list": Write(slim, replace=True), "receipt": Write(stated, replace=True)})
 
 
 def write_snapshot(bars: DataFrame, path: str, rows_per_file: int = 2_000_000) -> None:
@@ -150,10 +154,11 @@ def write_snapshot(bars: DataFrame, path: str, rows_per_file: int = 2_000_000) -
      .write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file).parquet(path))
 
 
-def snapshot_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Rows, bytes and SHA-256 of every file of a snapshot."""
+def snapshot_manifest(spark: SparkSession, path: str, digits: int | None = None) -> DataFrame:
+    """Rows, bytes, SHA-256 and content digest of every file of a snapshot; the digests merge to that of the whole."""
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    counted = spark.read.parquet(path).groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("rows"))
+    rows = spark.read.parquet(path)
+    counted = content_digest(rows.select("*", name.alias("name")), sorted(rows.columns), ["name"], digits)
     sizes = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path", "length")
     if large := sizes.filter(F.col("length") > MOST_FILE_BYTES).select("path").limit(5).collect():
         raise ValueError(f"too large to be hashed as one value, write with fewer rows a file: {[r.path for r in large]}")

@@ -120,12 +120,37 @@ def test_stream_equals_batch_and_late_dates_arrive(spark, tmp_path):
     assert [c for _, _, c in stored(spark, store)] == [10.0, 11.0, 12.0]
 
 
-def test_rank_is_written_only_when_it_changed(spark, tmp_path):
-    ddl = "rank int, security_id string, rank_score double, filter_pass boolean, part int"
-    first = spark.createDataFrame([(1, "a", 2.0, True, 1), (2, "b", None, False, 1)], ddl)
+def test_rank_is_written_in_parts_and_only_when_it_changed(spark, tmp_path):
+    rows = [(i, f"US-{i:06d}", None if i > 600 else 1000.0 - i, i <= 600) for i in range(1, 621)]
+    first = spark.createDataFrame(rows, "rank int, security_id string, rank_score double, filter_pass boolean").repartition(7)
     assert ST.write_rank(first, str(tmp_path), "2026-10-12") is True
-    assert ST.write_rank(first, str(tmp_path), "2026-10-12") is False
-    assert ST.write_rank(first.withColumn("rank_score", F.lit(1.0)), str(tmp_path), "2026-10-12") is True
+    assert ST.write_rank(first.repartition(3), str(tmp_path), "2026-10-12") is False
+    store = ST.open_rank(spark, str(tmp_path), "2026-10-12")
+    parts = store.read("detail").groupBy("part").agg(F.min("rank"), F.max("rank"), F.count_distinct("_metadata.file_path")).collect()
+    assert sorted(map(tuple, parts)) == [(1, 1, 250, 1), (2, 251, 500, 1), (3, 501, 620, 1)]
+    assert [tuple(r) for r in store.read("list").select("rank", "security_id").orderBy("rank").collect()] == [r[:2] for r in rows]
+    shorter = first.filter("rank <= 300").withColumn("rank_score", F.lit(1.0))
+    assert ST.write_rank(shorter, str(tmp_path), "2026-10-12") is True
+    assert store.values("detail") == ["1", "2"] and store.read("detail").count() == store.read("list").count() == 300
+    assert store.read("receipt").select("rows", "detail_parts").collect() == [(300, 2)]
+    assert ST.write_rank(first, str(tmp_path), "2026-10-12") is True and store.read("detail").count() == 620
+
+
+def test_digests_see_every_change_and_merge(spark):
+    from barloom.functions import digests as DG
+    ddl = "k int, a double, b string, c date"
+    rows = [(i % 3, i / 7, None if i % 5 == 0 else "x|" * (i % 4), dt.date(2026, 1, 1 + i % 9)) for i in range(60)]
+
+    def of(rows, **kw):
+        return DG.content_digest(spark.createDataFrame(rows, ddl).repartition(4), ["k", "a", "b", "c"], **kw).collect()
+    [whole] = of(rows)
+    assert whole == of(rows[::-1])[0]
+    changed = [(rows[7][0], rows[7][1] + 1e-15, *rows[7][2:])] + rows[:7] + rows[8:]
+    swapped = [(0, 1.0, "ab", None), (0, 1.0, "c", None)], [(0, 1.0, "a", None), (0, 1.0, "bc", None)]
+    assert len({r["digest"] for r in (whole, of(changed)[0], of(rows[1:])[0], of(rows + rows[:1])[0])}) == 4 and of(swapped[0]) != of(swapped[1])
+    parts = DG.content_digest(spark.createDataFrame(rows, ddl), ["k", "a", "b", "c"], ["k"])
+    assert parts.agg(DG.merged(F.col("digest"))).first()[0] == whole["digest"]
+    assert DG.content_digest(spark.createDataFrame([], ddl), ["k"]).first()["digest"] == "0:0:0"
 
 
 def test_conflicting_correction_is_not_written(spark, tmp_path):
@@ -168,7 +193,27 @@ def test_table_cells_and_table_id(spark):
     page = spark.createDataFrame([(1, html)], "page_id int, html string")
     assert [(r.row_no, r.cell_no, r.text) for r in PG.page_cells(page).orderBy("row_no", "cell_no").collect()] == [
         (0, 0, "BM Date"), (1, 0, "01/02/2026"), (1, 1, "A&B c"), (2, 0, "other")]
-    assert [r.text for r in PG.page_cells(page, table_id="y").collect()] == ["other"]
+    assert [(r.page_id, r.row_no, r.cell_no, r.text) for r in PG.table_cells(page, "y").collect()] == [(1, 0, 0, "other")]
+    assert sorted((r.row_no, r.cell_no, r.text) for r in PG.table_cells(page).collect()) == [(0, 0, "BM Date"), (1, 0, "01/02/2026"), (1, 1, "A&B c"), (2, 0, "other")]
+
+
+def cells_of(spark, html, table_id=None):
+    got = {}
+    for r in PG.table_cells(spark.createDataFrame([(1, html)], "page_id int, html string"), table_id).orderBy("row_no", "cell_no").collect():
+        got.setdefault(r.row_no, []).append(r.text)
+    return got
+
+
+def test_nested_tables(spark):
+    inner = "<table><tr><td>in</td><td>ner</td></tr></table>"
+    html = (f"<TABLE><tr><td>before</td></tr></TABLE><table class=w id='x'><tr><td>1</td></tr><tr><td>a{inner}b</td><td>lost</td></tr>"
+            f"<tr></tr><tr><th>2</th><td></td></tr></table><table id=z><tr><td>after</td></tr></table>")
+    assert cells_of(spark, html, "x") == {0: ["1"], 1: ["in", "ner"], 3: ["2", ""]}
+    assert cells_of(spark, html, "z") == {0: ["after"]} and cells_of(spark, html, "none") == {}
+    assert cells_of(spark, html) == {0: ["before"], 1: ["1"], 2: ["in", "ner"], 4: ["2", ""], 5: ["after"]}
+    assert cells_of(spark, "<table id=x><tr><td>open<tr><td>next</td><td>cut</tr></table></table><tr><td>out</td></tr>", "x") == {0: ["next"]}
+    assert cells_of(spark, f"<table id=x>{'<tr><td>' * 3}deep{'</td></tr>' * 3}" + "<tr><td>" + "w" * 100_000 + "</td></tr></table>", "x") == {0: ["deep"], 1: ["w" * 100_000]}
+    assert cells_of(spark, "", "x") == {} and cells_of(spark, None) == {}
 
 
 def test_designated_list_takes_the_newest_usable_page(spark):

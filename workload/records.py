@@ -14,6 +14,7 @@ from barloom.operators import quality as Q
 from barloom.operators import repair as P
 from barloom.operators.indicators import session_index
 from barloom.operators.universe import is_active
+from workload import digests as D
 from workload import inputs as W
 from workload.registry import cte, day, query, with_ctes
 
@@ -433,20 +434,26 @@ def source_diff(spark, d):
     return Q.source_diff(saved, live)
 
 
-@query("batch_receipt_check", """
-WITH b AS (SELECT l_suppkey // 10 AS batch, count(*) AS row_count, count(DISTINCT l_suppkey) AS security_count, sha256(CAST(sum(l_orderkey) AS VARCHAR)) AS sha FROM lineitem GROUP BY 1),
-r AS (SELECT s_suppkey // 10 AS batch, count(*) AS securities FROM supplier GROUP BY 1)
-SELECT batch, coalesce(b.security_count = r.securities AND b.row_count < 6100, false) AS intact FROM r LEFT JOIN b USING (batch)""")
+LINE = {"l_orderkey": "int", "l_partkey": "int", "l_suppkey": "int", "l_linenumber": "int", "l_quantity": "double", "l_extendedprice": "double",
+        "l_discount": "double", "l_tax": "double", "l_returnflag": "text", "l_linestatus": "text", "l_shipdate": "time"}
+
+
+# Batches of ten suppliers. Of seven batches one holds a changed value, one lacks rows, one repeats rows, one lacks its receipt.
+@query("batch_receipt_check", f"""
+WITH i AS (SELECT *, l_suppkey // 10 AS batch FROM lineitem), hit AS (SELECT *, l_orderkey % 97 = 0 AS hit, batch % 7 AS kind FROM i),
+s AS (SELECT * REPLACE (CASE WHEN hit AND kind = 1 THEN l_tax + 0.01 ELSE l_tax END AS l_tax) FROM hit WHERE NOT (hit AND kind = 2) UNION ALL SELECT * FROM hit WHERE hit AND kind = 3),
+a AS (SELECT batch, count(*) AS n, count(DISTINCT l_suppkey) AS c, {D.digest(D.row_text(LINE))} AS g FROM hit WHERE kind <> 4 GROUP BY 1),
+b AS (SELECT batch, count(*) AS n, count(DISTINCT l_suppkey) AS c, {D.digest(D.row_text(LINE))} AS g FROM s GROUP BY 1)
+SELECT batch, error IS NULL AS intact, error FROM (SELECT batch, CASE WHEN a.n IS NULL THEN 'RECEIPT_MISSING' WHEN b.n IS NULL THEN 'BATCH_MISSING' WHEN a.n <> b.n THEN 'ROW_COUNT' WHEN a.c <> b.c THEN 'SECURITY_COUNT'
+  WHEN a.g <> b.g THEN 'DIGEST' END AS error FROM a FULL JOIN b USING (batch))""")
 def batch_receipt_check(spark, d):
-    lines = W.table(spark, d, "lineitem").withColumn("batch", F.floor(F.col("l_suppkey") / 10).cast("bigint"))
-    stored = lines.groupBy("batch").agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("l_suppkey").alias("security_count"),
-                                        F.sha2(F.sum("l_orderkey").cast("string").cast("binary"), 256).alias("sha256"))
-    issued = W.table(spark, d, "supplier").groupBy(F.floor(F.col("s_suppkey") / 10).cast("bigint").alias("batch")).agg(
-        F.count(F.lit(1)).alias("security_count"))
-    # The receipt repeats the stored digest and row count where the batch is of ordinary size.
-    receipts = issued.join(stored.select("batch", "row_count", "sha256"), "batch", "left").withColumn(
-        "row_count", F.when(F.col("row_count") < 6100, F.col("row_count")).otherwise(F.lit(-1)))
-    return Q.batch_receipts(receipts, stored)
+    """Receipts are made from the rows as issued, batches are what a damaged store holds."""
+    issued = W.table(spark, d, "lineitem").withColumn("batch", F.floor(F.col("l_suppkey") / 10).cast("bigint"))
+    hit, kind = F.col("l_orderkey") % 97 == 0, F.col("batch") % 7
+    stored = issued.filter(~(hit & (kind == 2))).withColumn("l_tax", F.when(hit & (kind == 1), F.col("l_tax") + 0.01).otherwise(F.col("l_tax")))
+    stored = stored.unionByName(issued.filter(hit & (kind == 3)))
+    receipts = Q.batch_contents(issued.filter(kind != 4), "l_suppkey", list(LINE), digits=6)
+    return Q.batch_receipts(receipts, Q.batch_contents(stored, "l_suppkey", list(LINE), digits=6))
 
 
 # --- options: an order is a contract, its customer the security ------------------------------
@@ -713,15 +720,16 @@ def rank_validate(spark, d):
 , s AS (SELECT security_id, max(date) AS trade_date, CASE WHEN max(volume) > 130 THEN 1 END AS rank_score FROM bars GROUP BY 1 UNION ALL SELECT 'X' || l_linenumber, DATE '2000-01-01', NULL FROM lineitem GROUP BY l_linenumber),
 c AS (SELECT count(*) AS n, count(DISTINCT security_id) AS ids, count(*) FILTER (NOT regexp_matches(security_id, '^US-\\d{{6,}}$')) AS bad, count(*) FILTER (trade_date > DATE '{AS_OF}') AS future, count(rank_score) AS ranked FROM s),
 a AS (SELECT count(*) AS active FROM supplier)
-SELECT unnest(['COVERAGE', 'DUPLICATE_ID', 'MALFORMED_ID', 'FUTURE_DATE', 'RANK_FIELDS_SET']) AS "check",
-  unnest([CASE WHEN n BETWEEN 1 AND active THEN 0 ELSE 1 END, n - ids, bad, future, ranked]) AS violations FROM c, a""")
+SELECT unnest(['COVERAGE', 'DUPLICATE_ID', 'MALFORMED_ID', 'FUTURE_DATE', 'RANK_FIELDS_SET', 'DIGEST']) AS "check",
+  unnest([CASE WHEN n BETWEEN 1 AND active THEN 0 ELSE 1 END, n - ids, bad, future, ranked, CASE WHEN n = (SELECT count(DISTINCT security_id) FROM bars) THEN 0 ELSE 1 END]) AS violations FROM c, a""")
 def indicator_shard_check(spark, d):
     rows = W.supplier_bars(spark, d).groupBy("security_id").agg(F.max("date").alias("trade_date"), F.max("volume").alias("v")).select(
         "security_id", "trade_date", F.when(F.col("v") > 130, 1.0).alias("rank_score"))
     odd = W.table(spark, d, "lineitem").select(F.concat(F.lit("X"), "l_linenumber").alias("security_id")).distinct().select(
         "security_id", F.lit(dt.date(2000, 1, 1)).alias("trade_date"), F.lit(None).cast("double").alias("rank_score"))
     everything = rows.unionByName(odd).withColumn("relative_strength_20d", F.lit(None).cast("double"))
-    receipt = W.table(spark, d, "supplier").agg(F.count(F.lit(1)).alias("active")).withColumn("available", F.lit(1))
+    sent = M.shard_digest(rows.withColumn("relative_strength_20d", F.lit(None).cast("double")))
+    receipt = W.table(spark, d, "supplier").agg(F.count(F.lit(1)).alias("active")).withColumn("available", F.lit(1)).join(sent)
     return M.shard_violations(everything, receipt, "US", AS_OF)
 
 

@@ -8,6 +8,7 @@ import os
 from pyspark.sql import functions as F
 
 from barloom import files
+from barloom.functions.digests import digest, merged, row_text
 from barloom.operators.compose import accepted_corrections
 from barloom.plans import daily_append as DA
 from barloom.plans import incremental as INC
@@ -26,6 +27,7 @@ from barloom.sources import documents as DOC
 from barloom.sources import pages as PG
 from barloom.streaming.ingest import ingest_bars
 from workload import backtest as BT
+from workload import digests as D
 from workload import inputs as W
 from workload import prices as PR
 from workload import records as RC
@@ -203,6 +205,18 @@ def html_table_rows(spark, d):
     return PG.page_cells(W.table(spark, d, "pages").select("page_id", "html"), row="ul", cell="li")
 
 
+@query("nested_table_rows", """
+SELECT o_orderkey AS page_id, unnest([0, 0, 1, 2]) AS row_no, unnest([0, 1, 0, 0]) AS cell_no,
+  unnest([o_orderkey::VARCHAR, o_orderpriority || ' & more', o_orderstatus, strftime(o_orderdate, '%Y-%m-%d')]) AS text FROM orders""")
+def nested_table_rows(spark, d):
+    """An order is a page; wanted is the table with the id, and what is nested in it is told apart."""
+    inner = F.concat(F.lit("<table><tr><td>"), "o_orderstatus", F.lit("</td></tr></table>"))
+    html = F.concat(F.lit("<p>Orders</p><table id='first'><tr><td>no</td></tr></table><table class='w' id=\"wanted\"><tr><td>"), F.col("o_orderkey").cast("string"), F.lit("</td><td> "),
+                    "o_orderpriority", F.lit(" <i>&amp;</i>\n more</td></tr><tr><td>a"), inner, F.lit("b</td><td>not read</td></tr><tr><th>"), F.date_format("o_orderdate", "yyyy-MM-dd"),
+                    F.lit("</th></tr></table><table><tr><td>after</td></tr></table>"))
+    return PG.table_cells(W.table(spark, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html")), "wanted")
+
+
 @query("designated_list", f"""
 WITH r AS (SELECT o_orderstatus AS list_id, DATE '2001-05-21' - CAST(o_orderkey % 3 AS INTEGER) AS page_date, o_orderkey, o_orderkey % 100000 AS code, o_orderpriority AS st FROM orders),
 l AS (SELECT list_id, page_date, code, arg_max(st, o_orderkey) AS st FROM r GROUP BY 1, 2, 3),
@@ -306,15 +320,22 @@ def partition_refresh(spark, d):
     return mirror.read("bars").groupBy("date").agg(F.count(F.lit(1)).alias("rows"), F.sum("close").alias("closes")).join(by_day, "date")
 
 
-@query("rank_store", with_ctes("bars") + "SELECT count(DISTINCT security_id) AS rows, (count(DISTINCT security_id) + 249) // 250 AS detail_parts, true AS first_written, false AS second_written FROM (SELECT * FROM bars WHERE date <= DATE '" + str(W.AS_OF) + "') t")
+RANK_TEXT = {"security_id": "text", "filter_pass": "bool", "rank_score": "double", '"rank"': "int"}
+
+
+@query("rank_store", f"""SELECT part, count(*) AS rows, min("rank") AS least, max("rank") AS greatest, {D.digest(D.row_text(RANK_TEXT))} AS digest,
+  true AS first_written, false AS second_written, 1 AS files FROM ({ORACLES["rank_score"]}) t GROUP BY part""")
 def rank_store(spark, d):
+    """The ranking written in parts of 250 ranks, twice: what each part holds, and in how many files."""
     from barloom.operators import ranking as R
     path = scratch_path(spark, "rank")
     scored = R.score(R.relative_strength(PR.snapshot(spark, d, W.AS_OF)), W.AS_OF)
-    ranked = R.rank(scored).select(*PR.RANK_COLUMNS)
+    ranked = stage(R.rank(scored).select(*PR.RANK_COLUMNS))
     first, second = ST.write_rank(ranked, path, W.AS_OF), ST.write_rank(ranked, path, W.AS_OF)
-    receipt = spark.read.parquet(os.path.join(path, f"as_of={W.AS_OF}", "receipt"))
-    return receipt.select("rows", "detail_parts", F.lit(first).alias("first_written"), F.lit(second).alias("second_written"))
+    detail = ST.open_rank(spark, path, W.AS_OF).read("detail").withColumn("file", F.col("_metadata.file_path"))
+    text = row_text(detail, ["security_id", "filter_pass", "rank_score", "rank"], digits=6)
+    return detail.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.min("rank").alias("least"), F.max("rank").alias("greatest"), digest(text).alias("digest"),
+                                      F.lit(first).alias("first_written"), F.lit(second).alias("second_written"), F.count_distinct("file").alias("files"))
 
 
 @query("daily_rank_store", ORACLES["daily_rank"])
@@ -322,7 +343,7 @@ def daily_rank_store(spark, d):
     """The whole daily ranking, written in parts and read back."""
     path = scratch_path(spark, "daily-rank")
     ST.write_rank(PR.daily_rank(spark, d), path, W.AS_OF)
-    return spark.read.parquet(os.path.join(path, f"as_of={W.AS_OF}", "detail"))
+    return ST.open_rank(spark, path, W.AS_OF).read("detail").select(*PR.RANK_COLUMNS)
 
 
 @query("designated_archive", ORACLES["designated_list"])
@@ -333,11 +354,16 @@ def designated_archive(spark, d):
     return spark.read.schema(rows.schema).option("header", True).csv(path)
 
 
-@query("snapshot_manifest", with_ctes("bars") + "SELECT count(*) AS rows, true AS hashed FROM bars")
+SNAPSHOT_TEXT = {"close": "double", "date": "date", "high": "double", "low": "double", "open": "double", "security_id": "text", "volume": "double"}
+
+
+@query("snapshot_manifest", with_ctes("bars") + f"SELECT count(*) AS rows, {D.digest(D.row_text(SNAPSHOT_TEXT))} AS digest, true AS hashed, true AS several FROM bars")
 def snapshot_manifest(spark, d):
+    """A snapshot in files; the digests of the files merge to that of all bars."""
     path = scratch_path(spark, "snapshot")
-    ST.write_snapshot(W.supplier_bars(spark, d), path, rows_per_file=20_000)
-    return ST.snapshot_manifest(spark, path).agg(F.sum("rows").alias("rows"), F.bool_and(F.length("sha256") == 64).alias("hashed"))
+    ST.write_snapshot(W.supplier_bars(spark, d), path, rows_per_file=2_000)
+    return ST.snapshot_manifest(spark, path, digits=6).agg(
+        F.sum("rows").alias("rows"), merged(F.col("digest")).alias("digest"), F.bool_and(F.length("sha256") == 64).alias("hashed"), (F.count(F.lit(1)) > 1).alias("several"))
 
 
 @query("grid_csv", with_ctes("grid", recursive=True) + "SELECT side, stop_atr, target_r, CAST(max_hold AS BIGINT) AS max_hold, oos_n FROM grid")
