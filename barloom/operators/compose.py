@@ -62,6 +62,38 @@ def compose_bars(base: DataFrame, patch_rows: DataFrame, daily: DataFrame,
     return picked.filter("pick = 1").select(*KEY, *FIELDS, "source")
 
 
+BASE, DAILY, CORRECTION = range(3)
+SERIES = KEY + FIELDS + ("source", "path", "item", "position")
+
+
+def as_series(rows: DataFrame, source: int) -> DataFrame:
+    """Rows of one kind of input in the form that stored series share; of corrections the accepted ones."""
+    if source == CORRECTION:
+        rows = rows.filter(F.col("accepted") & F.col("result").isin("RESOLVED", "IDENTITY_FIXED"))
+        order = ["path", "item", "position"]
+    else:
+        order = [F.lit("").alias("path"), F.lit(0).alias("item"), F.lit(0).alias("position")]
+    return rows.select(*KEY, *FIELDS, F.lit(source).alias("source"), *order)
+
+
+def compose_series(series: DataFrame, wanted: DataFrame | None = None, strict: bool = True) -> DataFrame:
+    """What `compose_bars` gives, from one store of all kinds of input (`as_series`) in buckets of the security.
+
+    One window picks the row of each key; neither it nor what is later keyed by security moves a row. `wanted` should be
+    small enough to go to all tasks.
+    """
+    rows = series
+    if wanted is not None:
+        rows = rows.join(wanted.select("security_id").distinct(), "security_id", "left_semi")
+    per_key = Window.partitionBy(*KEY)
+    picked = rows.withColumn("pick", F.row_number().over(per_key.orderBy(F.desc("source"), F.desc("path"), F.desc("item"), F.desc("position"))))
+    if strict:
+        both = F.bool_or(F.col("source") == BASE).over(per_key) & F.bool_or(F.col("source") == DAILY).over(per_key)
+        picked = picked.withColumn("clash", both).filter(
+            F.when(F.col("clash"), F.raise_error(F.concat_ws(":", F.lit("BASE_DAILY_OVERLAP"), F.col("security_id"), F.col("date")))).otherwise(F.lit(True)).cast("boolean"))
+    return picked.filter("pick = 1").select(*KEY, *FIELDS, "source")
+
+
 def unique_splits(events: DataFrame) -> DataFrame:
     return events.dropDuplicates(["security_id", "effective_date", "factor"])
 

@@ -50,3 +50,16 @@ def test_a_supplier_with_a_third_of_all_lines(spark, tmp_path, name):
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_stored_series_are_composed_where_they_lie(spark):
+    """From the buckets to the indicators nothing is exchanged."""
+    from barloom.operators.indicators import latest_indicators
+    from workload import prices
+    from workload.stores import stored_bars
+    folder = "/root/testdata/sf0.001"
+    rows = latest_indicators(stored_bars(spark, folder))
+    got = sorted(map(tuple, rows.collect()), key=str)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert got == sorted(map(tuple, latest_indicators(prices.composed(spark, folder)).collect()), key=str)

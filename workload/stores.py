@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from barloom import files
 from barloom.functions.digests import digest, merged, row_text
-from barloom.operators.compose import accepted_corrections
+from barloom.operators import indicators as I
+from barloom.operators import compose as CP
 from barloom.plans import daily_append as DA
 from barloom.plans import incremental as INC
 from barloom.plans import refresh as REF
@@ -21,6 +22,7 @@ from barloom.plans.us_monthly import us_monthly as us_plan
 from barloom.plans.us_monthly import us_pointer
 from barloom.session import scratch_path, stage
 from barloom.sinks import stores as ST
+from barloom.sinks.buckets import append_buckets, read_buckets
 from barloom.sinks.ledger import Write
 from barloom.sources import charts as CH
 from barloom.sources import documents as DOC
@@ -288,7 +290,7 @@ def indicators_incremental(spark, d):
     INC.take_in(series, "history", bars.filter(F.col("date") <= F.lit(W.BASE_AS_OF)))
     INC.take_in(series, "days", bars.filter(F.col("date").between(F.lit(W.BASE_AS_OF + dt.timedelta(days=1)), F.lit(W.AS_OF))))
     quarantined = W.securities(spark, d).filter(F.col("listing_status").startswith("QUARANTINED")).select("security_id")
-    corrected = accepted_corrections(W.patch_rows(spark, d)).join(quarantined, "security_id", "left_semi").select(*FIELDS)
+    corrected = CP.accepted_corrections(W.patch_rows(spark, d)).join(quarantined, "security_id", "left_semi").select(*FIELDS)
     newest = bars.filter(F.col("date") > F.lit(W.AS_OF)).select(*FIELDS)
     INC.take_in(series, "late", newest.join(corrected, ["security_id", "date"], "left_anti").unionByName(corrected))
     return INC.indicators(series).select("security_id", "trade_date", "bar_count", "ma_20", "ma_200", "return_252d", "low_distance_120",
@@ -323,6 +325,23 @@ def partition_refresh(spark, d):
 RANK_TEXT = {"security_id": "text", "filter_pass": "bool", "rank_score": "double", '"rank"': "int"}
 
 
+@query("indicators_stored", with_ctes("composed", recursive=True, extra=f"""known_bars AS (SELECT * FROM composed),
+back AS ({CTES["back"][1]}), {PR.WALK_SQL}""") + f"""
+, slow AS (SELECT security_id, {day('max(date)', 'trade_date')}, {r(PR._ma(50), 'ma_50', 6)}, {r(f'{PR.LAST} / nullif(max(close) FILTER (back = 21), 0) - 1', 'return_20d')},
+    {r(f'CASE WHEN max(n) >= 252 THEN {PR.LAST} / min(low) FILTER (back <= 252) - 1 END', 'low_distance_252')} FROM back GROUP BY 1)
+SELECT slow.*, {r('line', 'macd')}, {r('CASE WHEN n >= 34 THEN g END', 'macd_signal')} FROM slow JOIN walk USING (security_id) WHERE i = n""")
+def indicators_stored(spark, d):
+    """Series stored in buckets of the security, composed and measured where they lie."""
+    return I.latest_indicators(stored_bars(spark, d)).select("security_id", "trade_date", "ma_50", "return_20d", "low_distance_252", "macd", "macd_signal")
+
+
+def stored_bars(spark, d, buckets=8):
+    path = scratch_path(spark, "series")
+    for source, rows in ((CP.BASE, W.base_bars(spark, d)), (CP.DAILY, W.appended_bars(spark, d)), (CP.CORRECTION, W.patch_rows(spark, d))):
+        append_buckets(CP.as_series(rows, source), path, buckets)
+    return CP.compose_series(read_buckets(spark, path, buckets))
+
+
 @query("rank_store", f"""SELECT part, count(*) AS rows, min("rank") AS least, max("rank") AS greatest, {D.digest(D.row_text(RANK_TEXT))} AS digest,
   true AS first_written, false AS second_written, 1 AS files FROM ({ORACLES["rank_score"]}) t GROUP BY part""")
 def rank_store(spark, d):
