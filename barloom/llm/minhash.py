@@ -183,7 +183,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     usable = rows.where("n > 0 AND doc_id IS NOT NULL")
     classes = staged(usable.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
     spread = classes.select("rep", "n", F.explode("bands").alias("band"))
-    stars = spread.groupBy("band").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last").select("band", "leader")
+    # Both sides of a join by band are staged tables: only such joins are split where a band is shared by very many.
+    stars = staged(spread.groupBy("band").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last").select("band", "leader"), "stars")
     members = staged(spread.join(stars, "band").where("rep <> leader").select("band", "leader", "rep", "n"), "members")
     pairs = members.select("leader", "rep", "n").distinct()
     needed = members.select(F.col("rep").alias("id")).union(members.select("leader")).distinct()
@@ -205,9 +206,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     known = labels.select(F.col("node").alias("rep"), "component")
     there = staged(members.join(known, "rep", "left").select("band", "rep", "n", F.coalesce("component", "rep").alias("component")), "there")
     by_part = there.groupBy("band", "component").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
-    open_ = by_part.groupBy("band").agg(F.max(F.struct("c", "s", "component")).alias("main"), F.sum("c").alias("c"), F.sum("s").alias("s"), F.count("*").alias("parts")) \
+    open_ = staged(by_part.groupBy("band").agg(F.max(F.struct("c", "s", "component")).alias("main"), F.sum("c").alias("c"), F.sum("s").alias("s"), F.count("*").alias("parts")) \
         .where("parts > 1").select("band", F.col("main.component").alias("main"), _blocks(F.col("main.c"), F.col("main.s")).alias("mains"),
-                                   _blocks(F.col("c") - F.col("main.c"), F.col("s") - F.col("main.s")).alias("rests"))
+                                   _blocks(F.col("c") - F.col("main.c"), F.col("s") - F.col("main.s")).alias("rests")), "open")
     split = staged(there.join(open_, "band"), "split")
     main, rest = split.where("component = main"), split.where("component <> main")
     band = F.col("band").alias("g1")
@@ -226,7 +227,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     named = staged(joined.select("doc_id", "n", "rep"), "named").join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "rep")).otherwise(F.col("doc_id"))
     out = staged(named.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id")), "near")
-    dropped(classes, members, texts, dealt, there, split)
+    dropped(rows, classes, stars, members, texts, dealt, first, there, open_, split, second)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
@@ -235,10 +236,21 @@ def _has_repeats(rows: DataFrame) -> bool:
 
 
 def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component stays, with all its columns; of rows that share a doc_id one stays."""
-    kept = near_duplicates(docs, k, percent).where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("__id")).drop("__id").dropDuplicates(["doc_id"]) \
-        .union(docs.where("doc_id IS NULL"))
+    """One document of each component stays, with all its columns: the one with the smallest doc_id, null ids last.
+
+    Rows are told apart by a number of their own, not by doc_id: documents of different texts that share an id both stay,
+    and rows without an id are compared like all others. Of a component's rows that share the smallest id one stays.
+    """
+    whole = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"),
+                               F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), "rows")
+    near = near_duplicates(whole.select(F.col("row").alias("doc_id"), "text"), k, percent).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
+    grouped = near.groupBy("component").count().where("count > 1").select("component")
+    members = staged(near.join(grouped, "component").join(whole.select("row", "id"), "row"), "members")
+    best = members.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "row")).alias("best")).select(F.col("best.row").alias("row"))
+    gone = staged(members.select("row").join(best, "row", "left_anti"), "gone")
+    out = staged(whole.join(gone, "row", "left_anti").select("doc.*"), "once")
+    dropped(whole, members, gone)
+    return out
 
 
 @query("op4_minhash")

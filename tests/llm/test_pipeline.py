@@ -71,7 +71,7 @@ def test_the_stages_keep_extra_columns(spark, tmp_path):
 
 def test_every_query_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and {"pipeline", *QUERIES} <= set(entry.queries())
+    assert numbers == list(range(1, 14)) and {"pipeline", *QUERIES} <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
