@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.common import dropped, query, staged, table
-from barloom.llm.spans import KINDS, SPANS, found, joined, kept, labelled
+from barloom.llm.spans import KINDS, SPANS, blocks, bound, cut, folded, found, joined, kept, labelled
 
 BASE = ("email", "ip", "card", "phone")
 #: The base patterns, possessive where that changes no match; a start inside a run is left out where the run's own start has failed.
@@ -59,13 +59,15 @@ def _base_spans() -> Column:
 def _masked() -> Column:
     """The text with the characters of base spans replaced by MASK, so that places stay."""
     text = F.translate("text", MASK, "x")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(s, x):
-        begin, end = F.greatest(s["at"], x["start"]), F.greatest(s["at"], x["end"])
-        return F.struct(end.alias("at"), F.concat(s["out"], F.substr(text, s["at"] + 1, begin - s["at"]), F.repeat(F.lit(MASK), end - begin)).alias("out"))
-    done = F.aggregate(F.array_sort("__base"), start, step, lambda s: F.concat(s["out"], F.substr(text, s["at"] + 1)))
-    return F.when(F.size("__base") > 0, done).otherwise(text)
+    def by_blocks(parts):
+        def step(at, x):
+            begin, end = F.greatest(at, x["start"]), F.greatest(at, x["end"])
+            return end, F.array(cut(parts, at, begin - at), F.repeat(F.lit(MASK), end - begin))
+        end = F.array_max(F.transform("__base", lambda b: b["end"]))
+        done = folded(F.array_sort("__base"), F.lit(0), step, "string")
+        return F.concat(F.array_join(done, ""), F.substr(text, end + 1))
+    return F.when(F.size("__base") > 0, bound(blocks(text), by_blocks)).otherwise(text)
 
 
 def _shape(value: Column) -> Column:
@@ -78,14 +80,13 @@ def _specific(shape: Column) -> Column:
     return F.contains(shape, F.lit("@")) | (F.length(F.regexp_replace(shape, "[^0]", "")) >= SPECIFIC_DIGITS)
 
 
-def _mention(start: Column, end: Column, known: Column) -> Column:
+def _mention(parts: Column, start: Column, end: Column, known: Column) -> Column:
     """start, end, pattern (the two words before, bare and in lower case, and the outline) and the instance itself, bare."""
-    text = F.col("text")
     first = F.greatest(F.lit(0), start - BEFORE)
-    ahead = F.substr(text, first + 1, start - first)
+    ahead = cut(parts, first, start - first)
     words = F.filter(F.split(F.lower(ahead), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     near = F.transform(F.slice(F.concat(F.array(F.lit(""), F.lit("")), words), -2, 2), lambda w: F.regexp_replace(w, r"^[\p{Punct}]+|[\p{Punct}]+$", ""))
-    value = F.substr(text, start + 1, end - start)
+    value = cut(parts, start, end - start)
     outline = F.when(F.contains(value, F.lit("@")), "@").otherwise("0")
     bare = F.regexp_replace(F.lower(value), r"^[\p{Punct}&&[^@+]]++|(?<![\p{Punct}&&[^@+]])[\p{Punct}&&[^@+]]++$", "")
     return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), F.concat_ws(" ", near, outline).alias("pattern"), bare.alias("value"), known.alias("known"))
@@ -106,9 +107,13 @@ def annotated(docs: DataFrame) -> DataFrame:
     def place(w):  # one number for start and end, as distinct numbers are hashed
         return F.shiftleft(w["start"].cast("long"), 32) + w["end"]
     others = F.array_distinct(F.concat(F.transform("__runs", place), F.transform(words, place)))
-    return base.withColumn("__others", others).withColumn("__mentions", F.concat(
-        F.transform("__base", lambda b: _mention(b["start"], b["end"], F.lit(True))),
-        F.transform("__others", lambda p: _mention(F.shiftright(p, 32).cast("int"), p.bitwiseAND(F.lit(2**32 - 1)).cast("int"), F.lit(False))))).drop("__masked", "__runs", "__others")
+
+    def mentions(parts):
+        return F.concat(F.transform("__base", lambda b: _mention(parts, b["start"], b["end"], F.lit(True))),
+                        F.transform("__others", lambda p: _mention(parts, F.shiftright(p, 32).cast("int"), p.bitwiseAND(F.lit(2**32 - 1)).cast("int"), F.lit(False))))
+    some = (F.size("__base") > 0) | (F.size("__others") > 0)
+    return base.withColumn("__others", others).withColumn("__mentions", bound(F.when(some, blocks(F.col("text"))).otherwise(F.array().cast("array<string>")), mentions)) \
+        .drop("__masked", "__runs", "__others")
 
 
 def sure_patterns(mentions: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> DataFrame:
@@ -156,12 +161,12 @@ def sure_patterns(mentions: DataFrame, rounds: int = ROUNDS, sure: float = SURE)
 def _apart(spans: Column) -> Column:
     """The spans in order without those that begin inside one that is kept; of equal starts the longest is kept."""
     ordered = F.transform(F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back")))), lambda s: F.struct(s["start"].alias("start"), (-s["back"]).alias("end")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(KINDS).alias("out"))
 
-    def step(s, x):
+    def step(at, x):
         span = F.struct(x["start"].alias("start"), F.lit(len(BASE)).alias("place"), x["end"].alias("end"), F.lit("context").alias("kind"))
-        return F.when(x["start"] < s["at"], s).otherwise(F.struct(x["end"].alias("at"), F.array_append(s["out"], span).cast(KINDS).alias("out")))
-    return F.aggregate(ordered, start, step, lambda s: s["out"])
+        inside = x["start"] < at
+        return F.when(inside, at).otherwise(x["end"]), F.when(inside, F.array().cast(KINDS)).otherwise(F.array(span).cast(KINDS))
+    return folded(ordered, F.lit(0), step, KINDS.removeprefix("array<")[:-1])
 
 
 def find_personal(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -184,14 +189,14 @@ def find_personal(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 def redacted(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in angle brackets; of spans that overlap, the first in order counts."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(s, x):
-        piece = F.concat(F.substr(text, s["at"] + 1, x["start"] - s["at"]), F.lit("<"), F.upper(x["kind"]), F.lit(">"))
-        return F.when(x["start"] < s["at"], F.struct(F.greatest(s["at"], x["end"]).alias("at"), s["out"].alias("out"))).otherwise(
-            F.struct(x["end"].alias("at"), F.array_append(s["out"], piece).alias("out")))
-    done = F.aggregate(spans, start, step, lambda s: F.concat(F.array_join(s["out"], ""), F.substr(text, s["at"] + 1)))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    def by_blocks(parts):
+        def step(at, x):
+            inside = x["start"] < at
+            piece = F.concat(cut(parts, at, x["start"] - at), F.lit("<"), F.upper(x["kind"]), F.lit(">"))
+            return F.greatest(at, x["end"]), F.when(inside, F.array().cast("array<string>")).otherwise(F.array(piece))
+        end = F.array_max(F.transform(spans, lambda s: s["end"]))
+        return F.concat(F.array_join(folded(spans, F.lit(0), step, "string"), ""), F.substr(text, end + 1))
+    return F.when(F.size(spans) > 0, bound(blocks(text), by_blocks)).otherwise(text)
 
 
 def without_personal(docs: DataFrame) -> DataFrame:

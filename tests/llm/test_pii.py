@@ -1,6 +1,7 @@
 """Personal data: base spans against Python's regular expressions, patterns that find unseen identifiers, redaction."""
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -108,3 +109,27 @@ def test_spans_that_overlap_are_redacted_once(spark):
     df = spark.createDataFrame([("+4111 1111 1111 1111 x",)], "text string")
     spans_ = F.array(*[F.struct(F.lit(a).alias("start"), F.lit(0).alias("place"), F.lit(b).alias("end"), F.lit(k).alias("kind")) for a, b, k in ((0, 20, "phone"), (1, 20, "card"))])
     assert df.select(pii.redacted(F.col("text"), spans_)).first()[0] == "<PHONE> x"
+
+
+def test_time_follows_the_matches_of_a_text(spark):
+    """200,000 addresses in one text: the same spans, and a redacted text, in time in proportion."""
+    def of(n):
+        text = " ".join(f"u{i}@ex.org" for i in range(n))
+        df = spark.createDataFrame([(1, text, len(text))], DDL + ", n_chars long")
+        start = time.perf_counter()
+        [row] = pii.find_personal(df, ["doc_id"]).select(F.size("__spans").alias("n"), F.element_at("__spans", -1).alias("last")).collect()
+        [clean] = pii.without_personal(df).collect()
+        assert (row["n"], row["last"]["start"], row["last"]["end"]) == (n, len(text) - len(f"u{n - 1}@ex.org"), len(text))
+        assert clean["text"] == " ".join(["<EMAIL>"] * n) and clean["n_chars"] == len(clean["text"])
+        return time.perf_counter() - start
+    of(100)
+    small, large = of(20_000), of(200_000)
+    assert large < 25 * max(small, 1.0)
+
+
+def test_places_across_blocks(spark):
+    from barloom.llm import spans
+    text = "é" * 1023 + "𝒳b" + "c\n" * 3000
+    df = spark.createDataFrame([(text, i, n) for i in (0, 1, 1022, 1023, 1024, 1025, 2047, 7000) for n in (0, 1, 2, 1024, 3000)], "t string, i int, n int")
+    got = df.select("i", "n", spans.bound(spans.blocks(F.col("t")), lambda b: spans.cut(b, F.col("i"), F.col("n"))).alias("x")).collect()
+    assert all(r["x"] == text[r["i"]:r["i"] + r["n"]] for r in got)

@@ -65,3 +65,13 @@ def test_no_match_escapes_its_trigrams(rule, data):
     text = data.draw(st.from_regex(re.compile(rule.pattern, re.ASCII), fullmatch=True)).lower()
     wanted = secrets.trigram_query(rule.pattern)
     assert wanted is None or any(all(g in text for g in alternative) for alternative in wanted)
+
+
+def test_many_matches_in_one_text(spark):
+    """100,000 hashes and as many assignments in one text."""
+    n = 100_000
+    text = "".join(f"{i:016x} token={i:012d}\n" for i in range(n))
+    [row] = secrets.find_secrets(spark.createDataFrame([(1, text)], DDL)).collect()
+    spans = {k: [(s["start"], s["end"]) for s in row["spans"] if s["kind"] == k] for k in ("hex", "assign")}
+    assert spans["hex"] == [(36 * i, 36 * i + 16) for i in range(n)]
+    assert spans["assign"] == [(36 * i + 17, 36 * i + 35) for i in range(n)]
