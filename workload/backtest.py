@@ -8,6 +8,7 @@ from barloom.operators import direction as D
 from barloom.operators import sessions as S
 from barloom.operators import trades as T
 from barloom.session import stage
+from workload import generator as G
 from workload import inputs as W
 from workload.registry import cte, day, query, r, with_ctes
 
@@ -162,19 +163,34 @@ def signal_winrate(spark, d):
     return D.win_rates(results, D.CANDIDATE + ["segment"])
 
 
-@query("block_bootstrap_delta")
+cte("directed", """SELECT 'D1-G178|' || ticker || '|' || signal || '|' || h || '|' || side || '|' || segment AS seed_key, date,
+  count(*) FILTER (fired AND won = 1) AS s, count(*) FILTER (fired) AS sn, sum(won) AS b, count(*) AS bn FROM outcomes GROUP BY 1, 2""", "outcomes")
+CANDIDATES = G.delta_interval("directed", "bands", "d_").lstrip() + """,
+options AS (SELECT * FROM (SELECT DISTINCT ticker FROM states), (VALUES ('S1'), ('S2'), ('S3'), ('S4')) a(signal), (VALUES (5), (10), (20)) b(h),
+  (VALUES ('LONG'), ('SHORT')) c(side), (VALUES ('IS'), ('FINAL_OOS')) d(segment)),
+candidates AS (SELECT ticker, signal, h, side, segment, coalesce(n, 0) AS n, coalesce(benchmark_n, 0) AS benchmark_n, wr, benchmark_wr, wr - benchmark_wr AS delta, low AS ci_low, high AS ci_high
+  FROM options LEFT JOIN rates USING (ticker, signal, h, side, segment)
+  LEFT JOIN bands ON seed_key = 'D1-G178|' || ticker || '|' || signal || '|' || h || '|' || side || '|' || segment),
+chosen AS (SELECT * FROM candidates WHERE segment = 'IS' AND wr >= 0.55 AND ci_low > 0 QUALIFY row_number() OVER (PARTITION BY side ORDER BY wr DESC, delta DESC, ticker, signal, h) = 1)"""
+CANDIDATES_SQL = with_ctes("directed", "rates", recursive=True, extra=CANDIDATES)
+RATE_COLUMNS = ", ".join(r(c, c) for c in ("wr", "benchmark_wr", "delta", "ci_low", "ci_high"))
+
+
+@query("block_bootstrap_delta", CANDIDATES_SQL + f"SELECT ticker, signal, h, side, segment, n, benchmark_n, {r('ci_low', 'ci_low')}, {r('ci_high', 'ci_high')} FROM candidates")
 def block_bootstrap_delta(spark, d):
     states, _, results = index_outcomes(spark, d)
     return D.candidates(states, results).select(*D.CANDIDATE, "segment", "n", "benchmark_n", "ci_low", "ci_high")
 
 
-@query("direction_candidates")
+@query("direction_candidates", CANDIDATES_SQL + f"SELECT ticker, signal, h, side, segment, n, benchmark_n, {RATE_COLUMNS} FROM candidates")
 def direction_candidates(spark, d):
     states, _, results = index_outcomes(spark, d)
     return D.candidates(states, results)
 
 
-@query("select_is_candidates")
+@query("select_is_candidates", CANDIDATES_SQL + f"""SELECT c.ticker, c.signal, c.h, c.side, c.n, c.benchmark_n, {", ".join(r("c." + c, c) for c in ("wr", "benchmark_wr", "delta", "ci_low", "ci_high"))},
+  o.n AS oos_n, o.benchmark_n AS oos_benchmark_n, {", ".join(r("o." + c, "oos_" + c) for c in ("wr", "benchmark_wr", "delta", "ci_low", "ci_high"))}, coalesce(o.wr >= 0.55 AND o.ci_low > 0, false) AS pass
+FROM chosen c JOIN candidates o ON o.ticker = c.ticker AND o.signal = c.signal AND o.h = c.h AND o.side = c.side AND o.segment = 'FINAL_OOS'""")
 def select_is_candidates(spark, d):
     states, _, results = index_outcomes(spark, d)
     return D.select_in_sample(D.candidates(states, results))
@@ -222,7 +238,23 @@ def direction_replay_counts(spark, d):
     return D.replay_counts(emitted, states, segments, LEAD_TICKER)
 
 
-@query("replay_prune")
+def replay_round(number: int, active: str) -> str:
+    """CTEs up to `metrics<number>`: the sides of `active` replayed on the dates on which only one of them is on."""
+    p = f"r{number}_"
+    return f"""
+{p}emitted AS (SELECT date, max(side) AS side FROM (SELECT s.date, a.side FROM states s JOIN {active} a ON a.ticker = s.ticker
+  WHERE CASE a.signal WHEN 'S1' THEN S1 WHEN 'S2' THEN S2 WHEN 'S3' THEN S3 ELSE S4 END = CASE WHEN a.side = 'LONG' THEN 1 ELSE -1 END AND s.date IN (SELECT date FROM oos_dates)) t GROUP BY date HAVING count(*) = 1),
+{p}rows AS (SELECT o.*, e.side IS NOT NULL AS allowed, 'REPLAY|' || o.side || '|' || o.ticker || '|' || o.signal || '|' || o.h AS seed_key FROM outcomes o
+  SEMI JOIN {active} a ON a.ticker = o.ticker AND a.signal = o.signal AND a.h = o.h AND a.side = o.side LEFT JOIN {p}emitted e ON e.date = o.date AND e.side = o.side WHERE segment = 'FINAL_OOS'),
+{p}dated AS (SELECT seed_key, date, count(*) FILTER (allowed AND won = 1) AS s, count(*) FILTER (allowed) AS sn, sum(won) AS b, count(*) AS bn FROM {p}rows GROUP BY 1, 2),{G.delta_interval(p + "dated", p + "bands", p)},
+{p}rates AS (SELECT seed_key, count(*) FILTER (allowed) AS n, count(*) AS benchmark_n, avg(won) FILTER (allowed) AS wr, avg(won) AS benchmark_wr FROM {p}rows GROUP BY 1),
+metrics{number} AS (SELECT a.side, a.ticker, a.signal, a.h, coalesce(n, 0) AS n, coalesce(benchmark_n, 0) AS benchmark_n, wr, benchmark_wr, wr - benchmark_wr AS delta, low AS ci_low, high AS ci_high, coalesce(low <= 0, true) AS deleted
+  FROM {active} a LEFT JOIN {p}rates t ON t.seed_key = 'REPLAY|' || a.side || '|' || a.ticker || '|' || a.signal || '|' || a.h LEFT JOIN {p}bands c ON c.seed_key = t.seed_key),
+left{number} AS (SELECT side, ticker, signal, h FROM metrics{number} WHERE NOT deleted)"""
+
+
+@query("replay_prune", with_ctes("replay_set", "oos_dates", "outcomes", recursive=True, extra=(replay_round(1, "replay_set") + "," + replay_round(2, "left1")).lstrip()) + f"""
+SELECT round, side, ticker, signal, h, n, benchmark_n, {RATE_COLUMNS}, deleted FROM (SELECT 1 AS round, * FROM metrics1 UNION ALL SELECT 2, * FROM metrics2) t""")
 def replay_prune(spark, d):
     states, segments, results = index_outcomes(spark, d)
     _, rounds = D.prune_by_replay(stage(replay_set(results)), states, results, segments, LEAD_TICKER)
@@ -288,7 +320,16 @@ def vertical_baseline(spark, d):
         "side", "segment", "n", "own", "bench", "delta", "unique_dates")
 
 
-@query("paired_bootstrap")
+cte("drifted", """SELECT 'VERTICAL_BASELINE|' || side || '|' || segment AS seed_key, date, sum(own) AS own, sum(bench) AS bench, count(*) AS n FROM paired GROUP BY 1, 2""", "paired")
+BASELINE_SQL = G.paired_interval("drifted", "drift", "v_").lstrip() + """,
+edges AS (SELECT side, segment, count(own) AS n, avg(own) AS own, avg(bench) AS bench, avg(own) - avg(bench) AS delta, count(DISTINCT date) AS unique_dates
+  FROM (SELECT * FROM (VALUES ('LONG'), ('SHORT')) a(side), (VALUES ('IS'), ('FINAL_OOS')) b(segment)) g LEFT JOIN paired USING (side, segment) GROUP BY 1, 2),
+baseline AS (SELECT edges.*, drift.* EXCLUDE (seed_key), CASE WHEN max(delta_low) FILTER (segment = 'FINAL_OOS') OVER s > 0 THEN CASE WHEN max(delta) FILTER (segment = 'IS') OVER s > 0 THEN 'SIGNAL_EDGE_CONFIRMED' ELSE 'OOS_ONLY' END
+  ELSE 'MARKET_DRIFT_ONLY' END AS verdict FROM edges LEFT JOIN drift ON seed_key = 'VERTICAL_BASELINE|' || side || '|' || segment WINDOW s AS (PARTITION BY side))"""
+
+
+@query("paired_bootstrap", with_ctes("drifted", recursive=True, extra=BASELINE_SQL) + f"""
+SELECT side, segment, n, unique_dates, verdict, {", ".join(r(c, c) for c in ("own", "bench", "delta", "own_low", "own_high", "bench_low", "bench_high", "delta_low", "delta_high"))} FROM baseline""")
 def paired_bootstrap(spark, d):
     return B.vertical_baseline(stock_rows(spark, d))
 

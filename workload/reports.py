@@ -99,8 +99,10 @@ def report_events(spark, d):
         F.when(F.col("total") > 450000, "COMPLETE").alias("reaction_status"))
 
 
-@query("earnings_reaction", with_ctes("report_events", "bars", "sessions") + f"""
-, due AS (SELECT * FROM report_events WHERE event_status IS NULL AND reaction_status IS NULL),
+def reaction_ctes(events: str) -> str:
+    """CTEs up to `y`, the reactions of the events that are due."""
+    return f"""
+, due AS (SELECT * FROM {events} WHERE event_status IS NULL AND reaction_status IS NULL),
 idxs AS (SELECT e.event_id, min(s.idx) AS idx FROM due e JOIN sessions s
     ON CASE WHEN e.session = 'BMO' THEN s.date >= e.report_date ELSE s.date > e.report_date END GROUP BY 1),
 seq AS (SELECT b.*, s.idx FROM bars b JOIN sessions s USING (date)),
@@ -113,12 +115,18 @@ x AS (SELECT e.event_id, e.security_id, e.report_date, e.session, i.idx, p.close
   LEFT JOIN seq p ON p.security_id = e.security_id AND p.idx = i.idx - 1 LEFT JOIN seq b ON b.security_id = e.security_id AND b.idx = i.idx
   LEFT JOIN seq f ON f.security_id = e.security_id AND f.idx = i.idx + 5),
 y AS (SELECT *, CASE WHEN priced THEN open / prev_close - 1 END AS gap, CASE WHEN priced THEN close / prev_close - 1 END AS d1,
-    CASE WHEN priced THEN c5 / prev_close - 1 END AS d5, CASE WHEN priced AND c = 20 AND s > 0 THEN volume / (s / 20) END AS ratio FROM x)
+    CASE WHEN priced THEN c5 / prev_close - 1 END AS d5, CASE WHEN priced AND c = 20 AND s > 0 THEN volume / (s / 20) END AS ratio FROM x)"""
+
+
+REACTION_STATUS = """CASE WHEN idx IS NULL THEN 'PENDING_PRICE' WHEN NOT priced THEN 'PRICE_MISSING' WHEN d5 IS NOT NULL AND ratio IS NOT NULL THEN 'COMPLETE' ELSE 'PARTIAL' END"""
+
+
+@query("earnings_reaction", with_ctes("report_events", "bars", "sessions") + reaction_ctes("report_events") + f"""
 SELECT event_id, security_id, {day('report_date', 'report_date')}, session, {day('reaction_date', 'reaction_date')}, {r('prev_close', 'prev_close')},
   {r('gap', 'gap_pct')}, {r('d1', 'day1_pct')}, {r('d5', 'day5_pct')}, {r('ratio', 'day1_volume_ratio')},
   CASE WHEN priced AND ratio IS NULL THEN CASE WHEN c < 20 THEN 'INSUFFICIENT_20_SESSION_VOLUME' ELSE 'ZERO_BASELINE_VOLUME' END END AS day1_volume_ratio_reason,
   CASE WHEN priced THEN CASE WHEN idx + 5 > last_idx THEN 'PENDING_FIVE_SESSIONS' WHEN d5 IS NULL THEN 'PRICE_MISSING' END END AS day5_reason,
-  CASE WHEN idx IS NULL THEN 'PENDING_PRICE' WHEN NOT priced THEN 'PRICE_MISSING' WHEN d5 IS NOT NULL AND ratio IS NOT NULL THEN 'COMPLETE' ELSE 'PARTIAL' END AS reaction_status
+  {REACTION_STATUS} AS reaction_status
 FROM y
 UNION ALL SELECT event_id, security_id, {day('report_date', 'report_date')}, session, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, reaction_status
 FROM report_events WHERE event_status IS NOT NULL OR reaction_status IS NOT NULL""")

@@ -501,7 +501,22 @@ def daily_append_store(spark, d):
     return functools.reduce(lambda a, b: a.union(b), rows)
 
 
-@query("earnings_daily")
+@query("earnings_daily", with_ctes("reports", "active", "bars", "sessions") + f"""
+, hist AS (SELECT security_id, report_date FROM reports WHERE total < 60000),
+due_dates AS (SELECT security_id, list_sort(list(DISTINCT report_date)) AS ds FROM reports WHERE total > 450000 GROUP BY 1),
+old AS (SELECT o.security_id, report_date, ds IS NOT NULL AND NOT list_contains(ds, report_date) AS revised FROM reports o LEFT JOIN due_dates USING (security_id) WHERE status = 'O'),
+kept AS (SELECT *, true AS k FROM old WHERE report_date < DATE '{RP.TODAY}' OR revised),
+merged AS (SELECT h.security_id || ':' || strftime(h.report_date, '%Y-%m-%d') AS event_id, h.*, upper(replace(a.ticker, '.', '')) AS key FROM (
+    SELECT security_id, report_date, CASE WHEN revised THEN 'REVISED' END AS event_status, coalesce(was, report_date < DATE '{RP.TODAY}') AS pending
+    FROM (SELECT *, true AS was FROM hist) FULL JOIN kept USING (security_id, report_date)) h LEFT JOIN active a USING (security_id)),
+provider AS (SELECT CAST(o_orderdate AS DATE) AS report_date, 'N' || o_custkey AS key, arg_max(coalesce({RP._EPS_VALUE_SQL}, -1e99), o_orderkey) AS v FROM orders GROUP BY 1, 2),
+events AS (SELECT m.event_id, m.security_id, m.report_date, 'UNKNOWN' AS session, m.event_status, NULL::VARCHAR AS reaction_status,
+    CASE WHEN m.report_date < DATE '{RP.TODAY}' AND pending AND v > -1e90 THEN 'AVAILABLE' ELSE 'EPS_ACTUAL_UNAVAILABLE' END AS eps_status
+  FROM merged m LEFT JOIN provider p ON p.report_date = m.report_date AND p.key = m.key)
+{RP.reaction_ctes("events")},
+settled AS (SELECT e.event_id, e.event_status, e.eps_status, s.status AS reaction_status FROM events e LEFT JOIN (SELECT event_id, {RP.REACTION_STATUS} AS status FROM y) s USING (event_id))
+SELECT reaction_status, event_status, eps_status, count(*) AS events FROM settled GROUP BY 1, 2, 3
+UNION ALL SELECT 'NEW_INACTIVE_EVENT', NULL, NULL, count(*) FROM events e ANTI JOIN active USING (security_id) WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.security_id = e.security_id AND h.report_date = e.report_date) HAVING count(*) > 0""")
 def earnings_daily(spark, d):
     rows = RP.reports(spark, d).withColumn("session", F.lit("UNKNOWN"))
     keys = ["security_id", "report_date"]
@@ -538,7 +553,19 @@ def us_month(spark, d):
     return us_plan(index, W.daily_bars(spark, d), BT.LEAD_TICKER)
 
 
-@query("us_monthly")
+# The month's directions: the candidates that pass, pruned in two rounds and replayed; the verdict of the stock baseline.
+US_MONTH = BT.CANDIDATES + f""",
+active AS (SELECT c.side, c.ticker, c.signal, c.h FROM chosen c JOIN candidates o ON o.ticker = c.ticker AND o.signal = c.signal AND o.h = c.h AND o.side = c.side AND o.segment = 'FINAL_OOS'
+  WHERE o.wr >= 0.55 AND o.ci_low > 0),{BT.replay_round(1, "active")},{BT.replay_round(2, "left1")},{BT.replay_round(3, "left2")},
+{BT.BASELINE_SQL},
+us_pointer AS (SELECT b.side, coalesce(l.ticker || '|' || l.signal || '|' || l.h, '无合格信号') AS direction_signal,
+  (SELECT coalesce(count(e.side) / nullif(count(*), 0), 0.0::DOUBLE) FROM oos_dates d LEFT JOIN r3_emitted e ON e.date = d.date) AS coverage, b.verdict AS vertical_baseline
+  FROM (SELECT side, any_value(verdict) AS verdict FROM baseline GROUP BY 1) b LEFT JOIN left2 l ON l.side = b.side)
+"""
+US_MONTH_NEEDS = ("directed", "rates", "oos_dates", "drifted")
+
+
+@query("us_monthly", with_ctes(*US_MONTH_NEEDS, recursive=True, extra=US_MONTH) + f"SELECT side, direction_signal, {r('coverage', 'coverage')}, vertical_baseline FROM us_pointer")
 def us_monthly(spark, d):
     return us_pointer(us_month(spark, d))
 
@@ -565,6 +592,12 @@ def hk_monthly(spark, d):
     return hk_month(spark, d).summary.select("side", "pass_count", "parameter_points", "status", "stop_atr", "target_r", "max_hold", "n", "expectancy_r")
 
 
-@query("combined_monthly")
+_MONTH = f"{W.AS_OF:%Y-%m}"
+
+
+@query("combined_monthly", with_ctes(*US_MONTH_NEEDS, "stable_hk", "full_bars", recursive=True, extra=US_MONTH) + f"""
+SELECT {", ".join(f"max({c}) FILTER (side = '{s}') AS {s.lower()}_{c}" for s in ("LONG", "SHORT") for c in ("direction_signal", "vertical_baseline"))},
+  {", ".join(f"(SELECT CASE WHEN count(*) FILTER (stability = 'PASS') > 0 THEN 'CERTIFIED' ELSE 'EDGE_NOT_CERTIFIED' END FROM stable_hk WHERE side = '{s}') AS hk_{s.lower()}_edge" for s in ("LONG", "SHORT"))},
+  'MONTH_{_MONTH}' AS month_file, 'HK_MONTH_{_MONTH}' AS hk_month_file, 1 AS version FROM us_pointer""")
 def combined_monthly(spark, d):
     return combined_pointer(us_pointer(us_month(spark, d)), hk_month(spark, d).summary, W.AS_OF, W.AS_OF)
