@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import types as T
-from pyspark.sql.functions import arrow_udf
+from pyspark.sql.functions import arrow_udf, udtf
 
 from barloom.contracts import BOOTSTRAP_BLOCK, BOOTSTRAP_DRAWS
 
@@ -38,6 +38,16 @@ def draw_blocks(seed_key: str, hex_digits: int, blocks: int) -> np.ndarray:
     return np.concatenate(picks).astype(np.int64).reshape(BOOTSTRAP_DRAWS, blocks)
 
 
+@udtf(returnType="draw int, pos int, block int")
+class BlockDraws:
+    """Table function (seed_key, hex_digits, blocks) -> a row for each pick of each draw."""
+
+    def eval(self, seed_key: str, hex_digits: int, blocks: int):
+        for draw, picks in enumerate(draw_blocks(seed_key, hex_digits, blocks).tolist() if blocks else []):
+            for pos, block in enumerate(picks):
+                yield draw, pos, block
+
+
 def interval(draws: np.ndarray) -> tuple[float | None, float | None]:
     """2.5 and 97.5 percentiles, linear between the neighbouring order statistics."""
     if not len(draws):

@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom import contracts as K
-from barloom.functions.resampling import delta_interval_udf, paired_intervals_udf
+from barloom.functions.resampling import BlockDraws, delta_interval_udf, paired_intervals_udf
 
 
 def _by_block(dated: DataFrame, keys: list[str], sums: list[str], cut: bool) -> DataFrame:
@@ -52,3 +52,9 @@ def paired_intervals(samples: DataFrame, keys: list[str], seed_key: Column) -> D
     out = blocks.withColumn("ci", paired_intervals_udf(*args))
     return out.select(*keys, *[F.col(f"ci.{n}.{e}").alias(f"{n}_{e}")
                                for n in ("own", "bench", "delta") for e in ("low", "high")])
+
+
+def block_picks(series: DataFrame, hex_digits: int) -> DataFrame:
+    """series(seed_key, blocks) -> (seed_key, draw, pos, block): the picks as rows, to be joined with sums of blocks."""
+    drawn = BlockDraws(F.col("seed_key").outer(), F.lit(hex_digits), F.col("blocks").outer())
+    return series.select("seed_key", F.col("blocks").cast("int").alias("blocks")).lateralJoin(drawn).select("seed_key", "draw", "pos", "block")

@@ -3,7 +3,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barloom import contracts as K
 from barloom.operators import baseline as B
+from barloom.operators import bootstrap as BS
 from barloom.operators import direction as D
 from barloom.operators import sessions as S
 from barloom.operators import trades as T
@@ -334,6 +336,16 @@ def paired_bootstrap(spark, d):
     return B.vertical_baseline(stock_rows(spark, d))
 
 
+@query("bootstrap_picks", with_ctes("drifted", recursive=True, extra="series AS (SELECT seed_key, 16 AS digits, (count(*) + 19) // 20 AS blocks FROM drifted GROUP BY 1),"
+                                    + G.picks("series", "v_")) + "SELECT seed_key, draw, pos, block FROM v_picks")
+def bootstrap_picks(spark, d):
+    """The blocks that each draw of the stock baseline takes, as rows."""
+    paired = B.leave_one_out(stock_rows(spark, d))
+    series = paired.groupBy("side", "segment").agg(F.count_distinct("date").alias("dates"))
+    return BS.block_picks(series.select(F.format_string(K.BASELINE_SEED, "side", "segment").alias("seed_key"),
+                                        F.ceil(F.col("dates") / K.BOOTSTRAP_BLOCK).alias("blocks")), 16)
+
+
 @query("same_direction_test", with_ctes("emitted", "samples", recursive=True) + f"""
 SELECT g.side, g.market_class, count(x.r) AS n, {r('avg(CASE WHEN r > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) FILTER (r IS NOT NULL)', 'vertical_wr')},
   {r('avg(r)', 'avg_r')}, {r('avg(dwr)', 'dwr')}
