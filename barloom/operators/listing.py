@@ -8,6 +8,7 @@ from barloom import contracts as K
 from barloom.functions.text import exchange_code, hk_ticker, listing_exclusion
 from barloom.operators.ordering import with_running_total
 from barloom.operators.universe import is_active
+from barloom.session import stage
 
 
 def hk_listing(rows: DataFrame) -> DataFrame:
@@ -68,13 +69,13 @@ def listing_missing(known: DataFrame, observed: DataFrame) -> DataFrame:
         observed.select("symbol"), "symbol", "left_anti").select("security_id", "symbol")
 
 
-def shrink_guard(known: DataFrame, observed: DataFrame) -> DataFrame:
-    """A violation row when so many are missing that the source must be incomplete."""
+def shrink_guard(known: DataFrame, observed: DataFrame, floor: int = K.SHRINK_FLOOR, share: float = K.SHRINK_SHARE) -> DataFrame:
+    """A violation row when so many are missing, more than `floor` and than `share` of all, that the source must be incomplete."""
     active = known.filter(is_active(default=False)).select("symbol").distinct()
     flagged = active.join(observed.select("symbol", F.lit(1).alias("seen")).distinct(), "symbol", "left")
     counts = flagged.agg(F.count(F.lit(1)).alias("listed"),
                          F.count(F.when(F.col("seen").isNull(), 1)).alias("missing"))
-    limit = F.greatest(F.lit(float(K.SHRINK_FLOOR)), F.col("listed") * K.SHRINK_SHARE)
+    limit = F.greatest(F.lit(float(floor)), F.col("listed") * share)
     return counts.select("listed", "missing", F.when(F.col("missing") > limit, "OFFICIAL_LIST_SHRINK_GUARD").alias("error"))
 
 
@@ -103,7 +104,7 @@ def universe_refresh(known: DataFrame, observed: DataFrame, market: str) -> Data
     if rebound is not None:
         unknown = unknown.join(rebound.select("symbol"), "symbol", "left_anti")
         absent = absent.join(rebound.select("security_id"), "security_id", "left_anti")
-    top = known.agg(F.max(F.substring_index("security_id", "-", -1).cast("bigint"))).scalar()
+    top = known.agg(F.coalesce(F.max(F.substring_index("security_id", "-", -1).cast("bigint")), F.lit(0).cast("bigint"))).scalar()
     numbered = with_running_total(unknown, [F.col("sequence").asc(), F.col("symbol").asc()], name="place")
     new = numbered.select(
         F.concat(F.lit(market + "-"), F.format_string("%06d", top + F.col("place"))).alias("security_id"),
@@ -114,6 +115,42 @@ def universe_refresh(known: DataFrame, observed: DataFrame, market: str) -> Data
     return out if rebound is None else out.unionByName(rebound)
 
 
+REVIEWS = {"ISIN_CHANGED": "ISIN_CHANGED", "NAME_CHANGED": "NAME_CHANGED", "REBOUND": "OFFICIAL_ISIN_SAME_NEW_TICKER", "ABSENT": "ABSENT_OFFICIAL_SNAPSHOT"}
+
+
+def refreshed_universe(known: DataFrame, observed: DataFrame, market: str, floor: int = K.SHRINK_FLOOR, share: float = K.SHRINK_SHARE) -> tuple[DataFrame, DataFrame]:
+    """The universe after a listing refresh, and the review items it gives rise to.
+
+    A matched or rebound security takes over what the list says (symbol, name, ISIN, ticker, exchange) but keeps its listing
+    status: presence lifts no gate. A changed identity and an absent security stay as they are and go to review. New ones are
+    whole rows. A list from which too many are missing (`shrink_guard`) stops the job, before anything is changed.
+    """
+    decisions = stage(universe_refresh(known, observed, market))
+    broken = shrink_guard(known, observed, floor, share).select("error").scalar()
+    decisions = decisions.filter(F.when(broken.isNotNull(), F.raise_error(broken).cast("boolean")).otherwise(F.lit(True)))
+    told = ("name", "isin", "ticker", "exchange")
+    entries = observed.select(F.col("symbol").alias("new_symbol"), F.struct(*told).alias("entry"))
+    decided = decisions.select("security_id", F.col("symbol").alias("new_symbol"), "decision").join(entries, "new_symbol", "left")
+    takes = F.col("decision").isin("UPDATED", "REBOUND", "NEW")
+
+    def value(name, old):
+        return F.when(takes, F.col(f"entry.{name}")).otherwise(old).alias(name)
+
+    def text(name):
+        return F.col(name) if name in known.columns else F.lit(None).cast("string")
+    currency = F.lit("HKD" if market == "HK" else "USD")
+    stays = known.join(decided.filter("decision <> 'NEW'"), "security_id", "left").select(
+        "security_id", F.when(takes, F.col("new_symbol")).otherwise(F.col("symbol")).alias("symbol"), *[value(c, text(c)) for c in told],
+        F.coalesce(text("currency"), currency).alias("currency"), F.lit(market).alias("market"), "listing_status", text("security_id_origin").alias("security_id_origin"),
+        text("history_status").alias("history_status"), F.when(F.col("decision") == "ABSENT", "LISTING_STATUS_REVIEW").otherwise(text("review_status")).alias("review_status"))
+    new = decided.filter("decision = 'NEW'").select(
+        "security_id", F.col("new_symbol").alias("symbol"), *[F.col(f"entry.{c}").alias(c) for c in told], currency.alias("currency"), F.lit(market).alias("market"),
+        F.lit("ACTIVE").alias("listing_status"), F.lit("NEW_LISTING").alias("security_id_origin"), F.lit("SHORT_HISTORY").alias("history_status"), F.lit(None).cast("string").alias("review_status"))
+    problem = F.create_map(*[F.lit(x) for pair in REVIEWS.items() for x in pair])[F.col("decision")]
+    reviews = decisions.select(F.lit(market).alias("market"), "security_id", F.lit("IDENTITY_REVIEW").alias("category"), problem.alias("problem"), F.lit("OPEN").alias("status"))
+    return stays.unionByName(new), reviews.filter("problem IS NOT NULL")
+
+
 def _rebound(known: DataFrame, unknown: DataFrame, absent: DataFrame) -> DataFrame:
     """Absent securities found again by ISIN. The first unknown symbol of an ISIN, by source order, gets the security;
     later ones stay unknown. Blank ISINs are none."""

@@ -208,3 +208,29 @@ def test_a_bar_off_the_calendar_hides_no_gap(spark):
 
 def test_escaped_signs_stay_in_cells(spark):
     assert one(spark, "<b>a</b> &lt;b&gt; &amp; c", X.cell_text) == "a <b> & c"
+
+
+KNOWN = "security_id string, symbol string, name string, isin string, ticker string, listing_status string, sequence int, exchange string"
+SEEN = "symbol string, name string, isin string, ticker string, exchange string, sequence int"
+
+
+def test_refreshed_universe_holds_whole_rows_and_review_items(spark):
+    known = spark.createDataFrame([("US-000007", "A", "Alpha", "I1", "A", "QUARANTINED_DATA_GAP", 1, "NYSE"), ("US-000003", "B", "Beta", "I2", "B", "ACTIVE", 2, "NYSE"),
+                                   ("US-000004", "C", "Gamma", "I3", "C", "ACTIVE", 3, "NYSE")], KNOWN)
+    seen = spark.createDataFrame([("A", "ALPHA", "J1", "A-1", "NASDAQ", 1), ("B", "Other", "I2", "B", "NASDAQ", 2), ("N", "New", "J9", "N", "NYSE", 3)], SEEN)
+    rows, reviews = L.refreshed_universe(known, seen, "US")
+    got = {r.security_id: (r.symbol, r.name, r.isin, r.ticker, r.exchange, r.currency, r.listing_status, r.security_id_origin, r.history_status, r.review_status) for r in rows.collect()}
+    assert got == {"US-000007": ("A", "ALPHA", "J1", "A-1", "NASDAQ", "USD", "QUARANTINED_DATA_GAP", None, None, None),
+                   "US-000003": ("B", "Beta", "I2", "B", "NYSE", "USD", "ACTIVE", None, None, None),
+                   "US-000004": ("C", "Gamma", "I3", "C", "NYSE", "USD", "ACTIVE", None, None, "LISTING_STATUS_REVIEW"),
+                   "US-000008": ("N", "New", "J9", "N", "NYSE", "USD", "ACTIVE", "NEW_LISTING", "SHORT_HISTORY", None)}
+    assert {(r.security_id, r.problem) for r in reviews.collect()} == {("US-000003", "NAME_CHANGED"), ("US-000004", "ABSENT_OFFICIAL_SNAPSHOT")}
+
+
+def test_refresh_of_an_empty_universe_and_of_a_cut_list(spark):
+    seen = spark.createDataFrame([("A", "Alpha", "J1", "A", "NYSE", 1), ("B", "Beta", "J2", "B", "NYSE", 2)], SEEN)
+    rows, _ = L.refreshed_universe(spark.createDataFrame([], KNOWN), seen, "US")
+    assert sorted((r.security_id, r.symbol) for r in rows.collect()) == [("US-000001", "A"), ("US-000002", "B")]
+    many = spark.createDataFrame([(f"US-{i:06d}", f"S{i}", "n", "i", "t", "ACTIVE", i, "NYSE") for i in range(40)], KNOWN)
+    with pytest.raises(Exception, match="OFFICIAL_LIST_SHRINK_GUARD"):
+        L.refreshed_universe(many, seen, "US")[0].collect()
