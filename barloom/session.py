@@ -27,16 +27,17 @@ def build_session(app: str = "barloom", master: str | None = None, **conf) -> Sp
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); made up only where unset."""
+    """The cluster's shared folder (spark.checkpoint.dir); made up only where unset and everything runs in one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         folder = getattr(spark.sparkContext, "_barloom_folder", None)
         if folder is None:
-            if not spark.sparkContext.master.startswith("local"):
+            master = spark.sparkContext.master
+            if master != "local" and not master.startswith("local["):
                 raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
             folder = tempfile.mkdtemp(prefix="barloom-")
             spark.sparkContext._barloom_folder = folder
-    if not spark.sparkContext.master.startswith("local") and ":/" not in folder:
+    if not spark.sparkContext.master.startswith("local") and (":/" not in folder or folder.startswith("file:")):
         raise RuntimeError(f"spark.checkpoint.dir must be an address that all executors share, not the bare path {folder}")
     return folder
 

@@ -361,17 +361,20 @@ def same_direction_test(spark, d):
 
 
 # --- trade grid -------------------------------------------------------------------
+#: Suppliers that make one series together: enough to fill the window, and more series as there are more suppliers.
+GROUPED = 10
+
+
 def grid_bars(spark, d):
-    """Part type and size class by session: series dense enough to fill the window."""
-    kinds = W.table(spark, d, "part").select("p_partkey", F.concat(
-        F.lit("HK-"), "p_type", F.when(F.col("p_size") > 25, "-L").otherwise("-S")).alias("security_id"))
-    rows = W.trades(spark, d).drop("security_id").join(kinds, F.col("l_partkey") == F.col("p_partkey"))
+    """Groups of suppliers by session: series dense enough to fill the window, as many as the data has."""
+    group = F.floor(F.col("supplier") / GROUPED)
     from barloom.sources.trades import bars_from_trades
-    return bars_from_trades(rows, ["security_id", "date"])
+    bars = bars_from_trades(W.trades(spark, d).withColumn("group", group), ["group", "date"])
+    return bars.select(W.security_id(F.col("group"), "HK").alias("security_id"), *[c for c in bars.columns if c != "group"])
 
 
-cte("grid_bars", f"""SELECT 'HK-' || p_type || CASE WHEN p_size > 25 THEN '-L' ELSE '-S' END AS security_id, date, {W.BAR_SQL}
-FROM trades JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""", "trades")
+cte("grid_bars", f"""SELECT printf('HK-%06d', (CAST(substr(security_id, 4) AS BIGINT) - 1) // {GROUPED} + 1) AS security_id, date, {W.BAR_SQL}
+FROM trades GROUP BY 1, 2""", "trades")
 cte("full_bars", """SELECT *, row_number() OVER (PARTITION BY security_id ORDER BY date) - 1 AS i
 FROM grid_bars SEMI JOIN hk_dates USING (date) QUALIFY count(*) OVER (PARTITION BY security_id) = 501""", "grid_bars", "hk_dates")
 cte("grid_walk", trend_walk("full_bars", "security_id").replace("WALKNAME", "grid_walk"), "full_bars")

@@ -572,12 +572,13 @@ def us_monthly(spark, d):
 
 def hk_month(spark, d):
     bars = BT.grid_bars(spark, d)
-    # Designated: the series of large parts.
-    designated = W.table(spark, d, "part").filter("p_size > 25").select(F.concat(F.lit("HK-"), "p_type", F.lit("-L")).alias("security_id")).distinct()
+    # Designated: every second group of suppliers.
+    group = F.floor(F.col("s_suppkey") / BT.GROUPED)
+    designated = W.table(spark, d, "supplier").filter(group % 2 == 0).select(W.security_id(group, "HK").alias("security_id")).distinct()
     return hk_plan(bars, W.calendar(spark, d), designated)
 
 
-cte("taken_hk", "SELECT * FROM taken WHERE side = 'LONG' OR security_id LIKE '%-L'", "taken")
+cte("taken_hk", "SELECT * FROM taken WHERE side = 'LONG' OR CAST(substr(security_id, 4) AS BIGINT) % 2 = 1", "taken")
 for _name in ("grid", "gated", "stable"):
     _needs, _text = CTES[_name]
     cte(_name + "_hk", _text.replace("FROM taken", "FROM taken_hk").replace("FROM grid)", "FROM grid_hk)").replace("FROM gated", "FROM gated_hk"),
