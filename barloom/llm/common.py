@@ -1,8 +1,11 @@
 """Helpers shared by the operators of this package."""
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,15 @@ _MEMORIES: dict[str, Callable[[], None]] = {}
 _HOLDER = [""]
 
 
+def give_back() -> None:
+    """In a Python worker, return what is no longer used to the system: workers outlive the stage that filled them."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def claim_memory(name: str, forget: Callable[[], None]) -> None:
     """In a Python worker, let one operator at a time remember words: what the others kept is forgotten."""
     if _HOLDER[0] != name:
@@ -27,6 +39,7 @@ def claim_memory(name: str, forget: Callable[[], None]) -> None:
             if other != name:
                 clear()
         _HOLDER[0] = name
+        give_back()
 
 
 def query(name: str, sql: str | None = None):

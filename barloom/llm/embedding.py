@@ -23,7 +23,7 @@ STRAY, MISSED = 1 / 30, 0.05
 MOST_TABLES = 512
 SEED = 20_240_601
 #: Vectors of one side of a comparing group; larger buckets are dealt to pairs of blocks.
-BLOCK = 1024
+BLOCK = 512
 
 _PLANES: dict[tuple[int, int, int], tuple[np.ndarray, np.ndarray]] = {}
 

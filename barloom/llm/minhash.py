@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import claim_memory, components, dropped, query, staged, table
+from barloom.llm.common import claim_memory, components, dropped, give_back, query, staged, table
 
 #: Bands and rows of a band. At a similarity of 0.8 all bands of a pair differ with a probability of 5e-5.
 BANDS, ROWS = 25, 5
@@ -102,6 +102,7 @@ def described(docs: DataFrame, k: int) -> DataFrame:
                 bands = _mix(bands * np.uint64(0xD6E8FEB86659FD93) + cells[:, :, j])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array(h1), pa.array(h2),
                                               pa.array(list(bands.view(np.int64)), pa.list_(pa.int64()))], names=["doc_id", "n", "h1", "h2", "bands"])
+        give_back()
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, h1 long, h2 long, bands array<long>")
 
 
@@ -156,6 +157,8 @@ def _compared(groups: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
                 yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["u", "v"])
                 out = []
         out += _group_links(held, k, percent)
+        held = []
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["u", "v"])
     return placed.select("g1", "g2", "side", "id", "component", "text").mapInArrow(run, "u long, v long")
 
