@@ -116,15 +116,15 @@ def append_patches(patches: DataFrame, path: str) -> DataFrame | None:
     return None
 
 
-RANK_TABLES = {"detail": "part", "list": "as_of", "receipt": "as_of"}
+RANK_TABLES = {"detail": "part", "list": "as_of", "receipt": "as_of", "excursions": "as_of"}
 
 
 def open_rank(spark: SparkSession, path: str, as_of) -> Ledger:
-    """The store of one date's ranking: details by part, the slim list and the receipt."""
+    """The store of one date's ranking: details by part, the slim list, the receipt, and excursions where there are some."""
     return Ledger(spark, os.path.join(path, f"as_of={as_of}"), RANK_TABLES)
 
 
-def write_rank(ranked: DataFrame, path: str, as_of) -> bool:
+def write_rank(ranked: DataFrame, path: str, as_of, excursions: DataFrame | None = None) -> bool:
     """Write the ranking of one date: details in parts of 250 ranks, one file each in rank order, the slim list, the receipt.
 
     All of them become visible together. Skipped, returning False, when the same content is stored.
@@ -132,7 +132,10 @@ def write_rank(ranked: DataFrame, path: str, as_of) -> bool:
     spark = ranked.sparkSession
     ranked = stage(ranked)  # read for the digest, the detail and the list
     store = open_rank(spark, path, as_of)
-    receipt = content_digest(ranked, ranked.columns).first()
+    receipt = content_digest(ranked, ranked.columns).first().asDict()
+    if excursions is not None:
+        excursions = stage(excursions)
+        receipt["digest"] += " " + content_digest(excursions, excursions.columns).first()["digest"]
     before = store.batches()
     if before and before[-1].endswith(receipt["digest"]):
         return False
@@ -144,7 +147,8 @@ def write_rank(ranked: DataFrame, path: str, as_of) -> bool:
     day = F.lit(as_of).cast("date").alias("as_of")
     slim = ranked.repartitionByRange("rank").sortWithinPartitions("rank").select("rank", "security_id", "rank_score", "filter_pass", day)
     stated = spark.range(1).select(F.lit(receipt["rows"]).alias("rows"), F.lit(receipt["digest"]).alias("digest"), F.lit(parts).alias("detail_parts"), day)
-    return store.commit(f"{len(before) + 1} {receipt['digest']}", {
+    more = {} if excursions is None else {"excursions": Write(excursions.withColumn("as_of", day), replace=True)}
+    return store.commit(f"{len(before) + 1} {receipt['digest']}", more | {
         "detail": Write(detail, emptied=tuple(store.values("detail"))), "list": Write(slim, replace=True), "receipt": Write(stated, replace=True)})
 
 

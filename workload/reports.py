@@ -50,13 +50,17 @@ def _horizon_sql(h):
         r(k(back), f"final_return_{h}"), r(k(f"CASE WHEN {mfe} > 0 THEN ({back}) / nullif({mfe}, 0) END"), f"capture_{h}")])
 
 
-@query("excursions", with_ctes("anchors", "placed") + f"""
+#: From the CTEs `anchors` and `placed`.
+EXCURSIONS_SQL = f"""
 , found AS (SELECT a.*, coalesce(entry_date, signal_date) AS anchor_date, p.pos, coalesce(entry_price, p.close) AS price
   FROM anchors a LEFT JOIN placed p ON p.security_id = a.security_id AND p.date = coalesce(entry_date, signal_date))
 SELECT a.security_id, {day('signal_date', 'signal_date')}, {day('anchor_date', 'anchor_date')}, direction, {r('price', 'price')},
   CASE WHEN a.pos IS NULL THEN 'ANCHOR_BAR_MISSING' END AS status, {', '.join(_horizon_sql(h) for h in HORIZONS)}
 FROM found a LEFT JOIN placed b ON b.security_id = a.security_id AND b.pos > a.pos AND b.pos <= a.pos + 60
-GROUP BY a.security_id, signal_date, anchor_date, direction, entry_date, entry_price, price, a.pos""")
+GROUP BY a.security_id, signal_date, anchor_date, direction, entry_date, entry_price, price, a.pos"""
+
+
+@query("excursions", with_ctes("anchors", "placed") + EXCURSIONS_SQL)
 def excursions(spark, d):
     return measure(anchors(spark, d), W.supplier_bars(spark, d)).drop("entry_date", "entry_price")
 

@@ -16,6 +16,7 @@ from barloom.plans import incremental as INC
 from barloom.plans import refresh as REF
 from barloom.plans.combined_monthly import combined_pointer
 from barloom.plans.daily_append import daily_append
+from barloom.plans.daily_rank import daily_rank_run
 from barloom.plans.earnings_daily import earnings_daily as earnings_plan
 from barloom.plans.hk_monthly import hk_monthly as hk_plan
 from barloom.plans.us_monthly import us_monthly as us_plan
@@ -365,6 +366,34 @@ def daily_rank_store(spark, d):
     return ST.open_rank(spark, path, W.AS_OF).read("detail").select(*PR.RANK_COLUMNS)
 
 
+RANKED_BARS = f"""ranked_bars AS (SELECT * FROM adjusted SEMI JOIN (SELECT security_id FROM securities WHERE coalesce(listing_status, 'ACTIVE') = 'ACTIVE') USING (security_id)
+  WHERE date <= DATE '{W.AS_OF}'),
+placed AS (SELECT *, row_number() OVER (PARTITION BY security_id ORDER BY date) - 1 AS pos FROM ranked_bars),
+anchors AS (SELECT * FROM all_anchors SEMI JOIN ranked_bars USING (security_id))"""
+cte("all_anchors", CTES["anchors"][1], "trades")
+
+
+def rank_run(spark, d):
+    """The day's ranking with the excursions of its securities, written together."""
+    path = scratch_path(spark, "daily-run")
+    run = daily_rank_run(W.base_bars(spark, d), W.patch_rows(spark, d, W.AS_OF), W.appended_bars(spark, d, W.AS_OF), W.splits(spark, d),
+                         W.securities(spark, d), RP.anchors(spark, d), W.AS_OF)
+    ST.write_rank(run.ranked, path, W.AS_OF, run.excursions)
+    return ST.open_rank(spark, path, W.AS_OF)
+
+
+@query("daily_rank_excursions", with_ctes("adjusted", "securities", "all_anchors", extra=RANKED_BARS) + RP.EXCURSIONS_SQL)
+def daily_rank_excursions(spark, d):
+    return rank_run(spark, d).read("excursions").drop("entry_date", "entry_price", "as_of")
+
+
+@query("daily_rank_run", f"""SELECT t.*, coalesce(anchors, 0) AS anchors, coalesce(measured, 0) AS measured FROM ({ORACLES["daily_rank"]}) t LEFT JOIN (
+  SELECT security_id, count(*) AS anchors, count(*) FILTER (status IS NULL) AS measured FROM (
+    {with_ctes("adjusted", "securities", "all_anchors", extra=RANKED_BARS)} {RP.EXCURSIONS_SQL}) x GROUP BY 1) c USING (security_id)""")
+def daily_rank_all(spark, d):
+    return rank_run(spark, d).read("detail").select(*PR.RANK_COLUMNS, "anchors", "measured")
+
+
 @query("designated_archive", ORACLES["designated_list"])
 def designated_archive(spark, d):
     """The designated lists, written as an archive with a header line and read back."""
