@@ -191,7 +191,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     members = staged(spread.join(stars, "band").where("rep <> leader").select("band", "leader", "rep", "n"), "members")
     pairs = members.select("leader", "rep", "n").distinct()
     needed = members.select(F.col("rep").alias("id")).union(members.select("leader")).distinct()
-    texts = staged(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(needed, "id"), "texts")
+    # Merged at every size, so that a small table's plan tells what a large one needs.
+    texts = staged(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(needed.hint("merge"), "id"), "texts")
 
     # every member against the bucket's smallest
     sizes = pairs.groupBy("leader").agg(_blocks(F.count("*"), F.sum("n")).alias("blocks"))
