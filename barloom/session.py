@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barloom import files
+
 
 def build_session(app: str = "barloom", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the jobs assume; the cluster's own values win."""
@@ -27,21 +29,42 @@ def build_session(app: str = "barloom", master: str | None = None, **conf) -> Sp
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); made up only where unset and everything runs in one process."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = getattr(spark.sparkContext, "_barloom_folder", None)
-        if folder is None:
-            master = spark.sparkContext.master
-            if master != "local" and not master.startswith("local["):
-                raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-            folder = tempfile.mkdtemp(prefix="barloom-")
-            spark.sparkContext._barloom_folder = folder
-    if not spark.sparkContext.master.startswith("local") and (":/" not in folder or folder.startswith("file:")):
-        raise RuntimeError(f"spark.checkpoint.dir must be an address that all executors share, not the bare path {folder}")
+    """The cluster's shared folder: spark.checkpoint.dir or, where that is unset, a folder of the warehouse.
+
+    Any address will do, `file:` and bare paths too, as a shared disk may be mounted everywhere. Of such a path tasks
+    confirm once that they see what the driver writes. A folder is made up only where everything runs in one process.
+    """
+    context = spark.sparkContext
+    alone = context.master == "local" or context.master.startswith("local[")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder and alone:
+        folder = getattr(context, "_barloom_folder", None) or tempfile.mkdtemp(prefix="barloom-")
+        context._barloom_folder = folder
+    folder = folder or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "barloom-scratch")
+    if not alone and getattr(context, "_barloom_seen", None) != folder:
+        _seen_by_tasks(spark, folder)
+        context._barloom_seen = folder
     return folder
 
 
+def _seen_by_tasks(spark: SparkSession, folder: str) -> None:
+    """Stops the job where a folder on a file system of the machine is not the same one for the executors."""
+    mark = os.path.join(folder, "barloom-seen-" + uuid.uuid4().hex)
+    place = spark._jvm.org.apache.hadoop.fs.Path(mark)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.getUri().getScheme() != "file":
+        return
+    path = system.makeQualified(place).toUri().getPath()
+    files.create_text(spark, mark, "")
+    try:
+        tasks = spark.sparkContext.defaultParallelism
+        seen = spark.sparkContext.parallelize(range(tasks), tasks).map(lambda _: os.path.exists(path)).collect()
+    finally:
+        files.delete(spark, mark)
+    if not all(seen):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors share; some do not see {folder}")
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write an intermediate result reliably so later reads never recompute it.
 
