@@ -13,6 +13,7 @@ bounded by the number of sessions in the calendar. Arrow batches are bounded by
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -225,10 +226,39 @@ def momentum_of(state: Column) -> Column:
 TREND_FIELDS = ("macd", "prev_macd", "hist", "prev_hist", "e17", "e50", "atr")
 
 
+#: Bars of one step's slice: a worker holds seven results a bar for so many, not for a whole batch.
+SLICE_BARS = 100_000
+
+
+def _slices(lists: list[pa.Array], bars: int) -> Iterator[list[pa.Array]]:
+    """Runs of rows with at most about so many values (one row at least), cut alike from list columns of equal lengths."""
+    ends = lists[0].offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+    at, rows = 0, len(ends) - 1
+    while at < rows:
+        upto = max(at + 1, int(np.searchsorted(ends, ends[at] + bars, "right")) - 1)
+        out = []
+        for column in lists:
+            offsets = column.offsets.slice(at, upto - at + 1).to_numpy(zero_copy_only=False).astype(np.int32)
+            values = column.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0]))
+            out.append(pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), values))
+        yield out
+        at = upto
+
+
 @arrow_udf(T.StructType([T.StructField(f, DOUBLES) for f in TREND_FIELDS]))
-def trend_features(high: pa.Array, low: pa.Array, close: pa.Array) -> pa.Array:
-    """Per bar: 8/17/9 convergence and its predecessor, the 17 and 50 averages, Wilder's range."""
-    high, low, close = _plain(high), _plain(low), _plain(close)
+def trend_features(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Per bar: 8/17/9 convergence and its predecessor, the 17 and 50 averages, Wilder's range.
+
+    From the lists of highs, lows and closes; results leave slice by slice, so beside the batch itself a worker holds one slice.
+    """
+    for high, low, close in batches:
+        if not len(close):
+            yield pa.array([], pa.struct([(f, pa.list_(pa.float64())) for f in TREND_FIELDS]))
+        for part in _slices([_plain(high), _plain(low), _plain(close)], SLICE_BARS):
+            yield _trends(*part)
+
+
+def _trends(high: pa.Array, low: pa.Array, close: pa.Array) -> pa.Array:
     series = _Series(close)
     top, bottom, last = (_Series(a).flat(a) for a in (high, low, close))
     out = {f: np.full(len(last), np.nan) for f in TREND_FIELDS}
