@@ -7,6 +7,8 @@ need no hand-over: floor(k * T / K) tokens of a queue of T lie before window k o
 """
 from __future__ import annotations
 
+import string
+import struct
 import zlib
 
 import numpy as np
@@ -42,21 +44,29 @@ TOKENS = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("part", pa
 _ENCODERS: dict = {}
 
 
+#: The tokenizer's letters for bytes: printable ones stand for themselves, the rest for 256 and up, in order.
+_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_LETTERS = dict(zip([b for b in range(256) if b not in _PLAIN], map(chr, range(256, 512)), strict=False))
+
+
+def _packed(ids: list[int]) -> bytes:
+    """Ids as 16-bit little-endian numbers."""
+    return struct.pack(f"<{len(ids)}H", *ids)
+
+
 class WordEncoder:
     """ids of a text as the tokenizer gives them for the whole text.
 
     The tokenizer drops white space and never joins characters across a space or a line feed, so the ids of a text are
     those of its pieces between them, and a piece seen before is looked up. A new piece that is one run of Latin-1
-    letters, with full stops or commas behind it or not, is lower-cased and goes to the tokenizer's own model as the two
+    letters, with ASCII punctuation behind it or not, is lower-cased and goes to the tokenizer's own model as the two
     pre-tokens that it is; any other piece goes through the whole tokenizer. Ids are kept as 16-bit numbers.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         self._forget()
 
     def _forget(self) -> None:
@@ -66,30 +76,36 @@ class WordEncoder:
     def _core(self, word: str) -> bytes:
         """A run of Latin-1 letters in lower case."""
         if word not in self.cores:
-            pre_token = word if word.isascii() else self.bytes.pre_tokenize_str(word)[0][0]
-            self.cores[word] = np.asarray([t.id for t in self.model.tokenize(pre_token)], "<u2").tobytes()
+            pre_token = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS)
+            self.cores[word] = _packed([t.id for t in self.model.tokenize(pre_token)])
         return self.cores[word]
 
+    def _behind(self, marks: str) -> bytes:
+        """A run of ASCII punctuation, as a word of its own."""
+        if marks not in self.known:
+            self.known[marks] = _packed(self.tokenizer.encode(marks, add_special_tokens=False).ids)
+        return self.known[marks]
+
     def _learn(self, words: set[str]) -> None:
         whole = []
         for word in words:
-            core = word.rstrip(".,")
-            if core.isalpha() and max(core) <= "\xff" and (len(core) == len(word) or word[len(core):] in self.known):
-                self.known[word] = self._core(core.lower()) + self.known[word[len(core):]]
+            core = word.rstrip(string.punctuation)
+            if core.isalpha() and (core.isascii() or max(core) <= "\xff"):
+                self.known[word] = self._core(core.lower()) + self._behind(word[len(core):])
             else:
                 whole.append(word)
         for at in range(0, len(whole), 4096):
             some = whole[at:at + 4096]
             for word, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[word] = np.asarray(got.ids, "<u2").tobytes()
+                self.known[word] = _packed(got.ids)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        if fresh := {w for words in split for w in words}.difference(self.known):
+        words_here = set().union(*split)
+        if fresh := words_here.difference(self.known):
             if len(self.known) + len(fresh) > REMEMBERED:
                 self._forget()
-                fresh = {w for words in split for w in words if w}
-            self._learn({".", ","}.difference(self.known))
+                fresh = words_here.difference(self.known)
             self._learn(fresh)
         look = self.known.__getitem__
         return [b"".join(map(look, words)) for words in split]
@@ -133,8 +149,8 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.col("source").cast("string").alias("source")).mapInArrow(run, TOKENS_DDL)
 
 
-def _before(k: np.ndarray, totals: np.ndarray, windows: int) -> np.ndarray:
-    """floor(k * total / windows) without overflow; arrays broadcast."""
+def _before(k, totals, windows: int):
+    """floor(k * total / windows) without overflow; of plain numbers or of an array of totals."""
     whole, rest = totals // windows, totals % windows
     return k * whole + k * rest // windows
 
@@ -187,7 +203,7 @@ def pack(tokens: DataFrame, length: int = SEQUENCE, window_sequences: int = WIND
                 doc, source, start = batch["doc_id"][i].as_py(), batch["source"][i].as_py(), 0
                 k = max(0, at * windows // t - 1)
                 while at < end:
-                    while int(_before(np.int64(k + 1), np.int64(t), windows)) <= at:
+                    while _before(k + 1, t, windows) <= at:
                         k += 1
                     if k not in base:  # where each queue's run begins in this window
                         if (len(base) + 1) * totals.nbytes > BASE_BYTES:
@@ -196,7 +212,7 @@ def pack(tokens: DataFrame, length: int = SEQUENCE, window_sequences: int = WIND
                         run_lengths = _before(np.int64(k + 1), totals, windows) - low
                         base[k] = (int(low.sum()) + np.concatenate([[0], np.cumsum(run_lengths)[:-1]]) - low)
                     place = int(base[k][own]) + at
-                    stop = min(end, int(_before(np.int64(k + 1), np.int64(t), windows)))
+                    stop = min(end, _before(k + 1, t, windows))
                     if place < full * length:
                         sequence, offset, room, whole = place // length, place % length, length - place % length, length
                     else:

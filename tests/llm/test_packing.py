@@ -23,6 +23,24 @@ def test_ids_are_those_of_the_whole_text(texts):
     assert [np.frombuffer(x, "<u2").tolist() for x in got] == [ids(t) for t in texts]
 
 
+def test_words_with_punctuation_behind_need_no_whole_tokenizer():
+    """Ids are the tokenizer's; only the runs of punctuation, and pieces that are no word, go through all of it."""
+    encode, seen = packing.WordEncoder(packing.tokenizer_path()), []
+    words = [w + m for w in ("Elle", "\u00c9t\u00e9", "it", "we") for m in ("", ".", "***", "&&&", "'", "';", "|>", ".%%%")] + ["it's", "we're!", "<|endoftext|>", "a-b,", "7!!"]
+
+    class Whole:
+        def encode_batch_fast(self, some, add_special_tokens):
+            seen.extend(some)
+            return TOKENIZER.encode_batch_fast(some, add_special_tokens=add_special_tokens)
+
+        def encode(self, text, add_special_tokens):
+            return TOKENIZER.encode(text, add_special_tokens=add_special_tokens)
+    encode.tokenizer = Whole()
+    got = encode([" ".join(words), *words])
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [ids(t) for t in [" ".join(words), *words]]
+    assert sorted(seen) == sorted(["it's", "we're!", "<|endoftext|>", "a-b,", "7!!"])
+
+
 def packed(spark, rows, **sizes):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
     tokens = staged(packing.tokenized(docs, packing.tokenizer_path()))
