@@ -141,8 +141,11 @@ def _group_links(rows: list[tuple], k: int, percent: int) -> list[tuple[int, int
 
 
 def _compared(groups: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """groups(g1, g2, side, id, component) -> links (u, v). Each group is bounded and is read as a run of sorted rows."""
-    placed = groups.join(texts, "id").repartition("g1", "g2").sortWithinPartitions("g1", "g2", "side", "id")
+    """groups(g1, g2, side, id, component) -> links (u, v). Each group is bounded and is read as a run of sorted rows.
+
+    Texts are merged at every size, so that a small table's plan tells what a large one needs.
+    """
+    placed = groups.join(texts.hint("merge"), "id").repartition("g1", "g2").sortWithinPartitions("g1", "g2", "side", "id")
 
     def run(batches):
         held, key, out = [], None, []
@@ -245,9 +248,9 @@ def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> D
     Rows are told apart by a number of their own, not by doc_id: documents of different texts that share an id both stay,
     and rows without an id are compared like all others. Of a component's rows that share the smallest id one stays.
     """
-    whole = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"),
+    whole = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("id"),
                                F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), "rows")
-    near = near_duplicates(whole.select(F.col("row").alias("doc_id"), "text"), k, percent).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
+    near = near_duplicates(whole.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), k, percent).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
     grouped = near.groupBy("component").count().where("count > 1").select("component")
     members = staged(near.join(grouped, "component").join(whole.select("row", "id"), "row"), "members")
     best = members.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "row")).alias("best")).select(F.col("best.row").alias("row"))

@@ -106,3 +106,15 @@ def test_the_sketch_fills_and_agrees_like_the_similarity():
             agree.append((x == y).mean())
         assert abs(np.mean(agree) - shared / (2 * n - shared)) < 0.06
     assert (minhash.sketches([np.zeros(0, np.uint64)]) == minhash.FULL).all()
+
+
+def test_texts_are_staged_once_and_merged(spark, monkeypatch):
+    """The rows that wait for their verdict hold each text once; texts meet their groups by a merge on small tables too."""
+    staged, seen = minhash.staged, []
+    monkeypatch.setattr(minhash, "staged", lambda df, name="step": seen.append((name, df.columns)) or staged(df, name))
+    docs = spark.createDataFrame([(1, "a b c d e f", 5), (2, "a b c d e f", 6), (3, "g", 7), (4, None, 8)], "doc_id long, text string, size int")
+    assert sorted(map(tuple, minhash.without_near_duplicates(docs).collect())) == [(1, "a b c d e f", 5), (3, "g", 7), (4, None, 8)]
+    assert dict(seen)["rows"] == ["row", "id", "doc"]
+    groups = spark.createDataFrame([(1, "0", 0, 1, 1), (1, "0", 1, 2, 2)], "g1 long, g2 string, side int, id long, component long")
+    compared = minhash._compared(groups, docs.select(docs.doc_id.alias("id"), "text"), 2, 80)
+    assert "SortMergeJoin" in compared._jdf.queryExecution().toString()
