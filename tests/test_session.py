@@ -1,8 +1,10 @@
+import datetime as dt
 from types import SimpleNamespace
 
 import pytest
 
 from barloom import files, session
+from barloom.sinks import stores
 
 
 class OnCluster:
@@ -31,3 +33,15 @@ def test_a_cluster_takes_any_shared_folder(spark, tmp_path, kind):
 def test_a_folder_that_tasks_do_not_see_stops_the_job(spark, tmp_path):
     with pytest.raises(RuntimeError, match="all executors share"):
         session.shared_folder(OnCluster(spark, f"file://{tmp_path}", f"file://{tmp_path}/tables", hidden=True))
+
+
+def test_stores_and_stages_work_on_a_cluster_with_a_bare_folder(spark, tmp_path, monkeypatch):
+    """spark.checkpoint.dir of the test session is a bare path; with a cluster's master, staging stopped there."""
+    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda self: "spark://host:7077"), raising=False)
+    monkeypatch.delattr(spark.sparkContext, "_barloom_seen", raising=False)
+    rows = spark.createDataFrame([("A", 1.5), ("B", None)], "security_id string, close double")
+    assert sorted(session.stage(rows).collect()) == sorted(rows.collect())
+    bars = spark.createDataFrame([("A", dt.date(2026, 1, 1), 1.0, 1.0, 1.0, 1.0, 5.0)],
+                                 "security_id string, date date, open double, high double, low double, close double, volume double")
+    assert stores.append_daily(bars, f"{tmp_path}/daily").isEmpty()
+    assert spark.read.parquet(f"{tmp_path}/daily").count() == 1
