@@ -5,30 +5,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom import contracts as K
-from barloom.functions.checks import is_structural
+from barloom.functions.checks import PRICES, is_structural
 from barloom.functions.text import closing_exclusion
 from barloom.operators.quality import needed_dates, suspect_days
 from barloom.session import stage
 
 
-def _evidence(refreshed: DataFrame, stored: DataFrame, sessions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """What the refreshed bars offer, per security and per (security, date)."""
-    bad = F.count(F.when(~is_structural(), 1))
-    on_calendar = refreshed.join(F.broadcast(sessions.select("date")), "date", "left_semi")
-    dated = on_calendar.groupBy("security_id", F.col("date").alias("trade_date")).agg(
-        F.count(F.lit(1)).alias("day_bars"), bad.alias("day_bad"))
-    suspects = suspect_days(stored, sessions).select("security_id", "date").distinct()
-    known = stored.select("security_id", "date", F.lit(True).alias("known")).distinct()
-    marked = (on_calendar.join(suspects.withColumn("suspect", F.lit(True)), ["security_id", "date"], "left")
-              .join(known, ["security_id", "date"], "left"))
-    broken = ~is_structural()
-    per_security = marked.groupBy("security_id").agg(
-        F.count(F.lit(1)).alias("all_bars"), F.count("suspect").alias("suspect_bars"),
-        F.count(F.when(broken & F.col("suspect"), 1)).alias("suspect_bad"),
-        F.count(F.when(F.col("known").isNull(), 1)).alias("new_bars"),
-        F.count(F.when(broken & F.col("known").isNull(), 1)).alias("new_bad"))
-    wanted = suspects.groupBy("security_id").agg(F.count(F.lit(1)).alias("suspect_days"))
-    return dated, wanted.join(per_security, "security_id", "full")
+def _evidence(refreshed: DataFrame, stored: DataFrame, sessions: DataFrame) -> DataFrame:
+    """What is stored and what the refreshed bars offer, per (security, date), staged as two results are made of it.
+
+    Stored bars, suspect days and refreshed bars are laid together and counted by one grouping, which needs no sorting.
+    """
+    known = stored.select("security_id", "date", F.lit(True).alias("known"))
+    suspects = suspect_days(stored, sessions).select("security_id", "date", F.lit(True).alias("suspect"))
+    on_calendar = refreshed.join(F.broadcast(sessions.select("date")), "date", "left_semi").select(
+        "security_id", "date", F.lit(1).alias("bar"), F.when(is_structural(), 0).otherwise(1).alias("bad"))
+    laid = known.unionByName(suspects, allowMissingColumns=True).unionByName(on_calendar, allowMissingColumns=True)
+    return stage(laid.groupBy("security_id", F.col("date").alias("trade_date")).agg(
+        F.count("bar").alias("day_bars"), F.coalesce(F.sum("bad"), F.lit(0)).alias("day_bad"),
+        F.count("known").alias("known"), F.count("suspect").alias("suspect")))
+
+
+def _per_security(days: DataFrame) -> DataFrame:
+    suspect, new = F.col("suspect") > 0, F.col("known") == 0
+    return days.groupBy("security_id").agg(
+        F.count(F.when(suspect, 1)).alias("suspect_days"), F.sum("day_bars").alias("all_bars"),
+        F.sum(F.when(suspect, F.col("day_bars"))).alias("suspect_bars"), F.sum(F.when(suspect, F.col("day_bad"))).alias("suspect_bad"),
+        F.sum(F.when(new, F.col("day_bars"))).alias("new_bars"), F.sum(F.when(new, F.col("day_bad"))).alias("new_bad"))
 
 
 def repair_decisions(items: DataFrame, securities: DataFrame, sessions: DataFrame, outages: DataFrame,
@@ -38,9 +41,13 @@ def repair_decisions(items: DataFrame, securities: DataFrame, sessions: DataFram
     `items`: item_id, market, security_id, category, problem, trade_date, batch.
     `securities`: ticker, exchange, isin, identity_review, listing_date, listing_date_verified,
     delisting_proven, proof (kind, isin, new_ticker, source_hash) and official (ticker,
-    exchange, isin, source_hash). `refreshed` are bars obtained again from the source.
+    exchange, isin, source_hash). `refreshed` are bars obtained again from the source. The calendar and what is needed of
+    the stored bars are read several times, so they are staged instead of being made again at every use.
     """
-    dated, per_security = _evidence(refreshed, stored, sessions)
+    sessions = stage(sessions.select("date", "idx"))
+    days = _evidence(refreshed, stage(stored.select("security_id", "date", *PRICES, "volume")), sessions)
+    dated = days.filter("day_bars > 0").select("security_id", "trade_date", "day_bars", "day_bad")
+    per_security = _per_security(days)
     calendar = F.broadcast(sessions.select(F.col("date").alias("trade_date"), F.lit(True).alias("is_session")))
     halted = outages.select("market", "trade_date", F.lit(True).alias("halted")).distinct()
     own = securities.withColumn("known_security", F.lit(True)).drop("market")

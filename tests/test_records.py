@@ -149,6 +149,27 @@ def test_identity_fix_needs_the_matching_isin(spark):
     assert decide("OTHER").result == "UNRESOLVED" and not decide("OTHER").accepted
 
 
+def test_decisions_count_refreshed_bars_by_day_and_security(spark):
+    d = [dt.date(2026, 1, 1 + i) for i in range(10)]
+    sessions = session_index(spark.createDataFrame([(x,) for x in d[:5]], "date date"))
+    stored = bars_frame(spark, [bar(d[0], 10, "A"), bar(d[1], 10, "A", low=-1.0), bar(d[3], 10, "A"), bar(d[0], 10, "B", low=-1.0),
+                                bar(None, 10, "D", low=-1.0), bar(d[0], 10, None, low=-1.0)])  # A: d1 is bad, d2 is missing
+    refreshed = bars_frame(spark, [bar(d[1], 10, "A"), bar(d[2], 10, "A"), bar(d[2], 10, "A", low=-1.0), bar(d[4], 10, "A"), bar(d[9], 10, "A"),
+                                   bar(d[0], 10, "C"), bar(d[0], 10, None), bar(None, 10, "D")])
+    suspect, failed = "DATA_SUSPECT", "FETCH_FAILED"
+    asked = [("A", suspect, d[1], 1), ("A", suspect, d[2], 1), ("A", suspect, d[3], 1), ("A", suspect, None, 1), ("A", failed, None, 1), ("A", suspect, d[9], 1),
+             ("B", suspect, None, 1), ("C", failed, None, 1), ("C", suspect, None, 1), ("D", suspect, None, 1), (None, suspect, d[0], 1)]
+    items = spark.createDataFrame([(i, "US", s, c, "x", day, n) for i, (s, c, day, n) in enumerate(asked)],
+                                  "item_id int, market string, security_id string, category string, problem string, trade_date date, batch int")
+    securities = spark.createDataFrame([(s, "US", s, "NYSE", "I", False, None, None, None, (s, "NYSE", "I", "h"), None) for s in "ABCD"], SECURITY_DDL)
+    out = P.repair_decisions(items, securities, sessions, spark.createDataFrame([], "market string, trade_date date"), stored, refreshed)
+    bad, none = ("UNRESOLVED", "BAR_STILL_SUSPECT"), ("NO_DATA", "NO_PRIMARY_BAR_ACTIVE_LISTING")
+    assert [(r.result, r.reason) for r in out.orderBy("item_id").collect()] == [
+        ("RESOLVED", None), bad, none, bad, bad, ("UNRESOLVED", "SESSION_NOT_CONFIRMED"), none, ("RESOLVED", None),
+        ("VALIDATED_NO_DATA_DEFECT", "NO_TRADE_BAR_VALID_OR_NOT_REPRODUCED"), none, ("UNRESOLVED", "SECURITY_ID_MISSING_OR_EXECUTION_EVENT")]
+    assert "Window [" not in out._jdf.queryExecution().optimizedPlan().toString()  # calendar and gaps are not made again at each use
+
+
 def test_unresolved_items_stay_open_and_are_tried_again(spark):
     queue = spark.createDataFrame([(i, "US", "OPEN", None) for i in range(52)], "item_id int, market string, status string, reason string")
     verdict = queue.select("item_id", F.lit("UNRESOLVED").alias("result"), F.lit("NO_EVIDENCE").alias("reason"))
