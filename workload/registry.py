@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,14 @@ def query(name: str, sql: str | None = None, digits: int = DIGITS):
     return keep
 
 
+def rounded(x: Column) -> Column:
+    """`round(x)` of doubles, ties away from zero, in plain arithmetic: Spark's own makes a decimal text of every value.
+
+    From 2^52 on doubles are whole. The number below 0.5 lifts a tie to the next whole number and nothing less than a tie.
+    """
+    return F.when(F.abs(x) < 2.0**52, F.signum(x) * F.floor(F.abs(x) + 0.49999999999999994)).otherwise(x)
+
+
 def present(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Dates as ISO text, doubles rounded (negative zero made plain), integers as bigint."""
     columns = []
@@ -34,7 +42,7 @@ def present(df: DataFrame, digits: int = DIGITS) -> DataFrame:
             value = value.cast("string")
         elif isinstance(field.dataType, T.DoubleType):
             scaled = value * 10.0**digits  # as the SQL engine rounds, ties too; what cannot be scaled stays
-            value = F.when(F.abs(scaled) < 1e300, F.round(scaled) / 10.0**digits).otherwise(value) + F.lit(0.0)
+            value = F.when(F.abs(scaled) < 1e300, rounded(scaled) / 10.0**digits).otherwise(value) + F.lit(0.0)
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             value = value.cast("bigint")
         columns.append(value.alias(field.name))
