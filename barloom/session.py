@@ -29,40 +29,43 @@ def build_session(app: str = "barloom", master: str | None = None, **conf) -> Sp
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder: spark.checkpoint.dir or, where that is unset, a folder of the warehouse.
+    """The cluster's shared folder: of spark.checkpoint.dir, the context's checkpoint folder and a folder of the warehouse
+    the first that all executors share.
 
     Any address will do, `file:` and bare paths too, as a shared disk may be mounted everywhere. Of such a path tasks
     confirm once that they see what the driver writes. A folder is made up only where everything runs in one process.
     """
     context = spark.sparkContext
-    alone = context.master == "local" or context.master.startswith("local[")
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder and alone:
-        folder = getattr(context, "_barloom_folder", None) or tempfile.mkdtemp(prefix="barloom-")
-        context._barloom_folder = folder
-    folder = folder or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "barloom-scratch")
-    if not alone and getattr(context, "_barloom_seen", None) != folder:
-        _seen_by_tasks(spark, folder)
-        context._barloom_seen = folder
+    named = [x for x in (spark.conf.get("spark.checkpoint.dir", None), context.getCheckpointDir()) if x]
+    if context.master == "local" or context.master.startswith("local["):
+        if not named:
+            context._barloom_folder = getattr(context, "_barloom_folder", None) or tempfile.mkdtemp(prefix="barloom-")
+            named = [context._barloom_folder]
+        return named[0]
+    named.append(os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "barloom-scratch"))
+    known, folder = getattr(context, "_barloom_seen", None) or (None, None)
+    if known != named:
+        folder = next((x for x in named if _seen_by_tasks(spark, x)), None)
+        if folder is None:
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors share; some see none of {', '.join(named)}")
+        context._barloom_seen = (named, folder)
     return folder
 
 
-def _seen_by_tasks(spark: SparkSession, folder: str) -> None:
-    """Stops the job where a folder on a file system of the machine is not the same one for the executors."""
+def _seen_by_tasks(spark: SparkSession, folder: str) -> bool:
+    """False where a folder on a file system of the machine is not the same one for the executors."""
     mark = os.path.join(folder, "barloom-seen-" + uuid.uuid4().hex)
     place = spark._jvm.org.apache.hadoop.fs.Path(mark)
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
     if system.getUri().getScheme() != "file":
-        return
+        return True
     path = system.makeQualified(place).toUri().getPath()
     files.create_text(spark, mark, "")
     try:
         tasks = spark.sparkContext.defaultParallelism
-        seen = spark.sparkContext.parallelize(range(tasks), tasks).map(lambda _: os.path.exists(path)).collect()
+        return all(spark.sparkContext.parallelize(range(tasks), tasks).map(lambda _: os.path.exists(path)).collect())
     finally:
         files.delete(spark, mark)
-    if not all(seen):
-        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors share; some do not see {folder}")
 
 
 def stage(df: DataFrame) -> DataFrame:

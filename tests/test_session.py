@@ -45,3 +45,13 @@ def test_stores_and_stages_work_on_a_cluster_with_a_bare_folder(spark, tmp_path,
                                  "security_id string, date date, open double, high double, low double, close double, volume double")
     assert stores.append_daily(bars, f"{tmp_path}/daily").isEmpty()
     assert spark.read.parquet(f"{tmp_path}/daily").count() == 1
+
+
+def test_a_folder_of_one_machine_gives_way_to_the_shared_warehouse(spark, tmp_path):
+    """spark.checkpoint.dir that executors do not see stopped the job though they share the warehouse."""
+    cluster, answers = OnCluster(spark, f"{tmp_path}/alone", f"file://{tmp_path}/tables"), [[True, False], [True, True]]
+    cluster.sparkContext.parallelize = lambda *a: SimpleNamespace(map=lambda f: SimpleNamespace(collect=lambda: answers.pop(0)))
+    for _ in range(2):  # tasks are asked once
+        assert session.shared_folder(cluster) == f"file://{tmp_path}/tables/barloom-scratch"
+    assert not answers
+    assert files.names(spark, f"{tmp_path}/alone") == files.names(spark, f"{tmp_path}/tables/barloom-scratch") == []
