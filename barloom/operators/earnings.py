@@ -80,26 +80,65 @@ def calendar_to_history(old: DataFrame, new: DataFrame, history: DataFrame, toda
     (array of old_date, new_date). A security's new dates travel as one array (bounded by
     the calendar window), so old and new events are never paired row by row.
     """
-    today = F.lit(today).cast("date")
+    rows = _with_moved(old, new, history, today)
+    return rows.select(*_history_fields(today, F.concat(_recorded(), _fresh())))
+
+
+def calendar_moves(old: DataFrame, new: DataFrame, history: DataFrame, today) -> DataFrame:
+    """`calendar_to_history` for callers with more joins to come: `revisions` holds what was recorded before.
+
+    An event's revisions are as many as its security's new dates, so they outweigh all else an event has. Here
+    `redated` stands for those found now; `with_revisions` adds them when the rows move no more.
+    """
+    rows = _with_moved(old, new, history, today)
+    return rows.select(*_history_fields(today, _recorded(), F.col("redated")))
+
+
+def with_revisions(moves: DataFrame, new: DataFrame) -> DataFrame:
+    """Adds the revisions found now to events that come from `calendar_moves` with the same new calendar."""
+    rows = moves.join(_new_dates(new), "security_id", "left").withColumn("revisions", F.concat(_recorded(), _fresh()))
+    return rows.select(*[c for c in moves.columns if c != "redated"])
+
+
+def _new_dates(new: DataFrame) -> DataFrame:
+    return new.groupBy("security_id").agg(F.array_sort(F.collect_set("report_date")).alias("new_dates"))
+
+
+def _with_moved(old: DataFrame, new: DataFrame, history: DataFrame, today) -> DataFrame:
+    """History and the calendar events that moved; only their keys meet, the new dates join by security afterwards."""
     keys = ["security_id", "report_date"]
-    dates = new.groupBy("security_id").agg(F.array_sort(F.collect_set("report_date")).alias("new_dates"))
-    moved = old.join(dates, "security_id", "left")
+    dates = _new_dates(new)
     stays = F.coalesce(F.array_contains("new_dates", F.col("report_date")), F.lit(False))
-    revised = F.when(stays | F.col("new_dates").isNull(), F.array().cast("array<date>")).otherwise(F.col("new_dates"))
-    moved = moved.withColumn("revised", revised).filter((F.col("report_date") < today) | (F.size("revised") > 0))
-    change = F.transform("revised", lambda d: F.struct(F.col("report_date").alias("old_date"), d.alias("new_date")))
-    moved = moved.select(*keys, F.col("session").alias("new_session"), change.alias("found"))
-    merged = history.join(moved, keys, "full")
+    redated = F.coalesce(F.size("new_dates") > 0, F.lit(False)) & ~stays
+    moved = (old.join(dates, "security_id", "left").withColumn("redated", redated)
+             .filter((F.col("report_date") < F.lit(today).cast("date")) | F.col("redated"))
+             .select(*keys, F.col("session").alias("new_session"), "redated"))
+    rows = history.join(moved, keys, "full").withColumn("redated", F.coalesce("redated", F.lit(False)))
+    return rows.join(dates, "security_id", "left")
+
+
+def _recorded() -> Column:
+    return F.coalesce("revisions", F.array().cast("array<struct<old_date:date,new_date:date>>"))
+
+
+def _fresh() -> Column:
+    """Revisions found now that were not recorded before."""
     empty = F.array().cast("array<struct<old_date:date,new_date:date>>")
-    before, found = F.coalesce("revisions", empty), F.coalesce("found", empty)
+    change = F.transform("new_dates", lambda d: F.struct(F.col("report_date").alias("old_date"), d.alias("new_date")))
+    found = F.when(F.col("redated"), change).otherwise(empty)
     # array_except compares structs pairwise; with nothing recorded yet all found ones are new.
-    fresh = F.when(F.size(before) == 0, found).otherwise(F.array_except(found, before))
-    return merged.select(
+    return F.when(F.size(_recorded()) == 0, found).otherwise(F.array_except(found, _recorded()))
+
+
+def _history_fields(today, revisions: Column, *more: Column) -> list[Column]:
+    keys = ["security_id", "report_date"]
+    revised = F.when(F.size(_recorded()) == 0, F.col("redated")).otherwise(F.size(_fresh()) > 0)
+    return [
         F.coalesce("event_id", F.concat_ws(":", "security_id", F.col("report_date").cast("string"))).alias("event_id"),
-        *keys, F.coalesce("session", "new_session").alias("session"),
-        F.when(F.size(fresh) > 0, "REVISED").otherwise(F.col("event_status")).alias("event_status"),
-        F.concat(before, fresh).alias("revisions"), F.col("event_id").isNull().alias("is_new"),
-        (F.col("event_id").isNull() & (F.col("report_date") < today)).alias("eps_refresh_pending"))
+        *map(F.col, keys), F.coalesce("session", "new_session").alias("session"),
+        F.when(revised, "REVISED").otherwise(F.col("event_status")).alias("event_status"),
+        revisions.alias("revisions"), *more, F.col("event_id").isNull().alias("is_new"),
+        (F.col("event_id").isNull() & (F.col("report_date") < F.lit(today).cast("date"))).alias("eps_refresh_pending")]
 
 
 def eps_refresh(history: DataFrame, provider: DataFrame, today) -> DataFrame:

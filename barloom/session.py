@@ -1,6 +1,7 @@
 """Session set-up and the shared scratch folder used to cut lineage."""
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -68,18 +69,33 @@ def _seen_by_tasks(spark: SparkSession, folder: str) -> bool:
         files.delete(spark, mark)
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, drop_shuffles: bool = False) -> DataFrame:
     """Write an intermediate result reliably so later reads never recompute it.
 
     Used where a result is read more than once, or where row placement must not
     change between reads. Survives executor loss because the files are shared.
+    `drop_shuffles` is for large steps: their shuffle files go once the result is written.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "stage")
-    df.write.parquet(path)
+    with _shuffles_dropped(spark) if drop_shuffles else contextlib.nullcontext():
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Queries begun inside delete their shuffle files when they end; else the files stay until the driver collects garbage,
+    which may be after the job. Where Spark does not know the setting they stay as ever."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the application's own folder, so one delete tidies up after a job."""
     return os.path.join(shared_folder(spark), "barloom-" + spark.sparkContext.applicationId, name + "-" + uuid.uuid4().hex)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators import earnings as E
 from barloom.operators.indicators import session_index
+from barloom.plans import earnings_daily as plan
 from tests.conftest import bar, bars_frame, days
 
 EVENT_DDL = ("event_id string, security_id string, report_date date, session string, event_status string, "
@@ -109,6 +110,34 @@ def test_moved_dates_become_revisions_once(spark):
     assert {r.security_id: len(r.revisions) for r in again.collect()} == {"US-1": 1, "US-3": 0}
 
 
+def test_revisions_are_in_the_result_but_in_no_staged_table(spark, monkeypatch):
+    dates, sid = days(40, dt.date(2026, 8, 1)), "US-000001"
+    pairs = "revisions array<struct<old_date:date,new_date:date>>"
+    old = spark.createDataFrame([(sid, d, "BMO") for d in dates[:20]], "security_id string, report_date date, session string")
+    new = spark.createDataFrame([(sid, d) for d in dates[20:]], "security_id string, report_date date")
+    known = [(f"{sid}:{dates[0]}", sid, dates[0], "BMO", None, [(dates[0], dates[20])], None, None, None, True, None),
+             (f"{sid}:{dates[20]}", sid, dates[20], "AMC", None, None, None, None, None, True, None)]
+    history = spark.createDataFrame(known, f"event_id string, security_id string, report_date date, session string, event_status string, {pairs}, "
+                                           "eps_actual double, eps_surprise_pct double, eps_status string, eps_refresh_pending boolean, reaction_status string")
+    provider = spark.createDataFrame([(dates[1], "AA", "1.5", "2%", 1)], "report_date date, symbol string, eps string, surprise string, sequence int")
+    active = spark.createDataFrame([(sid, "A.A")], "security_id string, ticker string")
+    staged, stage = [], plan.stage
+
+    def keep(df, **options):
+        staged.append(stage(df, **options))
+        return staged[-1]
+    monkeypatch.setattr(plan, "stage", keep)
+    bars = bars_frame(spark, [bar(d, 100) for d in dates])
+    done, violations = plan.earnings_daily(old, new, history, provider, bars, sessions(spark, dates), active, dates[30])
+    rows = {r.report_date: r for r in done.collect()}
+    assert len(rows) == 21 and violations.count() == 0
+    assert all([x.new_date for x in rows[d].revisions] == dates[20:] and rows[d].event_status == "REVISED" for d in dates[:20])
+    assert {x.old_date for x in rows[dates[5]].revisions} == {dates[5]} and rows[dates[20]].revisions == []
+    assert rows[dates[1]].eps_actual == 1.5 and rows[dates[20]].reaction_status == "COMPLETE" and rows[dates[20]].day5_pct == 0
+    held = sum(df.agg(F.sum(F.size("revisions"))).first()[0] for df in staged if "revisions" in df.columns)
+    assert held == 1  # the one that history had; 400 were found
+
+
 def test_sector_reasons_and_change_log(spark):
     active = spark.createDataFrame([("US-1", "AAA"), ("US-2", "BBB"), ("US-3", "CCC"), ("US-4", "DDD")], "security_id string, ticker string")
     screener = spark.createDataFrame([("AAA", "Tech", "Chips"), ("BBB", "", "")], "symbol string, sector string, industry string")

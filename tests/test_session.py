@@ -1,7 +1,9 @@
 import datetime as dt
+import time
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from barloom import files, session
 from barloom.sinks import stores
@@ -55,3 +57,21 @@ def test_a_folder_of_one_machine_gives_way_to_the_shared_warehouse(spark, tmp_pa
         assert session.shared_folder(cluster) == f"file://{tmp_path}/tables/barloom-scratch"
     assert not answers
     assert files.names(spark, f"{tmp_path}/alone") == files.names(spark, f"{tmp_path}/tables/barloom-scratch") == []
+
+
+def test_a_large_step_leaves_no_shuffle_files(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {name for b in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(disk.getAllBlocks()) if (name := b.name()).startswith("shuffle_")}
+    before, setting = shuffles(), spark.conf.get(key, None)
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    kept = session.stage(rows)
+    assert shuffles() - before  # else this test shows nothing
+    again, settled = shuffles(), session.stage(rows, drop_shuffles=True)
+    until = time.time() + 20
+    while shuffles() - again and time.time() < until:
+        time.sleep(.1)
+    assert not shuffles() - again and spark.conf.get(key, None) == setting
+    assert sorted(settled.collect()) == sorted(kept.collect())

@@ -547,7 +547,8 @@ settled AS (SELECT e.event_id, e.event_status, e.eps_status, s.status AS reactio
 SELECT reaction_status, event_status, eps_status, count(*) AS events FROM settled GROUP BY 1, 2, 3
 UNION ALL SELECT 'NEW_INACTIVE_EVENT', NULL, NULL, count(*) FROM events e ANTI JOIN active USING (security_id) WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.security_id = e.security_id AND h.report_date = e.report_date) HAVING count(*) > 0""")
 def earnings_daily(spark, d):
-    rows = RP.reports(spark, d).withColumn("session", F.lit("UNKNOWN"))
+    read = RP.reports(spark, d).filter("status = 'O' OR total < 60000 OR total > 450000")  # old calendar, history, new calendar
+    rows = stage(read.select("security_id", "report_date", "status", "total"), drop_shuffles=True).withColumn("session", F.lit("UNKNOWN"))
     keys = ["security_id", "report_date"]
     history = rows.filter("total < 60000").select(
         F.concat_ws(":", "security_id", F.col("report_date").cast("string")).alias("event_id"), *keys, "session",
@@ -558,7 +559,7 @@ def earnings_daily(spark, d):
         F.col("o_orderdate").cast("date").alias("report_date"), F.concat(F.lit("N"), F.col("o_custkey")).alias("symbol"), RP._eps_text().alias("eps"),
         F.lit(None).cast("string").alias("surprise"), F.col("o_orderkey").alias("sequence"))
     done, violations = earnings_plan(rows.filter("status = 'O'").select(*keys, "session"), rows.filter("total > 450000").select(*keys, "session"),
-                                     history, provider, W.supplier_bars(spark, d), RC.sessions(spark, d), RP.active(spark, d), RP.TODAY)
+                                     history, provider, W.supplier_bars(spark, d), stage(RC.sessions(spark, d)), RP.active(spark, d), RP.TODAY)
     counted = done.groupBy("reaction_status", "event_status", "eps_status").agg(F.count(F.lit(1)).alias("events"))
     broken = violations.groupBy("error").agg(F.count(F.lit(1)).alias("events")).select(
         F.col("error").alias("reaction_status"), F.lit(None).cast("string").alias("event_status"), F.lit(None).cast("string").alias("eps_status"), "events")
